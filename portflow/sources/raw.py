@@ -97,10 +97,9 @@ class _ZippedCsvReader(DataSourceReader):
             zipfile.ZipFile(stream) as opened,
             opened.open(partition.member) as member,
         ):
-            try:
-                header = next(csv.reader([member.readline().decode("utf-8-sig")]))
-            except StopIteration:
-                raise ValueError(f"{source}: CSV header not found") from None
+            header = next(csv.reader([member.readline().decode("utf-8-sig")]), [])
+            if not header:
+                raise ValueError(f"{source}: CSV header not found")
             missing = [name for name in RAW_COLUMNS if name not in header]
             if missing:
                 raise ValueError(f"{source}: CSV header lacks {', '.join(missing)}")
