@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,21 +28,25 @@ def to_number(text: Column) -> Column:
     """Finite double, or null for blank or unreadable text.
 
     The letters d, f and x mark Java literals such as ``12d`` or ``0x1p3``, which are no numbers in a
-    source file, so they are made unreadable. This also rules out the spellings of infinity.
+    source file. They also rule out the spellings of infinity.
     """
-    number = F.translate(text, "dDfFxX", "??????").try_cast("double")
+    java_literal = reduce(or_, [F.contains(text, F.lit(letter)) for letter in "dDfFxX"])
+    number = F.when(~java_literal, text.try_cast("double"))
     return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def to_event_time(text: Column) -> Column:
     """Zone-less timestamp from ISO text, null when unreadable; a stated offset is converted to UTC.
 
-    Text shorter than a full date is not a timestamp, though Spark would read ``2024`` as one.
+    Plain ``yyyy-mm-ddThh:mm:ss`` text is recognised by its shape and spared the pattern match. Text
+    shorter than a full date is not a timestamp, though Spark would read ``2024`` as one.
     """
+    local = text.try_cast("timestamp_ntz")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     in_utc = F.timestamp_add("MICROSECOND", F.unix_micros(text.try_cast("timestamp")), epoch)
-    local = text.try_cast("timestamp_ntz")
-    return F.when(F.length(text) >= 10, F.when(text.rlike(_ZONED), in_utc).otherwise(local))
+    is_plain = (F.length(text) == 19) & (F.substring(text, 17, 1) == ":")
+    any_iso = F.when(text.rlike(_ZONED), in_utc).otherwise(local)
+    return F.when(is_plain, local).when(F.length(text) >= 10, any_iso)
 
 
 def piped(columns: Iterable[Column]) -> Column:

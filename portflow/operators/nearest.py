@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portflow.functions.geo import haversine_km_radians
+from portflow.functions.geo import haversine_km, squared_chord, unit_vector
 from portflow.sources.ports import Port
 
 # Up to this many ports the distances are written out as plain expressions and compiled with the scan;
@@ -30,21 +30,23 @@ def _port_array(ports: Sequence[Port]) -> Column:
     )
 
 
-def _with_angles(df: DataFrame, lat: str, lon: str) -> DataFrame:
-    """Add the angles all distances share: latitude, its cosine and longitude in radians."""
-    phi = F.radians(lat)
-    return df.select("*", phi.alias("_phi"), F.cos(phi).alias("_cos"), F.radians(lon).alias("_lam"))
+_PLACE = ("_x", "_y", "_z")
 
 
-def _distance(lat: Column, lon: Column) -> Column:
-    phi = F.radians(lat)
-    return haversine_km_radians(F.col("_phi"), F.col("_cos"), F.col("_lam"), phi, F.cos(phi), F.radians(lon))
+def _placed(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Add the position's unit vector, which the comparison with every port shares."""
+    vector = unit_vector(F.col(lat), F.col(lon))
+    return df.select("*", *[part.alias(name) for part, name in zip(vector, _PLACE)])
+
+
+def _chord(lat: Column | float, lon: Column | float) -> Column:
+    return squared_chord(tuple(F.col(name) for name in _PLACE), unit_vector(lat, lon))
 
 
 def _candidates(ports: Sequence[Port]) -> list[Column]:
-    """(km, ordinal) of every port, as written-out expressions over the shared angles."""
+    """(squared chord, ordinal) of every port, as written-out expressions."""
     return [
-        F.struct(_distance(F.lit(p.latitude), F.lit(p.longitude)).alias("km"), F.lit(i).alias("ordinal"))
+        F.struct(_chord(p.latitude, p.longitude).alias("chord"), F.lit(i).alias("ordinal"))
         for i, p in enumerate(ports)
     ]
 
@@ -54,12 +56,12 @@ def _candidate_array(ports: Sequence[Port]) -> Column:
         return F.array(*_candidates(ports))
     return F.transform(
         _port_array(ports),
-        lambda port, i: F.struct(_distance(port["lat"], port["lon"]).alias("km"), i.alias("ordinal")),
+        lambda port, i: F.struct(_chord(port["lat"], port["lon"]).alias("chord"), i.alias("ordinal")),
     )
 
 
 def _nearest_candidate(ports: Sequence[Port]) -> Column:
-    """(km, ordinal) of the nearest port; on equal distance the lower ordinal is the smaller struct."""
+    """The candidate of the nearest port; on equal distance the lower ordinal is the smaller struct."""
     if 1 < len(ports) <= UNROLLED_PORTS:
         return F.least(*_candidates(ports))
     return F.array_min(_candidate_array(ports))
@@ -68,16 +70,18 @@ def _nearest_candidate(ports: Sequence[Port]) -> Column:
 def nearest_port(df: DataFrame, ports: Sequence[Port], lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Add the nearest port's columns, its distance and whether the position lies within its radius.
 
-    Rows without a coordinate keep null port columns and are not within any radius. The result is drawn
-    from a one-element array: a filter on a generated column is not rewritten into a filter on its
-    expression, which would compute all distances once per use.
+    Ports are compared by their straight-line distance on the unit sphere, a few multiplications each;
+    the great-circle distance is computed for the nearest one only. Rows without a coordinate keep null
+    port columns and are not within any radius. The result is drawn from a one-element array: a filter
+    on a generated column is not rewritten into a filter on its expression, which would compare all
+    ports once per use.
     """
     if not ports:
         raise ValueError("no ports given")
-    best = _nearest_candidate(ports)
-    found = _with_angles(df, lat, lon).select("*", F.explode(F.array(best)).alias("_nearest"))
-    km = F.col("_nearest.km")
-    port = F.when(km.isNotNull(), F.element_at(_port_array(ports), F.col("_nearest.ordinal") + 1))
+    found = _placed(df, lat, lon).select("*", F.explode(F.array(_nearest_candidate(ports))).alias("_nearest"))
+    known = F.col("_nearest.chord").isNotNull()
+    port = F.when(known, F.element_at(_port_array(ports), F.col("_nearest.ordinal") + 1))
+    km = haversine_km(F.col(lat), F.col(lon), port["lat"], port["lon"])
     return found.select(
         *df.columns,
         port["id"].alias("nearest_port_id"),
@@ -98,12 +102,13 @@ def nearest_ports(
         raise ValueError("no ports given")
     located = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     ranked = F.slice(F.array_sort(_candidate_array(ports)), 1, k)
-    exploded = _with_angles(located, lat, lon).select("*", F.posexplode(ranked).alias("_rank", "_port"))
+    exploded = _placed(located, lat, lon).select("*", F.posexplode(ranked).alias("_rank", "_port"))
     port = F.element_at(_port_array(ports), F.col("_port.ordinal") + 1)
+    km = haversine_km(F.col(lat), F.col(lon), port["lat"], port["lon"])
     return exploded.select(
         *df.columns,
         (F.col("_rank") + 1).alias("port_rank"),
         port["id"].alias("port_id"),
-        F.col("_port.km").alias("distance_to_port_km"),
-        (F.col("_port.km") <= port["radius"]).alias("is_within_port_radius"),
+        km.alias("distance_to_port_km"),
+        (km <= port["radius"]).alias("is_within_port_radius"),
     )

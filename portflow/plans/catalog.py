@@ -279,7 +279,7 @@ def _vessel_stops(settings: Settings) -> Query:
 
 def stops_by_port(spark: SparkSession, folder: str) -> DataFrame:
     by_port = reports.stops_by_port(Lake(spark, folder).stops)
-    return rounded(by_port, avg_dwell_minutes=4, max_dwell_minutes=4)
+    return rounded(by_port, avg_dwell_minutes=8, max_dwell_minutes=8)
 
 
 def stop_count(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,12 +314,12 @@ def proximity_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def stop_metrics(spark: SparkSession, folder: str) -> DataFrame:
     metrics = congestion.stop_metrics(Lake(spark, folder, stored=True).stops, WIDE)
-    return rounded(metrics, avg_dwell_time_minutes=4, p90_dwell_time_minutes=4)
+    return rounded(metrics, avg_dwell_time_minutes=8, p90_dwell_time_minutes=8)
 
 
 def stop_p90_approx(spark: SparkSession, folder: str) -> DataFrame:
     metrics = congestion.stop_metrics(Lake(spark, folder, stored=True).stops, WIDE, approx=True)
-    return rounded(metrics, avg_dwell_time_minutes=4, p90_dwell_time_minutes=4)
+    return rounded(metrics, avg_dwell_time_minutes=8, p90_dwell_time_minutes=8)
 
 
 def minmax_normalized(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,7 +331,7 @@ def minmax_normalized(spark: SparkSession, folder: str) -> DataFrame:
 
 def _shown(scores: DataFrame) -> DataFrame:
     return rounded(
-        scores.drop("created_at"), avg_dwell_time_minutes=4, p90_dwell_time_minutes=4,
+        scores.drop("created_at"), avg_dwell_time_minutes=8, p90_dwell_time_minutes=8,
         data_quality_rejection_rate=6, port_congestion_index=4,
     )
 

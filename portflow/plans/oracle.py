@@ -246,7 +246,7 @@ congestion AS (
 
 
 _CONGESTION_COLUMNS = """report_date, port_id, port_name, vessels_near_port, stopped_vessels,
-  round(avg_dwell_time_minutes, 4) AS avg_dwell_time_minutes, round(p90_dwell_time_minutes, 4) AS p90_dwell_time_minutes,
+  round(avg_dwell_time_minutes, 8) AS avg_dwell_time_minutes, round(p90_dwell_time_minutes, 8) AS p90_dwell_time_minutes,
   stopped_position_count, anomaly_count, round(data_quality_rejection_rate, 6) AS data_quality_rejection_rate,
   round(port_congestion_index, 4) AS port_congestion_index"""
 
@@ -436,7 +436,7 @@ ORACLES: dict[str, str] = {
     "stops_by_port": _with(
         _STOPS_WIDE,
         """SELECT nearest_port_name, count(*) AS stops, count(DISTINCT mmsi) AS stopped_vessels,
-          round(avg(dwell_time_minutes), 4) AS avg_dwell_minutes, round(max(dwell_time_minutes), 4) AS max_dwell_minutes
+          round(avg(dwell_time_minutes), 8) AS avg_dwell_minutes, round(max(dwell_time_minutes), 8) AS max_dwell_minutes
           FROM stops GROUP BY ALL ORDER BY stops DESC, nearest_port_name""",
     ),
     "stop_count": _with(_STOPS_DEFAULT, "SELECT count(*) AS stop_count FROM stops"),
@@ -465,8 +465,8 @@ ORACLES: dict[str, str] = {
     "stop_metrics": _with(
         _METRICS,
         """SELECT report_date, port_id, stops, stopped_vessels,
-          round(avg_dwell_time_minutes, 4) AS avg_dwell_time_minutes,
-          round(p90_dwell_time_minutes, 4) AS p90_dwell_time_minutes FROM stopped""",
+          round(avg_dwell_time_minutes, 8) AS avg_dwell_time_minutes,
+          round(p90_dwell_time_minutes, 8) AS p90_dwell_time_minutes FROM stopped""",
     ),
     "minmax_normalized": _with(
         _merged("FULL"),
