@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,11 +25,11 @@ def is_blank(text: Column) -> Column:
 def to_number(text: Column) -> Column:
     """Finite double, or null for blank or unreadable text.
 
-    The letters d, f and x mark Java literals such as ``12d`` or ``0x1p3``, which are no numbers in a
-    source file. They also rule out the spellings of infinity.
+    A number ends in a digit or a point. That rules out Java literals such as ``12d``, which Spark would
+    read as numbers, and the spellings of infinity.
     """
-    java_literal = reduce(or_, [F.contains(text, F.lit(letter)) for letter in "dDfFxX"])
-    number = F.when(~java_literal, text.try_cast("double"))
+    last = F.substring(F.rtrim(text), -1, 1)
+    number = F.when(last <= "9", text.try_cast("double"))
     return F.nanvl(number, F.lit(None).cast("double"))
 
 

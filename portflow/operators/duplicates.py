@@ -29,6 +29,20 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str] =
     return df.groupBy(*keys).agg(*measures).where(F.col("_copies") > 1)
 
 
+def repeated_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """64-bit hashes shared by two or more rows' keys: a superset of the repeated keys, eight bytes each.
+
+    Counting hashes is far cheaper than counting long text keys. Stored and joined back through
+    :func:`with_hash_in`, they leave few rows for the exact search.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("_hash"))
+    return hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select("_hash")
+
+
+def with_hash_in(df: DataFrame, keys: Sequence[str], hashes: DataFrame) -> DataFrame:
+    return df.join(hashes, F.xxhash64(*[df[key] for key in keys]) == hashes["_hash"], "left_semi")
+
+
 def sized_for_join(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a *written* table when its counted rows allow it; otherwise have it shuffled and hashed."""
     if table.limit(max_rows + 1).count() <= max_rows:

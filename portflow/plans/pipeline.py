@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.operators.anomalies import vessel_anomalies
 from portflow.operators.bronze import to_bronze
 from portflow.operators.congestion import congestion_base, congestion_index
-from portflow.operators.duplicates import KEEP_FIRST, duplicate_groups, sized_for_join
+from portflow.operators.duplicates import KEEP_FIRST, duplicate_groups, repeated_hashes, sized_for_join, with_hash_in
 from portflow.operators.nearest import nearest_port
 from portflow.operators.quality import classify, keep_valid, quality_report
 from portflow.operators.sessions import stop_candidates, vessel_stops
@@ -68,9 +68,15 @@ class Pipeline:
         self._write("bronze_messages", to_bronze(raw, self.settings))
 
     def silver(self) -> None:
-        """Repeated ids are found on narrow columns; when they are few the wide rows are not shuffled."""
+        """Flag every message; wide rows are not shuffled unless very many ids repeat.
+
+        Repeated ids are narrowed down by hash, then found exactly among the few rows left over.
+        """
         bronze = self.table("bronze_messages", position=True)
-        groups = self._scratch(duplicate_groups(bronze, ["message_id"], COPY_ORDER))
+        key = ["message_id"]
+        hashes = self._scratch(repeated_hashes(bronze, key))
+        suspects = with_hash_in(bronze, key, sized_for_join(hashes))
+        groups = self._scratch(duplicate_groups(suspects, key, COPY_ORDER))
         flagged = classify(bronze, self.settings, self.duplicate_policy, COPY_ORDER, sized_for_join(groups))
         status = F.col("quality_status")
         self._write(
@@ -90,10 +96,12 @@ class Pipeline:
         )
 
     def stops(self) -> None:
-        stops = vessel_stops(self.table("silver_proximity"), self.settings, self.ports)
-        self._write("silver_stops", stops.hint("rebalance", *BY_MONTH))
+        seen = Observation()
         candidates = stop_candidates(self.table("silver_proximity"), self.settings)
-        self.counts["silver_stops"]["candidates"] = candidates.count()
+        counted = candidates.observe(seen, F.count(F.lit(1)).alias("candidates"))
+        stops = vessel_stops(counted, self.settings, self.ports)
+        self._write("silver_stops", stops.hint("rebalance", *BY_MONTH))
+        self.counts["silver_stops"].update(seen.get)
 
     def anomalies(self) -> None:
         found = vessel_anomalies(self.table("silver_positions"), self.ports, self.settings)

@@ -14,6 +14,10 @@ SESSION_CONF = {
     # Split a skewed join partition even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Write a few partitions side by side rather than sort each task's rows by partition first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # The JVM leaves methods above this size uncompiled; a fused stage that big runs faster unfused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -13,7 +13,7 @@ def values(spark, texts, expression):
 
 
 def test_numbers(spark):
-    texts = ["12.5", " 7 ", "1e3", "-0.5", "", "  ", None, "abc", "nan", "NaN", "12d", "12f", "0x1p3", "inf", "-Infinity"]
+    texts = ["12.5", " 7 ", "1e3", "-0.5", "", "  ", None, "abc", "nan", "NaN", "12d", "12F ", "12f", "inf", "-Infinity"]
     assert values(spark, texts, to_number) == [12.5, 7.0, 1000.0, -0.5] + [None] * 11
 
 

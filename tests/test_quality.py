@@ -5,7 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from portflow.operators.bronze import padded_date_parts, to_bronze
-from portflow.operators.duplicates import FLAG_ALL, duplicate_groups, flag_duplicates, sized_for_join, with_row_position
+from portflow.operators.duplicates import (
+    FLAG_ALL,
+    duplicate_groups,
+    flag_duplicates,
+    repeated_hashes,
+    sized_for_join,
+    with_hash_in,
+    with_row_position,
+)
 from portflow.operators.quality import (
     classify,
     classify_raw,
@@ -136,6 +144,14 @@ def test_stored_groups_are_broadcast_only_when_small(spark):
     assert "ShuffledHashJoin" in plan(1)
 
 
+def test_narrowing_by_hash_finds_the_same_groups(spark):
+    rows = copies(spark, [(f"k{i % 60}", i, "x") for i in range(100)])
+    suspects = with_hash_in(rows, ["id"], repeated_hashes(rows, ["id"]))
+    assert suspects.count() == 80
+    found, exact = (sorted(map(tuple, duplicate_groups(r, ["id"], ["rank"]).collect())) for r in (suspects, rows))
+    assert found == exact
+
+
 def test_duplicate_policy_arguments(spark):
     rows = copies(spark, [("a", 1, "x")])
     with pytest.raises(ValueError):
