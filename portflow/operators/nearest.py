@@ -1,33 +1,42 @@
-"""Nearest port of each position as part of the scan: no join, no shuffle, no row explosion."""
+"""Nearest port of each position without comparing every position with every port in a join."""
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.functions.geo import haversine_km, squared_chord, unit_vector
+from portflow.session import scratch_dir
+from portflow.sources.layers import store
 from portflow.sources.ports import Port
 
-# Up to this many ports the distances are written out as plain expressions and compiled with the scan;
-# beyond it they are computed by a function over an array literal.
+# Up to this many ports the comparisons are written out as plain expressions and compiled with the scan.
 UNROLLED_PORTS = 32
 
+# Broadcast the per-cell port lists up to this many entries in total, about 50 bytes each.
+MAX_LISTED_PORTS = 1_000_000
+
+
+_PORT_TYPE = (
+    "array<struct<id: string, name: string, lat: double, lon: double, radius: double,"
+    " x: double, y: double, z: double>>"
+)
+
 
 def _port_array(ports: Sequence[Port]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(p.port_id).alias("id"),
-                F.lit(p.port_name).alias("name"),
-                F.lit(float(p.latitude)).alias("lat"),
-                F.lit(float(p.longitude)).alias("lon"),
-                F.lit(float(p.port_radius_km)).alias("radius"),
-            )
-            for p in ports
-        ]
-    )
+    """The ports as one array literal. It is handed over as JSON text, which the optimizer reads once."""
+    rows = []
+    for p in ports:
+        phi, lam = math.radians(p.latitude), math.radians(p.longitude)
+        x, y, z = math.cos(phi) * math.cos(lam), math.cos(phi) * math.sin(lam), math.sin(phi)
+        rows.append([p.port_id, p.port_name, p.latitude, p.longitude, p.port_radius_km, x, y, z])
+    names = ("id", "name", "lat", "lon", "radius", "x", "y", "z")
+    rows = [dict(zip(names, row)) for row in rows]
+    return F.from_json(F.lit(json.dumps(rows)), _PORT_TYPE)
 
 
 _PLACE = ("_x", "_y", "_z")
@@ -39,14 +48,14 @@ def _placed(df: DataFrame, lat: str, lon: str) -> DataFrame:
     return df.select("*", *[part.alias(name) for part, name in zip(vector, _PLACE)])
 
 
-def _chord(lat: Column | float, lon: Column | float) -> Column:
-    return squared_chord(tuple(F.col(name) for name in _PLACE), unit_vector(lat, lon))
+def _chord(vector: tuple[Column, ...]) -> Column:
+    return squared_chord(tuple(F.col(name) for name in _PLACE), vector)
 
 
 def _candidates(ports: Sequence[Port]) -> list[Column]:
     """(squared chord, ordinal) of every port, as written-out expressions."""
     return [
-        F.struct(_chord(p.latitude, p.longitude).alias("chord"), F.lit(i).alias("ordinal"))
+        F.struct(_chord(unit_vector(p.latitude, p.longitude)).alias("chord"), F.lit(i).alias("ordinal"))
         for i, p in enumerate(ports)
     ]
 
@@ -56,29 +65,101 @@ def _candidate_array(ports: Sequence[Port]) -> Column:
         return F.array(*_candidates(ports))
     return F.transform(
         _port_array(ports),
-        lambda port, i: F.struct(_chord(port["lat"], port["lon"]).alias("chord"), i.alias("ordinal")),
+        lambda port, i: F.struct(_chord((port["x"], port["y"], port["z"])).alias("chord"), i.alias("ordinal")),
+    )
+
+
+def _with_nearest(df: DataFrame, ports: Sequence[Port]) -> DataFrame:
+    """Add ``_nearest``: the nearest port's candidate, the lower ordinal on equal distance.
+
+    It is drawn from a one-element array: a filter on a generated column is not rewritten into a filter
+    on its expression, which would compare all ports once per use.
+    """
+    if len(ports) == 1:
+        best = _candidates(ports)[0]
+    elif len(ports) <= UNROLLED_PORTS:
+        best = F.least(*_candidates(ports))
+    else:
+        df = _with_cell_candidates(df, ports)
+        best = F.array_min(
+            F.transform(
+                "_ports",
+                lambda port: F.struct(
+                    _chord((port["x"], port["y"], port["z"])).alias("chord"), port["ordinal"].alias("ordinal")
+                ),
+            )
+        )
+    return df.select("*", F.explode(F.array(best)).alias("_nearest"))
+
+
+def _cell() -> Column:
+    """Number of the one-degree cell a unit vector points to; out-of-range degrees have a vector, too."""
+    row = F.least(F.floor(F.degrees(F.asin(F.greatest(F.least(F.col("_z"), F.lit(1.0)), F.lit(-1.0))))), F.lit(89))
+    column = F.least(F.floor(F.degrees(F.atan2("_y", "_x"))), F.lit(179))
+    return (row + 90) * 360 + column + 180
+
+
+def _reachable(cells: DataFrame, degrees: int) -> DataFrame:
+    """Keep, of each cell's ``_ports``, those that can be nearest to some point of the cell.
+
+    No point of a cell is more than ``degrees`` from its centre. With the centre's nearest port d degrees
+    away, a point's nearest port is at most ``d + 2 * degrees`` from the centre.
+    """
+    reach = 2 * math.radians(degrees) + 1e-9
+    chords = F.transform("_ports", lambda port: _chord((port["x"], port["y"], port["z"])))
+    nearest = F.array_min(F.col("_chords"))
+    limit = F.least(2 * F.asin(F.least(F.sqrt(nearest) / 2, F.lit(1.0))) + reach, F.lit(math.pi))
+    measured = _placed(cells, "_lat", "_lon").select("*", F.explode(F.array(chords)).alias("_chords"))
+    limited = measured.withColumn("_limit", F.pow(2 * F.sin(limit / 2), F.lit(2.0)) + 1e-12)
+    kept = F.filter("_ports", lambda port, i: F.element_at("_chords", i + 1) <= F.col("_limit"))
+    return limited.select("_cell", kept.alias("_ports"))
+
+
+def _cell_ports(spark: SparkSession, ports: Sequence[Port]) -> DataFrame:
+    """The ports worth comparing for each of the 64,800 one-degree cells, found by way of ten-degree cells."""
+    listed = F.transform(
+        _port_array(ports),
+        lambda port, i: F.struct(i.alias("ordinal"), port["x"].alias("x"), port["y"].alias("y"), port["z"].alias("z")),
+    )
+    cell = F.col("_cell")
+    coarse = spark.range(0, 18 * 36, 1, 18).select(
+        F.col("id").alias("_cell"),
+        (F.floor(F.col("id") / 36) * 10 - 85.0).alias("_lat"),
+        (F.col("id") % 36 * 10 - 175.0).alias("_lon"),
+        listed.alias("_ports"),
+    )
+    wide = _reachable(coarse, 10).withColumnRenamed("_cell", "_wide_cell")
+    fine = spark.range(0, 180 * 360, 1, 64).withColumnRenamed("id", "_cell")
+    row, column = F.floor(cell / 360), cell % 360
+    placed = fine.select(
+        "_cell",
+        (row - 89.5).alias("_lat"),
+        (column - 179.5).alias("_lon"),
+        (F.floor(row / 10) * 36 + F.floor(column / 10)).alias("_own_wide_cell"),
     )
+    return _reachable(placed.join(wide, F.col("_own_wide_cell") == F.col("_wide_cell")), 1)
 
 
-def _nearest_candidate(ports: Sequence[Port]) -> Column:
-    """The candidate of the nearest port; on equal distance the lower ordinal is the smaller struct."""
-    if 1 < len(ports) <= UNROLLED_PORTS:
-        return F.least(*_candidates(ports))
-    return F.array_min(_candidate_array(ports))
+def _with_cell_candidates(df: DataFrame, ports: Sequence[Port]) -> DataFrame:
+    """Add the few ports worth comparing. The cells are broadcast if their port lists are short in total."""
+    spark = df.sparkSession
+    cells = store(_cell_ports(spark, ports), scratch_dir(spark))
+    listed = cells.agg(F.sum(F.size("_ports"))).first()[0]
+    sized = F.broadcast(cells) if listed <= MAX_LISTED_PORTS else cells.hint("shuffle_hash")
+    return df.withColumn("_own_cell", _cell()).join(sized, F.col("_own_cell") == F.col("_cell"), "left")
 
 
 def nearest_port(df: DataFrame, ports: Sequence[Port], lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Add the nearest port's columns, its distance and whether the position lies within its radius.
 
     Ports are compared by their straight-line distance on the unit sphere, a few multiplications each;
-    the great-circle distance is computed for the nearest one only. Rows without a coordinate keep null
-    port columns and are not within any radius. The result is drawn from a one-element array: a filter
-    on a generated column is not rewritten into a filter on its expression, which would compare all
-    ports once per use.
+    the great-circle distance is computed for the nearest one only. A few ports are all compared, in the
+    scan and without a join; of many ports, only those that can be nearest to the position's one-degree
+    cell. Rows without a coordinate keep null port columns and are not within any radius.
     """
     if not ports:
         raise ValueError("no ports given")
-    found = _placed(df, lat, lon).select("*", F.explode(F.array(_nearest_candidate(ports))).alias("_nearest"))
+    found = _with_nearest(_placed(df, lat, lon), ports)
     known = F.col("_nearest.chord").isNotNull()
     port = F.when(known, F.element_at(_port_array(ports), F.col("_nearest.ordinal") + 1))
     km = haversine_km(F.col(lat), F.col(lon), port["lat"], port["lon"])

@@ -385,6 +385,45 @@ def roundtrip_csv(spark: SparkSession, folder: str) -> DataFrame:
     return raw_files.read_raw_csv(spark, path).select(*RAW_FIELDS[1:])
 
 
+def _zip_parts(spark: SparkSession, csv_folder: str, zip_folder: str) -> None:
+    """Pack every CSV part file into a zip archive of its own, one task per file, in chunks."""
+
+    def pack(batches):
+        import shutil
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch["path"]:
+                system, source = fs.FileSystem.from_uri(path)
+                name = source.rsplit("/", 1)[-1]
+                _, target = fs.FileSystem.from_uri(zip_uri)
+                system.create_dir(target, recursive=True)
+                with (
+                    system.open_input_stream(source) as text,
+                    system.open_output_stream(f"{target}/{name[:-4]}.zip") as sink,
+                    zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive,
+                    archive.open(name, "w", force_zip64=True) as member,
+                ):
+                    shutil.copyfileobj(text, member, 1 << 20)
+                yield pd.DataFrame({"packed": [name]})
+
+    zip_uri = raw_files.as_uri(zip_folder)
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(csv_folder).select("path")
+    parts.mapInPandas(pack, "packed string").write.format("noop").mode("overwrite").save()
+
+
+def zip_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw messages written as CSV, zipped part by part, and read from the archives."""
+    root = scratch_dir(spark)
+    raw = bronze_ops.with_raw_columns(Lake(spark, folder).raw)
+    layers.write_csv(raw.select(*raw_files.RAW_COLUMNS), layers.layer_path(root, "csv"))
+    _zip_parts(spark, layers.layer_path(root, "csv"), layers.layer_path(root, "zip"))
+    return raw_files.read_raw_zip(spark, layers.layer_path(root, "zip")).select(*RAW_FIELDS[1:])
+
+
 def pruned_months(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts of a span of months, read from the folders of those months only."""
     path = layers.layer_path(scratch_dir(spark), "bronze_messages")
@@ -453,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "nation_supplier_index": nation_supplier_index,
     "roundtrip_partitioned": roundtrip_partitioned,
     "roundtrip_csv": roundtrip_csv,
+    "zip_scan": zip_scan,
     "pruned_months": pruned_months,
     "table_row_counts": table_row_counts,
 }

@@ -507,6 +507,7 @@ ORACLES: dict[str, str] = {
         """SELECT nullif(MMSI, '') AS MMSI, BaseDateTime, LAT, nullif(LON, '') AS LON, nullif(SOG, '') AS SOG, COG, Heading
           FROM raw""",
     ),
+    "zip_scan": _with(_RAW, "SELECT MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading FROM raw"),
     "pruned_months": _with(
         _BRONZE,
         """SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,

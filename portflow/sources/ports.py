@@ -50,7 +50,7 @@ def load_ports(ports: DataFrame, max_ports: int = MAX_PORTS) -> tuple[Port, ...]
     if not rows:
         raise ValueError("the ports table is empty")
     if len(rows) > max_ports:
-        raise ValueError(f"more than {max_ports} ports; use nearest_port_by_cell")
+        raise ValueError(f"more than {max_ports} ports: too many to carry in a plan")
     return tuple(
         Port(r.port_id, r.port_name, r.port_latitude, r.port_longitude, r.port_radius_km) for r in rows
     )

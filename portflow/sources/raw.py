@@ -66,7 +66,7 @@ class _ZippedCsvReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(_as_uri(self.path))
+        system, root = fs.FileSystem.from_uri(as_uri(self.path))
         info = system.get_file_info(root)
         found = [info] if info.is_file else system.get_file_info(fs.FileSelector(root, recursive=True))
         archives = sorted(f.path for f in found if f.is_file and f.path.lower().endswith(".zip"))
@@ -84,7 +84,7 @@ class _ZippedCsvReader(DataSourceReader):
         from pyarrow import csv as arrow_csv
         from pyarrow import fs
 
-        system, _ = fs.FileSystem.from_uri(_as_uri(self.path))
+        system, _ = fs.FileSystem.from_uri(as_uri(self.path))
         source = basename(partition.archive)
         uneven: list[str] = []
 
@@ -133,7 +133,7 @@ def _with_source(pa, columns: list, rows: int, source: str):
     return pa.RecordBatch.from_arrays([*columns, lineage], names=[*RAW_COLUMNS, "source_file"])
 
 
-def _as_uri(path: str) -> str:
+def as_uri(path: str) -> str:
     return path if "://" in path or path.startswith("file:/") else f"file://{path}"
 
 

@@ -48,6 +48,27 @@ def test_nearest_port_against_brute_force(spark, ports):
         assert found[i].is_within_port_radius == (km[best] <= 900.0)
 
 
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_many_ports_in_clusters_and_at_the_edges(spark, monkeypatch, limit):
+    from portflow.operators import nearest
+
+    monkeypatch.setattr(nearest, "MAX_LISTED_PORTS", limit)
+    rng = random.Random(3)
+    spots = [(0.0, 179.99), (0.0, -179.99), (89.9, 10.0), (-89.9, -170.0), (45.0, 45.0), (-90.0, 0.0)]
+    spots += [(45.0 + rng.uniform(-0.5, 0.5), 45.0 + rng.uniform(-0.5, 0.5)) for _ in range(60)]
+    ports = [Port(f"p{i}", f"P{i}", lat, lon, 50.0) for i, (lat, lon) in enumerate(spots)]
+    rows = [(i, lat, lon) for i, (lat, lon) in enumerate(
+        [(0.0, 180.0), (0.0, -180.0), (90.0, 0.0), (-90.0, 0.0), (45.0, 46.0), (44.999, 44.999), (91.0, 10.0), (2.0, 300.0)]
+        + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(150)]
+        + [(45 + rng.uniform(-2, 2), 45 + rng.uniform(-2, 2)) for _ in range(150)]
+    )] + [(999, None, 1.0)]
+    found = {r.id: r for r in nearest_port(positions(spark, rows), ports).collect()}
+    assert len(found) == len(rows) and found[999].nearest_port_id is None
+    for i, lat, lon in rows[:-1]:
+        km = min(expected_km(lat, lon, p.latitude, p.longitude) for p in ports)
+        assert found[i].distance_to_port_km == pytest.approx(km, abs=1e-5), (lat, lon)
+
+
 def test_equal_distances_keep_the_first_port(spark):
     for twins in ([("a", 10.0), ("b", -10.0)], [("b", -10.0), ("a", 10.0)]):
         ports = [Port(name, name, 0.0, lon, 20.0) for name, lon in twins]
