@@ -17,7 +17,7 @@ from portflow.sources.ports import Port
 # Up to this many ports the comparisons are written out as plain expressions and compiled with the scan.
 UNROLLED_PORTS = 32
 
-# Broadcast the per-cell port lists up to this many entries in total, about 50 bytes each.
+# Broadcast the per-cell port lists up to this many entries in total, about 80 bytes each.
 MAX_LISTED_PORTS = 1_000_000
 
 
@@ -52,21 +52,39 @@ def _chord(vector: tuple[Column, ...]) -> Column:
     return squared_chord(tuple(F.col(name) for name in _PLACE), vector)
 
 
+def _candidate(vector: tuple[Column, ...], ordinal: Column, lat: Column, lon: Column, radius: Column) -> Column:
+    """A port as seen from the position: candidates compare by squared chord, then by ordinal."""
+    return F.struct(
+        _chord(vector).alias("chord"),
+        ordinal.alias("ordinal"),
+        lat.alias("lat"),
+        lon.alias("lon"),
+        radius.alias("radius"),
+    )
+
+
 def _candidates(ports: Sequence[Port]) -> list[Column]:
-    """(squared chord, ordinal) of every port, as written-out expressions."""
+    """The candidates of all ports, as written-out expressions."""
     return [
-        F.struct(_chord(unit_vector(p.latitude, p.longitude)).alias("chord"), F.lit(i).alias("ordinal"))
+        _candidate(
+            unit_vector(p.latitude, p.longitude),
+            F.lit(i),
+            F.lit(float(p.latitude)),
+            F.lit(float(p.longitude)),
+            F.lit(float(p.port_radius_km)),
+        )
         for i, p in enumerate(ports)
     ]
 
 
+def _listed_candidate(port: Column, ordinal: Column) -> Column:
+    return _candidate((port["x"], port["y"], port["z"]), ordinal, port["lat"], port["lon"], port["radius"])
+
+
 def _candidate_array(ports: Sequence[Port]) -> Column:
     if len(ports) <= UNROLLED_PORTS:
         return F.array(*_candidates(ports))
-    return F.transform(
-        _port_array(ports),
-        lambda port, i: F.struct(_chord((port["x"], port["y"], port["z"])).alias("chord"), i.alias("ordinal")),
-    )
+    return F.transform(_port_array(ports), _listed_candidate)
 
 
 def _with_nearest(df: DataFrame, ports: Sequence[Port]) -> DataFrame:
@@ -81,14 +99,7 @@ def _with_nearest(df: DataFrame, ports: Sequence[Port]) -> DataFrame:
         best = F.least(*_candidates(ports))
     else:
         df = _with_cell_candidates(df, ports)
-        best = F.array_min(
-            F.transform(
-                "_ports",
-                lambda port: F.struct(
-                    _chord((port["x"], port["y"], port["z"])).alias("chord"), port["ordinal"].alias("ordinal")
-                ),
-            )
-        )
+        best = F.array_min(F.transform("_ports", lambda port: _listed_candidate(port, port["ordinal"])))
     return df.select("*", F.explode(F.array(best)).alias("_nearest"))
 
 
@@ -119,7 +130,9 @@ def _cell_ports(spark: SparkSession, ports: Sequence[Port]) -> DataFrame:
     """The ports worth comparing for each of the 64,800 one-degree cells, found by way of ten-degree cells."""
     listed = F.transform(
         _port_array(ports),
-        lambda port, i: F.struct(i.alias("ordinal"), port["x"].alias("x"), port["y"].alias("y"), port["z"].alias("z")),
+        lambda port, i: F.struct(
+            i.alias("ordinal"), *[port[name].alias(name) for name in ("x", "y", "z", "lat", "lon", "radius")]
+        ),
     )
     cell = F.col("_cell")
     coarse = spark.range(0, 18 * 36, 1, 18).select(
@@ -161,17 +174,17 @@ def nearest_port(df: DataFrame, ports: Sequence[Port], lat: str = "latitude", lo
         raise ValueError("no ports given")
     found = _with_nearest(_placed(df, lat, lon), ports)
     known = F.col("_nearest.chord").isNotNull()
-    port = F.when(known, F.element_at(_port_array(ports), F.col("_nearest.ordinal") + 1))
-    km = haversine_km(F.col(lat), F.col(lon), port["lat"], port["lon"])
+    port = F.element_at(_port_array(ports), F.col("_nearest.ordinal") + 1)
+    km = haversine_km(F.col(lat), F.col(lon), F.col("_nearest.lat"), F.col("_nearest.lon"))
     return found.select(
         *df.columns,
-        port["id"].alias("nearest_port_id"),
-        port["name"].alias("nearest_port_name"),
-        port["lat"].alias("port_latitude"),
-        port["lon"].alias("port_longitude"),
-        port["radius"].alias("port_radius_km"),
+        F.when(known, port["id"]).alias("nearest_port_id"),
+        F.when(known, port["name"]).alias("nearest_port_name"),
+        F.when(known, F.col("_nearest.lat")).alias("port_latitude"),
+        F.when(known, F.col("_nearest.lon")).alias("port_longitude"),
+        F.when(known, F.col("_nearest.radius")).alias("port_radius_km"),
         km.alias("distance_to_port_km"),
-        F.coalesce(km <= port["radius"], F.lit(False)).alias("is_within_port_radius"),
+        F.coalesce(km <= F.col("_nearest.radius"), F.lit(False)).alias("is_within_port_radius"),
     )
 
 
@@ -185,11 +198,11 @@ def nearest_ports(
     ranked = F.slice(F.array_sort(_candidate_array(ports)), 1, k)
     exploded = _placed(located, lat, lon).select("*", F.posexplode(ranked).alias("_rank", "_port"))
     port = F.element_at(_port_array(ports), F.col("_port.ordinal") + 1)
-    km = haversine_km(F.col(lat), F.col(lon), port["lat"], port["lon"])
+    km = haversine_km(F.col(lat), F.col(lon), F.col("_port.lat"), F.col("_port.lon"))
     return exploded.select(
         *df.columns,
         (F.col("_rank") + 1).alias("port_rank"),
         port["id"].alias("port_id"),
         km.alias("distance_to_port_km"),
-        (km <= port["radius"]).alias("is_within_port_radius"),
+        (km <= F.col("_port.radius")).alias("is_within_port_radius"),
     )

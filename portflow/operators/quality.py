@@ -22,11 +22,11 @@ def _sure(condition: Column) -> Column:
 
 
 def valid_latitude(degrees: Column) -> Column:
-    return _sure(degrees.between(-90.0, 90.0))
+    return _sure(F.abs(degrees) <= 90.0)
 
 
 def valid_longitude(degrees: Column) -> Column:
-    return _sure(degrees.between(-180.0, 180.0))
+    return _sure(F.abs(degrees) <= 180.0)
 
 
 def speed_unavailable(knots: Column, settings: Settings) -> Column:
