@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portflow.functions.cleaning import is_blank, piped_sha256
-from portflow.functions.timing import compact_time, minutes_between, slot_start
+from portflow.functions.timing import MICROS_PER_MINUTE, compact_time, micros_between, minutes_between, slot_start
 from portflow.operators.bronze import date_parts
 from portflow.schemas import STOP_COLUMNS
 from portflow.settings import Settings
@@ -114,14 +114,24 @@ def position_gaps(df: DataFrame, keys: Sequence[str], ts: str, max_gap_minutes:
 def episodes_by_session_window(
     df: DataFrame, keys: Sequence[str], ts: str, max_gap_minutes: int
 ) -> DataFrame:
-    """Episodes through Spark's session window, for comparison; it sorts all rows of a key in one task."""
-    session = F.session_window(F.col(ts), f"{max_gap_minutes} minutes")
+    """Episodes through Spark's session window, which merges the slots of a key rather than its rows.
+
+    A slot opens a session at its first time that lasts until the gap after its last time, so the sort by
+    key and time inside the session window sees one row per slot.
+    """
+    slots = (
+        df.withColumn(SLOT, slot_start(F.col(ts), max_gap_minutes))
+        .groupBy(*keys, SLOT)
+        .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+    )
+    open_for = micros_between(F.col("_first"), F.col("_last")) + F.lit(max_gap_minutes * MICROS_PER_MINUTE)
+    session = F.session_window(F.col("_first"), F.concat(open_for.cast("string"), F.lit(" microseconds")))
     return (
-        df.groupBy(*keys, session)
+        slots.groupBy(*keys, session)
         .agg(
-            F.min(ts).alias("episode_start"),
-            F.max(ts).alias("episode_end"),
-            F.count(F.lit(1)).alias("message_count"),
+            F.min("_first").alias("episode_start"),
+            F.max("_last").alias("episode_end"),
+            F.sum("_rows").alias("message_count"),
         )
         .drop("session_window")
     )

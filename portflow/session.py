@@ -33,15 +33,21 @@ def build_session(app_name: str = "portflow", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession) -> str:
     """A new, unused path for intermediate tables.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset, as in tests on one machine, a local temporary folder takes its place.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="portflow-")
-    return f"{base}/portflow-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_folder(spark)
+    return f"{base.rstrip('/')}/portflow-{uuid.uuid4().hex}"
+
+
+def _local_folder(spark: SparkSession) -> str:
+    """A temporary folder, for tests on one machine only: executors of a cluster could not share it."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="portflow-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` a folder; a folder set by the cluster is kept."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="portflow-checkpoint-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(shared or _local_folder(spark))

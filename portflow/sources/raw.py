@@ -106,11 +106,18 @@ class _ZippedCsvReader(DataSourceReader):
             reader = _open_chunks(arrow_csv, member, header, keep_aside)
             for chunk in reader or ():
                 yield _with_source(pa, [chunk.column(name) for name in RAW_COLUMNS], chunk.num_rows, source)
+                if uneven:
+                    yield _uneven_rows(pa, uneven, header, source)
+                    uneven.clear()
         if uneven:
-            # Lines with too few or too many fields: missing ones are null, surplus ones are dropped.
-            rows = [dict(zip(header, fields)) for fields in csv.reader(uneven)]
-            columns = [pa.array([row.get(name) for row in rows], pa.string()) for name in RAW_COLUMNS]
-            yield _with_source(pa, columns, len(rows), source)
+            yield _uneven_rows(pa, uneven, header, source)
+
+
+def _uneven_rows(pa, lines: list[str], header: list[str], source: str):
+    """Lines with too few or too many fields: missing ones are null, surplus ones are dropped."""
+    rows = [dict(zip(header, fields)) for fields in csv.reader(lines)]
+    columns = [pa.array([row.get(name) for row in rows], pa.string()) for name in RAW_COLUMNS]
+    return _with_source(pa, columns, len(rows), source)
 
 
 def _open_chunks(arrow_csv, member, header: list[str], keep_aside):
