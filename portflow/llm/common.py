@@ -75,6 +75,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def flat_ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The concatenation of the ranges start ... start + size - 1."""
+    filled = sizes > 0
+    starts, sizes = starts[filled], sizes[filled]
+    ends = np.cumsum(sizes)
+    steps = np.ones(int(ends[-1]) if len(ends) else 0, np.int64)
+    if len(steps):
+        steps[0] = starts[0]
+        steps[ends[:-1]] = starts[1:] - starts[:-1] - sizes[:-1] + 1
+    return np.cumsum(steps)
+
+
 # Bytes of words: ASCII letters and digits, and every byte of a non-ASCII character.
 WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True

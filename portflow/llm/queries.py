@@ -9,10 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from portflow.llm.common import ROW, read_table
 from portflow.llm.exact_dedup import exact_duplicates
 from portflow.llm.mixing import mix, taken_words
+from portflow.llm.packing import pack
+from portflow.llm.substring_dedup import without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(read_table(spark, folder, "documents"), digest_only=True).drop("kept")
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(read_table(spark, folder, "documents"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken_words(mix(read_table(spark, folder, "documents"))).drop(ROW)
 
@@ -22,6 +32,8 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op3_packing": op3_packing,
     "op7_mixing": op7_mixing,
     "op9_exact_dedup": op9_exact_dedup,
 }
