@@ -106,14 +106,17 @@ def _powers(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(steps)
 
 
-def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash every word of the concatenated texts; returns the hashes and, per text, where its words start.
+def word_hashes(
+    raw: np.ndarray, bounds: np.ndarray, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hash every word of the concatenated texts; returns the hashes, per text, where its words start, and for
+    each of ``prefixes`` the hashes of so many first bytes of the words, 0 for words that are no longer.
 
     A word is a maximal run of word bytes. Its hash is a polynomial over its bytes, modulo 2**64, mixed.
     """
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), [np.zeros(0, np.uint64)] * len(prefixes)
     inside = WORD_BYTE[raw]
     before = np.empty(n, bool)
     before[0] = False
@@ -128,5 +131,11 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     ends = np.flatnonzero(inside & ends_mask) + 1
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((LOWER[raw].astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
-    hashes = mix64((sums[ends] - sums[starts]) * _powers(_INVERSE, n)[starts])
-    return hashes, np.searchsorted(starts, bounds).astype(np.int64)
+    scale = _powers(_INVERSE, n)[starts]
+    hashes = mix64((sums[ends] - sums[starts]) * scale)
+    begun = []
+    for size in prefixes:
+        cut = np.minimum(starts + size, ends)
+        found = mix64((sums[cut] - sums[starts]) * scale + np.uint64(size))
+        begun.append(np.where(ends - starts > size, found, np.uint64(0)))
+    return hashes, np.searchsorted(starts, bounds).astype(np.int64), begun

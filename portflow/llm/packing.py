@@ -42,7 +42,7 @@ LETTER, NUMBER, OTHER, SPACE, END = range(5)
 END_CODE = sys.maxunicode + 1
 
 
-def _classes() -> np.ndarray:
+def code_classes() -> np.ndarray:
     """The kind of every code point; END_CODE, which is none, ends a text."""
     kinds = {"L": LETTER, "N": NUMBER}
     found = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(END_CODE)), np.uint8, END_CODE)
@@ -97,7 +97,7 @@ class PieceTokenizer:
         self.encode_piece = tiktoken.Encoding(
             "byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self.kinds = _classes()
+        self.kinds = code_classes()
         self.powers = mix64(np.arange(1, 1 << 12, dtype=np.uint64)) | np.uint64(1)
         self.cache: dict[str, bytes] = {}
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from portflow.llm.common import ROW, read_table
+from portflow.llm import language, toxicity
+from portflow.llm.common import ROW, id_hash_mod, read_table, with_row
 from portflow.llm.exact_dedup import exact_duplicates
 from portflow.llm.mixing import mix, taken_words
 from portflow.llm.packing import pack
@@ -23,6 +25,21 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read_table(spark, folder, "documents"))
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    held_out = id_hash_mod("doc_id", 3) == 1
+    models = language.fit(language.training_rows(docs, ~held_out))
+    return language.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), models)
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_row(read_table(spark, folder, "documents"))
+    held_out = id_hash_mod("doc_id", 5) == 0
+    training = docs.where(~held_out)
+    model = toxicity.fit(training, toxicity.labelled_rows(training, read_table(spark, folder, "labels")))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken_words(mix(read_table(spark, folder, "documents"))).drop(ROW)
 
@@ -34,6 +51,8 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_packing": op3_packing,
+    "op4_language": op4_language,
+    "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op9_exact_dedup": op9_exact_dedup,
 }
