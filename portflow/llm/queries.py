@@ -11,6 +11,7 @@ from portflow.llm import language, toxicity
 from portflow.llm.common import ROW, id_hash_mod, read_table, with_row
 from portflow.llm.exact_dedup import exact_duplicates
 from portflow.llm.mixing import mix, taken_words
+from portflow.llm.near_dedup import near_classes
 from portflow.llm.packing import pack
 from portflow.llm.substring_dedup import without_repeats
 
@@ -48,6 +49,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(read_table(spark, folder, "documents")).drop(ROW)
 
 
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_classes(read_table(spark, folder, "documents")).drop(ROW)
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_packing": op3_packing,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
