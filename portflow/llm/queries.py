@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portflow.llm import language, toxicity
-from portflow.llm.common import ROW, id_hash_mod, read_table, with_row
+import corpus_pipeline
+from portflow.llm import fixity, language, toxicity
+from portflow.llm.common import ROW, id_hash_mod, read_table, stored, with_row
 from portflow.llm.exact_dedup import exact_duplicates
+from portflow.llm.line_dedup import without_boilerplate
 from portflow.llm.mixing import mix, taken_words
 from portflow.llm.near_dedup import near_classes
 from portflow.llm.packing import pack
 from portflow.llm.substring_dedup import without_repeats
+from portflow.llm.topk import top_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +25,11 @@ def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(read_table(spark, folder, "documents"), digest_only=True).drop("kept")
 
 
+def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return top_products(vectors, F.col("vec_id") % 100 == 0).drop("q_row")
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read_table(spark, folder, "documents"))
 
@@ -41,10 +49,37 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = without_boilerplate(read_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken_words(mix(read_table(spark, folder, "documents"))).drop(ROW)
 
 
+def op8_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit a replica of the archive of all pages; its damage is planted by page_id (see the SQL)."""
+    page, data = F.col("page_id"), fixity.record()
+    half = data.substr(F.lit(1), F.floor(F.char_length(data) / 2).cast("int"))
+    copy = (
+        F.when(page % 97 == 11, None).when(page % 101 == 3, half).when(page % 53 == 7, F.concat(data, F.lit("!"))).otherwise(data)
+    )
+    records = read_table(spark, folder, "pages").select(
+        "page_id",
+        F.octet_length(data).cast("long").alias("length"),
+        fixity.digest(data).alias("digest"),
+        F.octet_length(copy).cast("long").alias("copy_length"),
+        fixity.digest(copy).alias("copy_digest"),
+    )
+    archive = stored(fixity.laid_out(records, "page_id", "digest", "length"))
+    replica = archive.where("copy_digest is not null").select(
+        "offset", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest")
+    )
+    found = fixity.audit(archive.select("offset", "length", "digest"), replica)
+    return found.join(archive.select("page_id", "offset"), "offset").select("page_id", "offset", "length", "status")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(read_table(spark, folder, "documents")).drop(ROW)
 
@@ -55,15 +90,63 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_exact_topk": op2_exact_topk,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
+    "op8_warc_fixity": op8_warc_fixity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_exact_topk": """
+        WITH scaled AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+          SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+          FROM scaled q JOIN scaled x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id),
+        ranked AS (
+          SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+          FROM scores)
+        SELECT * FROM ranked WHERE rank <= 10""",
+    "op6_line_dedup": r"""
+        WITH numbered AS (
+          SELECT row_number() OVER () AS r, doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines
+          FROM documents),
+        lines AS (
+          SELECT r, source, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM numbered),
+        keyed AS (
+          SELECT r, source, pos, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS core FROM lines),
+        sites AS (
+          SELECT core FROM keyed WHERE length(core) >= 20 GROUP BY core
+          HAVING count(DISTINCT coalesce('=' || source, '?')) >= 8),
+        judged AS (
+          SELECT r, pos, line, core IN (SELECT core FROM sites) AS boilerplate FROM keyed),
+        grouped AS (
+          SELECT r, count(*) AS n_lines, count(*) FILTER (boilerplate) AS n_removed,
+            coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT boilerplate), '') AS kept
+          FROM judged GROUP BY r)
+        SELECT doc_id, n_lines, n_removed, sha256(kept) AS kept_sha256 FROM numbered JOIN grouped USING (r)""",
+    "op8_warc_fixity": r"""
+        WITH records AS (
+          SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+            || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+            || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+            || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS data
+          FROM pages),
+        laid AS (
+          SELECT page_id, strlen(data)::BIGINT AS length,
+            (sum(strlen(data)) OVER (ORDER BY page_id NULLS LAST, sha256(data) ROWS UNBOUNDED PRECEDING))::BIGINT
+              - strlen(data) AS "offset"
+          FROM records)
+        SELECT page_id, "offset", length, CASE WHEN page_id % 97 = 11 THEN 'missing' ELSE 'changed' END AS status
+        FROM laid WHERE page_id % 97 = 11 OR page_id % 101 = 3 OR page_id % 53 = 7""",
     "op7_mixing": r"""
         WITH sized AS (
           SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size

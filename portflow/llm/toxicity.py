@@ -232,31 +232,44 @@ def fit(docs: DataFrame, toxic: DataFrame, text: str = "text") -> Model:
     return centred(model, positive[::5], unlabelled[::5], prior)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add ``score`` and ``predicted`` to the columns of ``docs``; the last column must be the text, which goes.
+def _batch_scores(model: Model, texts: pa.Array) -> np.ndarray:
+    """The score of every text; null counts as the empty text, whose score is that of the bias alone."""
+    raw, bounds = binary_parts(texts.fill_null("") if texts.null_count else texts)
+    found = np.zeros(len(texts))
+    with np.errstate(over="ignore"):
+        for lo, hi in slices(np.diff(bounds), BATCH_BYTES):
+            found[lo:hi] = model.scores(*word_sets(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]))
+    return found
 
-    Null counts as the empty text, whose score is that of the bias alone.
-    """
+
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` but the text, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
     kept = [c for c in docs.columns if c != text]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], text_or_empty(text).cast("binary").alias(text))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                raw, bounds = binary_parts(batch.column(len(kept)))
-                found = np.zeros(batch.num_rows)
-                for lo, hi in slices(np.diff(bounds), BATCH_BYTES):
-                    part = raw[bounds[lo] : bounds[hi]]
-                    found[lo:hi] = model.scores(*word_sets(part, bounds[lo : hi + 1] - bounds[lo]))
-                columns = [*batch.columns[:-1], pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "predicted"])
+        for batch in batches:
+            found = _batch_scores(shared.value, batch.column(len(kept)))
+            columns = [*batch.columns[:-1], pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "score", "predicted"])
 
     return rows.mapInArrow(run, f"{kinds}, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` without the rows that score 0.5 or more, in one pass and with all columns."""
+    place = docs.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_batch_scores(shared.value, batch.column(place)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def labelled_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """(row, label) for rows of ``docs`` that have a label; ids with contradicting labels take the larger one."""
     label = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
