@@ -1,7 +1,7 @@
 """Removing long passages that earlier documents hold, with a logarithmic family of suffix arrays.
 
 A suffix matters here only by its first ``length`` bytes, its *window*. Windows are dealt to key ranges by the smallest
-hash of the 12-byte strings inside them, so equal windows always meet, and neighbouring windows
+hash of the 8-byte strings inside them, so equal windows always meet, and neighbouring windows
 mostly share that key: they travel as one string that covers them all. Within a key range, documents arrive in
 the order of their ids, in batches. Each batch gets a suffix array (its windows in sorted order), which is merge-scanned
 against the sorted arrays of the levels that exist already. Then it becomes a level itself, and while the last level
@@ -17,6 +17,7 @@ per chunk before the shuffle. A key range holds a bounded share of the text: the
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,13 @@ from pyspark.sql import functions as F
 from portflow.llm.common import ROW, binary_parts, flat_ranges, mix64, text_or_empty, with_row
 
 LENGTH = 50
-GRAM = 12
+GRAM = 8
 RANGE_BYTES = 2 << 20
 FLUSH_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 20
 BATCH_WINDOWS = 1 << 18
+BUNDLE_ROWS = 32
+ZSTD_LEVEL = 6
 NO_ID = np.iinfo(np.int64).max
 
 _MULTIPLIERS = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -127,7 +130,29 @@ def _joined_spans(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tup
     return rows[at], starts[at], np.maximum.reduceat(ends, at)
 
 
-_SHIP = [("bucket", pa.int32()), ("kind", pa.int8()), ("n", pa.int32()), ("n_bytes", pa.int64()), ("data", pa.binary())]
+def _planes(values: np.ndarray) -> bytes:
+    """Integers as their first bytes, their second bytes, and so on: bytes of one kind compress together."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_planes(raw: bytes, n: int, at: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, at).reshape(8, n).T).view("<i8")[:, 0]
+
+
+def _packed(steps: list[np.ndarray], plain: list[np.ndarray], body: np.ndarray) -> bytes:
+    """Columns of integers, ``steps`` as differences from row to row, and bytes, compressed."""
+    parts = [_planes(np.diff(x, prepend=0)) for x in steps] + [_planes(x) for x in plain]
+    return zstandard.ZstdCompressor(level=ZSTD_LEVEL).compress(b"".join([*parts, body.tobytes()]))
+
+
+def _unpacked(data: bytes, n: int, steps: int, plain: int) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    columns = [_from_planes(raw, n, 8 * n * k) for k in range(steps + plain)]
+    columns[:steps] = [np.cumsum(x) for x in columns[:steps]]
+    return [*columns, np.frombuffer(raw, np.uint8, offset=8 * n * (steps + plain))]
+
+
+_SHIP = [("bucket", pa.int32()), ("kind", pa.int8()), ("n", pa.int32()), ("data", pa.binary())]
 _SPANS = [(ROW, pa.int64()), ("from", pa.int64()), ("to", pa.int64())]
 
 
@@ -135,26 +160,26 @@ def _ship(runs: _Runs, buckets: int, length: int) -> Iterator[pa.RecordBatch]:
     """One compressed row per key range, and the spans that are settled already."""
     keys, prints, rows, docs, places, sizes, body = runs.take()
     repeated = _repeats(prints, docs, sizes, body)
-    pack = zstandard.ZstdCompressor(level=3).compress
     out: list[tuple] = []
     known = _joined_spans(rows[repeated], places[repeated], (places + sizes)[repeated])
     if len(known[0]):
-        data = pack(b"".join(np.ascontiguousarray(x).tobytes() for x in known))
-        out.append((int(mix64(rows[:1].astype(np.uint64))[0] % np.uint64(buckets)), 1, len(known[0]), 0, data))
+        data = _packed([known[0]], [*known[1:]], np.zeros(0, np.uint8))
+        out.append((int(mix64(rows[:1].astype(np.uint64))[0] % np.uint64(buckets)), 1, len(known[0]), data))
     owner = (mix64(keys) % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((keys, owner))
+    order = np.lexsort((places, rows, owner))
     order = order[~repeated[order]]
     begins = np.cumsum(sizes) - sizes
     edges = np.flatnonzero(np.diff(owner[order], prepend=-1))
+    size = 0
     for lo, hi in zip(edges, np.append(edges[1:], len(order))):
         chosen = order[lo:hi]
         text = body[flat_ranges(begins[chosen], sizes[chosen])]
-        columns = (rows[chosen], docs[chosen], places[chosen], sizes[chosen].astype(np.int32), text)
-        data = pack(b"".join(np.ascontiguousarray(x).tobytes() for x in columns))
-        out.append((int(owner[chosen[0]]), 0, len(chosen), len(text), data))
-        if sum(len(x[4]) for x in out[-64:]) > 8 << 20:
+        data = _packed([rows[chosen], docs[chosen]], [places[chosen], sizes[chosen]], text)
+        out.append((int(owner[chosen[0]]), 0, len(chosen), data))
+        size += len(data)
+        if size > 8 << 20:
             yield _batch(out)
-            out = []
+            out, size = [], 0
     if out:
         yield _batch(out)
 
@@ -164,15 +189,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=pa.schema(_SHIP))
 
 
-def _unpack(data: bytes, n: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    raw, out, at = zstandard.ZstdDecompressor().decompress(data), [], 0
-    for kind in kinds:
-        count = n if kind != "u1" else len(raw) - at
-        out.append(np.frombuffer(raw, kind, count, at))
-        at += out[-1].nbytes
-    return out
-
-
 class _Levels:
     """The index family of a key range: sorted (fingerprint, smallest document, place of its window)."""
 
@@ -266,13 +282,12 @@ def _scan_range(table: pa.Table, length: int) -> pa.Table:
     parts, spans = [], []
     for kind, n, data in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "data"))):
         if kind:
-            spans.append(tuple(_unpack(data, n, ("<i8",) * 3)))
+            spans.append(tuple(_unpacked(data, n, 1, 2)[:3]))
         else:
-            parts.append(_unpack(data, n, ("<i8", "<i8", "<i8", "<i4", "u1")))
+            parts.append(_unpacked(data, n, 2, 2))
     if parts:
         rows, docs, places, sizes, body = (np.concatenate(column) for column in zip(*parts))
         del parts
-        sizes = sizes.astype(np.int64)
         order = np.lexsort((places, rows, docs))
         body = body[flat_ranges((np.cumsum(sizes) - sizes)[order], sizes[order])]
         rows, docs, places, sizes = rows[order], docs[order], places[order], sizes[order]
@@ -318,13 +333,55 @@ def repeated_spans(
             return _scan_range(table, length)
 
     rows = with_row(docs).select(ROW, F.col(doc_id).cast("long").alias("doc"), text_or_empty(text).cast("binary"))
-    sent = rows.mapInArrow(send, "bucket int, kind byte, n int, n_bytes long, data binary")
+    sent = rows.mapInArrow(send, "bucket int, kind byte, n int, data binary")
     return sent.groupBy("bucket").applyInArrow(scan, f"{ROW} long, `from` long, `to` long")
 
 
 _KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
+def _bundles(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Neighbouring rows in one compressed bundle each: their texts are to be shuffled once more."""
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0).to_numpy()
+            docs = batch.column(1).fill_null(NO_ID).to_numpy()
+            raw, bounds = binary_parts(batch.column(2))
+            edges = np.flatnonzero(np.diff(rows // BUNDLE_ROWS, prepend=-1))
+            for lo, hi in zip(edges, np.append(edges[1:], len(rows))):
+                data = _packed([rows[lo:hi], docs[lo:hi]], [np.diff(bounds[lo : hi + 1])], raw[bounds[lo] : bounds[hi]])
+                columns = [[int(rows[lo]) // BUNDLE_ROWS], [int(hi - lo)], [data]]
+                kinds = [pa.int64(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "n", "data"])
+
+    rows = with_row(docs).select(ROW, F.col(doc_id).cast("long").alias("doc"), text_or_empty(text).cast("binary"))
+    return rows.mapInArrow(bundle, "part long, n int, data binary")
+
+
+_KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+
+
+def _without(text: bytes, spans: list[tuple[int, int]], digest_only: bool) -> tuple:
+    """Sizes, digest and rest of a text without the spans, which are sorted but may overlap."""
+    view, digest, kept = memoryview(text), hashlib.sha256(), []
+    removed = n_spans = at = 0
+    end = -1
+    for lo, hi in spans:
+        if lo > end:
+            n_spans += 1
+            digest.update(view[at:lo])
+            kept.append(view[at:lo])
+            removed += hi - lo
+            at = end = hi
+        elif hi > end:
+            removed += hi - end
+            at = end = hi
+    digest.update(view[at:])
+    kept.append(view[at:])
+    return len(text), removed, n_spans, digest.hexdigest(), None if digest_only else b"".join(kept)
+
+
 def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, digest_only: bool = False, **options
 ) -> DataFrame:
@@ -333,36 +390,24 @@ def without_repeats(
     A cut can fall inside a character, so the kept text is binary. ``digest_only`` leaves it null.
     """
     spans = repeated_spans(docs, doc_id, text, length, **options)
-    per_row = spans.groupBy(ROW).agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"))
-    rows = with_row(docs).select(ROW, F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).cast("binary").alias("data"))
-    joined = rows.join(per_row.hint("shuffle_hash"), ROW, "left").select("doc_id", "data", "spans")
+    gathered = spans.groupBy(F.floor(F.col(ROW) / BUNDLE_ROWS).alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct(ROW, "from", "to"))).alias("spans")
+    )
+    joined = _bundles(docs, doc_id, text).join(gathered.hint("shuffle_hash"), "part", "left").select("n", "data", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         for batch in batches:
-            out = []
-            for key, data, found in zip(*(batch.column(i) for i in range(3))):
-                view, digest, kept = memoryview(data.as_buffer() or b""), hashlib.sha256(), []
-                removed = n_spans = at = 0
-                end = -1
+            for n, data, found in zip(*(batch.column(i) for i in range(3))):
+                rows, docs, sizes, raw = _unpacked(data.as_py(), n.as_py(), 2, 1)
+                spans: dict[int, list[tuple[int, int]]] = {}
                 for span in found.as_py() or ():
-                    if span["from"] > end:
-                        n_spans += 1
-                        digest.update(view[at : span["from"]])
-                        kept.append((at, span["from"]))
-                        removed += span["to"] - span["from"]
-                        at = end = span["to"]
-                    elif span["to"] > end:
-                        removed += span["to"] - end
-                        at = end = span["to"]
-                digest.update(view[at:])
-                kept.append((at, len(view)))
-                text_left = None if digest_only else b"".join(view[a:b] for a, b in kept)
-                out.append((key.as_py(), len(view), removed, n_spans, digest.hexdigest(), text_left))
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            columns = [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                    spans.setdefault(span[ROW], []).append((span["from"], span["to"]))
+                ends, out = np.cumsum(sizes), []
+                for row, doc, a, b in zip(rows.tolist(), docs.tolist(), (ends - sizes).tolist(), ends.tolist()):
+                    found_here = _without(raw[a:b].tobytes(), spans.get(row, []), digest_only)
+                    out.append((None if doc == NO_ID else doc, *found_here))
+                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return joined.mapInArrow(cut, _KEPT)
