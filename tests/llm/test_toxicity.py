@@ -17,8 +17,8 @@ def corpus(n=1500, seed=1):
         bad = rng.random() < 0.15
         words = ["w%d" % rng.randrange(400) for _ in range(rng.randint(5, 80))]
         if bad:
-            words[:: rng.randint(4, 9)] = [rng.choice(["Vile", "nasty", "rotten"])] * len(words[:: rng.randint(4, 9)]) or ["vile"]
-            words.append(rng.choice(["vile", "NASTY", "rotten!"]))
+            words += rng.choices(["vile", "NASTY", "rotten!"], k=rng.randint(1, 4))
+            rng.shuffle(words)
         rows.append((i, " ".join(words)))
         labels.append((i, 1, int(bad)))
     return rows, labels
