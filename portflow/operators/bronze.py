@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,15 +35,18 @@ def _typed(raw_name: str, kind: str) -> Column:
     return F.col(raw_name)
 
 
-def to_bronze(raw: DataFrame, settings: Settings) -> DataFrame:
+def to_bronze(raw: DataFrame, settings: Settings, carry: Sequence[str] = ()) -> DataFrame:
     """One typed row per raw message; ``raw`` holds the source columns and ``source_file``.
 
+    ``carry`` names further columns to keep, such as the rows' position.
+
     Everything is read from the raw columns in one projection. Column names ignore case, so replacing
     ``Heading`` step by step would change the text the payload hash sees.
     """
     raw = with_raw_columns(raw)
     event_time = to_event_time(F.col("BaseDateTime"))
     typed = raw.select(
+        *carry,
         message_id().alias("message_id"),
         F.col("source_file"),
         settings.as_of_instant.alias("ingestion_timestamp"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,11 +77,14 @@ def minmax_normalize(df: DataFrame, columns: Mapping[str, str], partition: Seque
     ]
     if partition:
         span = df.groupBy(*partition).agg(*bounds)
-        joined = df.join(span, list(partition))
+        # Rows whose group is null are a group, too.
+        named = span.withColumnsRenamed({name: f"_of_{name}" for name in partition})
+        same_group = reduce(and_, [df[name].eqNullSafe(named[f"_of_{name}"]) for name in partition])
+        joined = df.join(named, same_group, "left")
         scaled = {
             new: _scaled(F.col(name), F.col(f"_min_{name}"), F.col(f"_max_{name}")) for name, new in columns.items()
         }
-        return joined.withColumns(scaled).select(*df.columns, *columns.values())
+        return joined.select(*[df[name] for name in df.columns], *[scaled[new].alias(new) for new in columns.values()])
     span = df.agg(*bounds)
     whole = span.select(F.struct(*span.columns).alias("span")).scalar()
     spanned = df.withColumn("_span", whole)

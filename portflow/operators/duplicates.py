@@ -9,9 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portflow.session import ensure_checkpoint_dir
-
-MAX_BROADCAST_ROWS = 500_000
+from portflow.session import scratch_dir
+from portflow.sources.layers import store
 
 KEEP_FIRST = "keep_first"
 FLAG_ALL = "flag_all"
@@ -43,11 +42,16 @@ def with_hash_in(df: DataFrame, keys: Sequence[str], hashes: DataFrame) -> DataF
     return df.join(hashes, F.xxhash64(*[df[key] for key in keys]) == hashes["_hash"], "left_semi")
 
 
-def sized_for_join(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a *written* table when its counted rows allow it; otherwise have it shuffled and hashed."""
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table.hint("shuffle_hash")
+def find_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """:func:`duplicate_groups`, stored, after narrowing the rows by hash.
+
+    Both steps are written to scratch storage. So the joins with them know their sizes in bytes: Spark broadcasts a table below
+    its own threshold, and otherwise shuffles both sides, where adaptive execution splits the partition of a hot key.
+    """
+    spark = df.sparkSession
+    hashes = store(repeated_hashes(df, keys), scratch_dir(spark))
+    suspects = with_hash_in(df, keys, hashes)
+    return store(duplicate_groups(suspects, keys, order), scratch_dir(spark))
 
 
 def flag_duplicates(
@@ -60,19 +64,16 @@ def flag_duplicates(
 ) -> DataFrame:
     """Add a boolean column telling which rows repeat an earlier row's key.
 
-    A null key repeats nothing. ``keep_first`` clears the flag on the first copy by ``order``, which must tell any two copies apart
-    (see :func:`with_row_position`); ``flag_all`` sets it on every copy. ``groups`` may carry the result
-    of :func:`duplicate_groups` read back from storage; it is rarely large and then gets broadcast, and
-    the wide rows are not shuffled at all. Without it the rows are joined by shuffle, where adaptive
-    execution splits the partition of a hot key.
+    A null key repeats nothing. ``keep_first`` clears the flag on the first copy by ``order``, which must tell any two copies
+    apart, byte-identical ones too: end it with the rows' position. ``flag_all`` sets it on every copy. ``groups`` is the result of
+    :func:`find_groups`; without it the groups are found, and stored, on the spot.
     """
     if policy not in (KEEP_FIRST, FLAG_ALL):
         raise ValueError(f"unknown duplicate policy: {policy}")
     if policy == KEEP_FIRST and not order:
         raise ValueError("keep_first needs order columns")
     if groups is None:
-        groups = duplicate_groups(df, keys, order if policy == KEEP_FIRST else ())
-        groups = groups.hint("shuffle_hash")
+        groups = find_groups(df, keys, order if policy == KEEP_FIRST else ())
     renamed = groups.withColumnsRenamed({key: f"_key_{i}" for i, key in enumerate(keys)})
     same_key = reduce(and_, [df[key] == renamed[f"_key_{i}"] for i, key in enumerate(keys)])
     joined = df.join(renamed, same_key, "left")
@@ -80,13 +81,3 @@ def flag_duplicates(
     if policy == KEEP_FIRST:
         repeated = repeated & ~F.struct(*order).eqNullSafe(F.col("_first"))
     return joined.select(*[df[name] for name in df.columns], repeated.alias(flag))
-
-
-def with_row_position(df: DataFrame, name: str = "_position") -> DataFrame:
-    """Number the rows and freeze the numbers in a reliable checkpoint.
-
-    Row numbers drawn during a scan may differ when a lost task runs again, so they are only used after
-    they have been stored. Parquet tables need no checkpoint: their readers expose file and row index.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.withColumn(name, F.monotonically_increasing_id()).checkpoint()

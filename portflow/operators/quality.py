@@ -153,14 +153,14 @@ def any_reason(rules: Sequence[Rule]) -> Column:
 def classify(
     bronze: DataFrame,
     settings: Settings,
+    order: Sequence[str],
     policy: str = KEEP_FIRST,
-    order: Sequence[str] = ("source_file", "raw_payload_hash"),
     groups: DataFrame | None = None,
 ) -> DataFrame:
     """All bronze rows with quality flags, reason text and status.
 
-    ``order`` decides which copy of a repeated message is the first; where copies may agree in all of
-    it, add the row's position to ``order``.
+    ``order`` decides which copy of a repeated message is the first. It must tell any two rows apart, so it ends with the
+    rows' position.
     """
     flagged = flag_duplicates(bronze, ["message_id"], order, policy, groups).withColumns(message_flags(settings))
     return flagged.withColumn("rejection_reason", F.array_join(reasons(SILVER_RULES), "|")).withColumn(

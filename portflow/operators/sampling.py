@@ -83,6 +83,8 @@ def sample_by_class(
     flagged: DataFrame, total: int, rejected_cap: int, seed: int, keys: Sequence[str]
 ) -> DataFrame:
     """Rejected rows up to their cap, filled up with valid rows to ``total``."""
+    if rejected_cap > total:
+        raise ValueError("the cap on rejected rows exceeds the sample")
     status = F.when(F.size("quality_reasons") > 0, "rejected").otherwise("valid")
 
     def wanted(counts: DataFrame) -> DataFrame:

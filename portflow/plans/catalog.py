@@ -14,11 +14,12 @@ from portflow.operators import anomalies as anomaly_ops
 from portflow.operators import bronze as bronze_ops
 from portflow.operators import congestion, duplicates, nearest, quality, sampling, sessions
 from portflow.plans import reports
+from portflow.plans.pipeline import Pipeline
 from portflow.schemas import SILVER_COLUMNS
 from portflow.session import scratch_dir
 from portflow.settings import Settings
 from portflow.sources import fixture, layers, raw as raw_files
-from portflow.sources.ports import DEFAULT_PORTS
+from portflow.sources.ports import DEFAULT_PORTS, load_ports, ports_frame, read_ports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +34,11 @@ SAMPLED = replace(DEFAULTS, sample_rows=2_000, profile_sample_rows=1_000, profil
 
 RAW_FIELDS = ("event_id", "MMSI", "BaseDateTime", "LAT", "LON", "SOG", "COG", "Heading")
 SAMPLE_KEYS = ("event_id", "Heading")
-RAW_ORDER = ("event_id", "Heading")
+
+# Tells any two messages apart, byte-identical copies too.
+POSITION = ("event_id", "copy")
+COPY_ORDER = ("source_file", "raw_payload_hash", *POSITION)
+RAW_ORDER = ("event_id", "Heading", "copy")
 
 
 @dataclass
@@ -59,11 +64,11 @@ class Lake:
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return bronze_ops.to_bronze(self.raw, self.settings)
+        return bronze_ops.to_bronze(self.raw, self.settings, POSITION)
 
     @cached_property
     def silver(self) -> DataFrame:
-        silver = quality.classify(self.bronze, self.settings, self.policy)
+        silver = quality.classify(self.bronze, self.settings, COPY_ORDER, self.policy)
         return self.keep(silver.select(*SILVER_COLUMNS)) if self.stored else silver
 
     @cached_property
@@ -139,8 +144,9 @@ def quality_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 def _duplicates(policy: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        bronze = Lake(spark, folder).bronze.select("message_id", "raw_payload_hash")
-        return duplicates.flag_duplicates(bronze, ["message_id"], ["raw_payload_hash"], policy)
+        bronze = Lake(spark, folder).bronze.select("message_id", *COPY_ORDER)
+        flagged = duplicates.flag_duplicates(bronze, ["message_id"], COPY_ORDER, policy)
+        return flagged.drop("source_file", *POSITION)
 
     return query
 
@@ -184,21 +190,22 @@ def sample_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _flagged_raw(spark: SparkSession, folder: str) -> DataFrame:
-    flagged = quality.classify_raw(Lake(spark, folder).raw.select(*RAW_FIELDS), SAMPLED, RAW_ORDER)
-    return flagged.select(*RAW_FIELDS, "quality_reasons")
+    flagged = quality.classify_raw(Lake(spark, folder).raw.select(*RAW_FIELDS, "copy"), SAMPLED, RAW_ORDER)
+    # The classes are needed twice, once to count them and once to fill the sample.
+    return layers.store(flagged.select(*RAW_FIELDS, "copy", "quality_reasons"), scratch_dir(spark))
 
 
 def sample_by_class(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.sample_by_class(
         _flagged_raw(spark, folder), SAMPLED.profile_sample_rows, SAMPLED.profile_rejected_rows,
         SAMPLED.sample_seed, SAMPLE_KEYS,
-    ).drop("quality_reasons")
+    ).drop("copy", "quality_reasons")
 
 
 def rejected_capture(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.rejected_capture(
         _flagged_raw(spark, folder), SAMPLED.profile_rejected_rows, SAMPLED.sample_seed, SAMPLE_KEYS
-    )
+    ).drop("copy")
 
 
 # --- proximity ----------------------------------------------------------------------------------
@@ -214,7 +221,7 @@ def nearest_port(spark: SparkSession, folder: str) -> DataFrame:
 
 def nearest_port_ranked(spark: SparkSession, folder: str) -> DataFrame:
     positions = quality.keep_valid(Lake(spark, folder).silver).select("message_id", "latitude", "longitude")
-    ranked = nearest.nearest_ports(positions, DEFAULT_PORTS, len(DEFAULT_PORTS))
+    ranked = nearest.nearest_ports(positions, DEFAULT_PORTS, 2)
     return rounded(ranked.drop("latitude", "longitude"), distance_to_port_km=3)
 
 
@@ -242,7 +249,7 @@ def temporal_density_top(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stop_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    candidates = sessions.stop_candidates(Lake(spark, folder).proximity, WIDE)
+    candidates = sessions.stop_candidates(Lake(spark, folder, stored=True).proximity, WIDE)
     gaps = sessions.position_gaps(candidates, sessions.STOP_KEYS, "event_timestamp", WIDE.max_gap_minutes)
     return rounded(gaps, gap_minutes=6)
 
@@ -428,7 +435,7 @@ def pruned_months(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts of a span of months, read from the folders of those months only."""
     path = layers.layer_path(scratch_dir(spark), "bronze_messages")
     layers.write_layer(Lake(spark, folder).bronze.select("message_id", "year", "month"), path, layers.BY_MONTH)
-    chosen = layers.between_months(layers.read_layer(spark, path), (2024, 1), (2024, 12))
+    chosen = layers.between_months(layers.read_layer(spark, path), (2023, 12), (2024, 1))
     return chosen.groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -444,6 +451,127 @@ def table_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- the whole job ------------------------------------------------------------------------------
+
+
+def _run(spark: SparkSession, folder: str, settings: Settings = WIDE) -> Pipeline:
+    pipeline = Pipeline(spark, scratch_dir(spark), settings)
+    pipeline.run(fixture.read_messages(spark, folder), "events.parquet")
+    return pipeline
+
+
+def pipeline_congestion(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(_run(spark, folder).table("gold_congestion")).orderBy("report_date", "port_id")
+
+
+def pipeline_stops(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(_run(spark, folder).table("silver_stops"), dwell_time_minutes=6, avg_speed_knots=9)
+
+
+def pipeline_silver_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts taken while the silver table was written."""
+    counts = _run(spark, folder).counts["silver_positions"]
+    row = (counts["rows"], counts["valid"], counts["rejected"])
+    return spark.createDataFrame([row], "row_count long, valid long, rejected long")
+
+
+def rerun_changed_settings(spark: SparkSession, folder: str) -> DataFrame:
+    """Stops of a second run with other limits over the first run's lake: nothing of the first one is left."""
+    first = _run(spark, folder)
+    second = Pipeline(spark, first.root, DEFAULTS)
+    second.run(fixture.read_messages(spark, folder), "events.parquet")
+    return rounded(second.table("silver_stops"), dwell_time_minutes=6, avg_speed_knots=9)
+
+
+def months_in_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two sources, both with messages whose time is unreadable, loaded one after the other, the first one twice."""
+    raw = fixture.read_messages(spark, folder)
+    raw = raw.withColumn("BaseDateTime", F.when(F.col("event_id") % 13 == 0, "unknown").otherwise(F.col("BaseDateTime")))
+    pipeline = Pipeline(spark, scratch_dir(spark), DEFAULTS)
+    for source, part in (("even", 0), ("odd", 1), ("even", 0)):
+        pipeline.bronze(raw.where(F.col("event_id") % 2 == part), source)
+    return pipeline.table("bronze_messages").groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def nearest_port_from_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark)
+    layers.write_csv(ports_frame(spark).coalesce(1), path)
+    ports = load_ports(read_ports(spark, path))
+    valid = quality.keep_valid(Lake(spark, folder).silver)
+    chosen = nearest.nearest_port(valid, ports).select(
+        "message_id", "nearest_port_id", "nearest_port_name", "port_latitude", "port_longitude", "port_radius_km",
+        "distance_to_port_km", "is_within_port_radius",
+    )
+    return rounded(chosen, distance_to_port_km=3)
+
+
+def catalog_stops_by_port(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over the lake's registered tables."""
+    database = "portflow_lake"
+    # The tables are external: dropping those of an earlier call touches no files.
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    spark.sql(f"CREATE DATABASE {database}")
+    layers.register_lake(spark, _run(spark, folder).root, database)
+    return spark.sql(
+        f"""SELECT nearest_port_name, count(*) AS total_stops, count(DISTINCT mmsi) AS distinct_vessels,
+          round(avg(dwell_time_minutes), 8) AS avg_dwell_minutes, round(max(dwell_time_minutes), 8) AS max_dwell_minutes
+        FROM {database}.silver_stops GROUP BY nearest_port_name"""
+    )
+
+
+def congestion_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark)
+    layers.write_congestion_csv(_run(spark, folder).table("gold_congestion"), path)
+    back = layers.read_congestion_csv(spark, path).withColumn("report_date", F.col("report_date").cast("date"))
+    return rounded(
+        back, avg_dwell_time_minutes=8, p90_dwell_time_minutes=8, data_quality_rejection_rate=6, port_congestion_index=4
+    ).orderBy("report_date", "port_id")
+
+
+def anomalies_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark)
+    layers.write_anomalies_csv(_run(spark, folder).table("gold_anomalies"), path)
+    return reports.anomalies_by_type(layers.read_anomalies_csv(spark, path))
+
+
+def reports_appended(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark)
+    for _ in range(2):
+        layers.append_rows(Lake(spark, folder).report, path)
+    log = layers.read_layer(spark, path)
+    return log.groupBy("source_file").agg(F.sum("total_records").alias("total_records"), F.count(F.lit(1)).alias("reports"))
+
+
+def csv_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages written as CSV and read back with the base name of the file each came from."""
+    path = scratch_dir(spark)
+    raw = bronze_ops.with_raw_columns(Lake(spark, folder).raw)
+    layers.write_csv(raw.select(*raw_files.RAW_COLUMNS), path)
+    named = F.col("source_file").rlike(r"^part-[^/]*\.csv$").alias("is_base_name")
+    return raw_files.read_raw_csv(spark, path).groupBy(named).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def bronze_ingestion(spark: SparkSession, folder: str) -> DataFrame:
+    shown = F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingestion_timestamp")
+    return Lake(spark, folder).bronze.select("message_id", "source_file", shown)
+
+
+def stop_p90_rank_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the sketched percentile lies within one rank of the exact one, per day and port."""
+    stops = Lake(spark, folder, stored=True).stops
+    metrics = congestion.stop_metrics(stops, WIDE, approx=True).select("report_date", "port_id", "p90_dwell_time_minutes")
+    ranked = stops.withColumnsRenamed({"stop_date": "report_date", "nearest_port_id": "port_id"}).join(
+        metrics, ["report_date", "port_id"]
+    )
+    value, sketched = F.col("dwell_time_minutes"), F.col("p90_dwell_time_minutes")
+    counted = ranked.groupBy("report_date", "port_id").agg(
+        F.count(F.lit(1)).alias("stops"), F.count_if(value < sketched).alias("below"), F.count_if(value <= sketched).alias("upto")
+    )
+    rank = F.col("stops") * WIDE.dwell_percentile
+    near = (F.col("below") <= rank + 1) & (F.col("upto") >= rank - 1)
+    return counted.select("report_date", "port_id", "stops", near.alias("is_near_rank"))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_message_ids": bronze_message_ids,
     "bronze_payload_hash": bronze_payload_hash,
@@ -495,4 +623,17 @@ QUERIES: dict[str, Query] = {
     "zip_scan": zip_scan,
     "pruned_months": pruned_months,
     "table_row_counts": table_row_counts,
+    "pipeline_congestion": pipeline_congestion,
+    "pipeline_stops": pipeline_stops,
+    "pipeline_silver_counts": pipeline_silver_counts,
+    "rerun_changed_settings": rerun_changed_settings,
+    "months_in_two_runs": months_in_two_runs,
+    "nearest_port_from_file": nearest_port_from_file,
+    "catalog_stops_by_port": catalog_stops_by_port,
+    "congestion_csv": congestion_csv,
+    "anomalies_csv": anomalies_csv,
+    "reports_appended": reports_appended,
+    "csv_lineage": csv_lineage,
+    "bronze_ingestion": bronze_ingestion,
+    "stop_p90_rank_error": stop_p90_rank_error,
 }

@@ -34,16 +34,18 @@ raw1 AS (
     CAST(event_id % 360 AS VARCHAR) AS Heading
   FROM base),
 raw AS (
-  SELECT event_id, MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading FROM raw1
+  SELECT event_id, MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading, 0 AS copy FROM raw1
   UNION ALL
-  SELECT event_id, MMSI, BaseDateTime, LAT, LON, SOG, COG, '511' FROM raw1 WHERE event_id % 50 = 0)
+  SELECT event_id, MMSI, BaseDateTime, LAT, LON, SOG, COG, '511', 1 FROM raw1 WHERE event_id % 50 = 0
+  UNION ALL
+  SELECT event_id, MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading, 2 FROM raw1 WHERE event_id % 70 = 0)
 """
 
 _BRONZE = (
     _RAW
     + """,
 bronze AS (
-  SELECT event_id,
+  SELECT event_id, copy,
     sha256(concat_ws('|', MMSI, BaseDateTime, LAT, LON, SOG, COG)) AS message_id,
     sha256(concat_ws('|', MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading,
                      '', '', '', '', '', '', '', '', '', '')) AS raw_payload_hash,
@@ -90,7 +92,7 @@ silver AS (
     )
 
 
-_KEEP_FIRST = "row_number() OVER (PARTITION BY message_id ORDER BY raw_payload_hash) > 1"
+_KEEP_FIRST = "row_number() OVER (PARTITION BY message_id ORDER BY raw_payload_hash, event_id, copy) > 1"
 _FLAG_ALL = "count(*) OVER (PARTITION BY message_id) > 1"
 _SILVER = _silver(_KEEP_FIRST)
 
@@ -106,7 +108,7 @@ _RANKED = (
 ranked AS (
   SELECT s.*, p.port_id, p.port_name, p.port_latitude, p.port_longitude, p.port_radius_km,
     {_HAVERSINE} AS km,
-    row_number() OVER (PARTITION BY s.event_id, s.heading ORDER BY {_HAVERSINE}, p.ord) AS port_rank
+    row_number() OVER (PARTITION BY s.event_id, s.copy ORDER BY {_HAVERSINE}, p.ord) AS port_rank
   FROM silver s, ports p WHERE s.latitude IS NOT NULL AND s.longitude IS NOT NULL)
 """
 )
@@ -163,7 +165,7 @@ located AS (
     r.port_name AS nearest_port_name, r.km AS distance_to_port_km,
     coalesce(r.km <= r.port_radius_km, false) AS is_within_port_radius, r.port_radius_km
   FROM silver s LEFT JOIN ranked r
-    ON r.event_id = s.event_id AND r.raw_payload_hash = s.raw_payload_hash AND r.port_rank = 1
+    ON r.event_id = s.event_id AND r.copy = s.copy AND r.port_rank = 1
   WHERE s.quality_status = 'rejected'),
 anomalies AS (
   SELECT *, sha256(concat_ws('|', message_id, anomaly_type)) AS anomaly_id,
@@ -264,7 +266,7 @@ _PROFILE = (
     _RAW
     + """,
 checked AS (
-  SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY event_id, Heading) > 1 AS is_duplicate
+  SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY event_id, Heading, copy) > 1 AS is_duplicate
   FROM (SELECT *, sha256(concat_ws('|', MMSI, BaseDateTime, LAT, LON, SOG, COG)) AS message_id FROM raw)),
 reasoned AS (
   SELECT *, concat_ws('|',
@@ -276,7 +278,7 @@ reasoned AS (
     CASE WHEN is_duplicate THEN 'duplicate_message_id' END) AS quality_reasons,
     sha256(concat_ws('|', CAST(event_id AS VARCHAR), Heading, '42')) AS token
   FROM checked),
-caught AS (SELECT * FROM reasoned WHERE quality_reasons <> '' ORDER BY token LIMIT 300),
+caught AS (SELECT * FROM reasoned WHERE quality_reasons <> '' ORDER BY token, copy LIMIT 300),
 passed AS (
   SELECT * FROM reasoned WHERE quality_reasons = ''
   ORDER BY token LIMIT (SELECT 1000 - count(*) FROM caught))
@@ -381,7 +383,7 @@ ORACLES: dict[str, str] = {
     "nearest_port_ranked": _with(
         _RANKED,
         """SELECT message_id, CAST(port_rank AS INTEGER) AS port_rank, port_id, round(km, 3) AS distance_to_port_km,
-          km <= port_radius_km AS is_within_port_radius FROM ranked WHERE quality_status = 'valid'""",
+          km <= port_radius_km AS is_within_port_radius FROM ranked WHERE quality_status = 'valid' AND port_rank <= 2""",
     ),
     "port_positions": _with(
         _PROXIMITY,
@@ -511,7 +513,8 @@ ORACLES: dict[str, str] = {
     "pruned_months": _with(
         _BRONZE,
         """SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,
-          count(*) AS row_count FROM bronze WHERE year(event_timestamp) = 2024 GROUP BY ALL""",
+          count(*) AS row_count FROM bronze
+          WHERE event_timestamp >= TIMESTAMP '2023-12-01' AND event_timestamp < TIMESTAMP '2024-02-01' GROUP BY ALL""",
     ),
     "table_row_counts": _with(
         _STOPS_WIDE,
@@ -521,3 +524,38 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'silver_quality_report', 1""",
     ),
 }
+
+# The whole job, and sources and sinks of the lake: the results are those of the queries above.
+ORACLES |= {
+    "pipeline_congestion": ORACLES["port_congestion_daily"],
+    "pipeline_stops": ORACLES["vessel_stops_wide"],
+    "pipeline_silver_counts": _with(
+        _SILVER,
+        """SELECT count(*) AS row_count, count(*) FILTER (quality_status = 'valid') AS valid,
+          count(*) FILTER (quality_status = 'rejected') AS rejected FROM silver""",
+    ),
+    "rerun_changed_settings": ORACLES["vessel_stops_default"],
+    "months_in_two_runs": _with(
+        _RAW,
+        """SELECT CAST(year(seen) AS INTEGER) AS year, CAST(month(seen) AS INTEGER) AS month, count(*) AS row_count
+          FROM (SELECT CASE WHEN event_id % 13 = 0 THEN NULL ELSE TRY_CAST(BaseDateTime AS TIMESTAMP) END AS seen FROM raw)
+          GROUP BY ALL""",
+    ),
+    "nearest_port_from_file": ORACLES["nearest_port"],
+    "catalog_stops_by_port": ORACLES["stops_by_port"],
+    "congestion_csv": ORACLES["port_congestion_daily"],
+    "anomalies_csv": ORACLES["anomalies_by_type"],
+    "reports_appended": _with(
+        _SILVER,
+        """SELECT 'events.parquet' AS source_file, count(*) * 2 AS total_records, 2::BIGINT AS reports FROM silver""",
+    ),
+    "csv_lineage": _with(_RAW, "SELECT true AS is_base_name, count(*) AS row_count FROM raw"),
+    "bronze_ingestion": _with(
+        _BRONZE, "SELECT message_id, source_file, '2026-01-01 00:00:00' AS ingestion_timestamp FROM bronze"
+    ),
+    "stop_p90_rank_error": _with(
+        _STOPS_WIDE,
+        """SELECT stop_date AS report_date, nearest_port_id AS port_id, count(*) AS stops, true AS is_near_rank
+          FROM stops GROUP BY ALL""",
+    ),
+}

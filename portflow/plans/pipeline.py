@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from portflow.operators.anomalies import vessel_anomalies
 from portflow.operators.bronze import to_bronze
 from portflow.operators.congestion import congestion_base, congestion_index
-from portflow.operators.duplicates import KEEP_FIRST, duplicate_groups, repeated_hashes, sized_for_join, with_hash_in
+from portflow.operators.duplicates import KEEP_FIRST, find_groups
 from portflow.operators.nearest import nearest_port
 from portflow.operators.quality import classify, keep_valid, quality_report
 from portflow.operators.sessions import stop_candidates, vessel_stops
@@ -23,6 +23,7 @@ from portflow.sources.layers import (
     LAYERS,
     POSITION_COLUMNS,
     append_rows,
+    batch_name,
     layer_path,
     read_layer,
     store,
@@ -39,8 +40,9 @@ class Pipeline:
     """One run over a raw source. ``counts`` collects the row counts each write reported.
 
     Every table is written once and read back by its consumers, so no stage is computed twice, and a lost
-    executor costs only the tasks of the running stage. Partitions are overwritten as a whole: a run must
-    be given all messages of the months it covers.
+    executor costs only the tasks of the running stage. A run owns its source: it replaces exactly the bronze rows that came
+    from that source before, those without a readable time and of far months among them, and leaves other sources' rows. All
+    later tables are computed from the whole table before them and replaced as a whole.
     """
 
     spark: SparkSession
@@ -63,9 +65,10 @@ class Pipeline:
     def _scratch(self, rows: DataFrame) -> DataFrame:
         return store(rows, scratch_dir(self.spark))
 
-    def bronze(self, raw: DataFrame) -> None:
+    def bronze(self, raw: DataFrame, source: str) -> None:
         """Map-only: input files hold consecutive days, so every task writes to few partitions."""
-        self._write("bronze_messages", to_bronze(raw, self.settings))
+        path = f"{layer_path(self.root, 'bronze_messages')}/batch={batch_name(source)}"
+        self.counts["bronze_messages"] = write_layer(to_bronze(raw, self.settings), path, BY_MONTH)
 
     def silver(self) -> None:
         """Flag every message; wide rows are not shuffled unless very many ids repeat.
@@ -73,11 +76,8 @@ class Pipeline:
         Repeated ids are narrowed down by hash, then found exactly among the few rows left over.
         """
         bronze = self.table("bronze_messages", position=True)
-        key = ["message_id"]
-        hashes = self._scratch(repeated_hashes(bronze, key))
-        suspects = with_hash_in(bronze, key, sized_for_join(hashes))
-        groups = self._scratch(duplicate_groups(suspects, key, COPY_ORDER))
-        flagged = classify(bronze, self.settings, self.duplicate_policy, COPY_ORDER, sized_for_join(groups))
+        groups = find_groups(bronze, ["message_id"], COPY_ORDER)
+        flagged = classify(bronze, self.settings, COPY_ORDER, self.duplicate_policy, groups)
         status = F.col("quality_status")
         self._write(
             "silver_positions",
@@ -124,7 +124,7 @@ class Pipeline:
         self._write("gold_congestion", scored.hint("rebalance", "report_date"))
 
     def run(self, raw: DataFrame, source: str) -> dict[str, dict[str, int]]:
-        self.bronze(raw)
+        self.bronze(raw, source)
         self.silver()
         self.report(source)
         self.proximity()

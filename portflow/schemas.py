@@ -69,16 +69,6 @@ QUALITY_COLUMNS = (
 
 SILVER_COLUMNS = (*BRONZE_COLUMNS[:-2], *QUALITY_COLUMNS, "year", "month")
 
-PROXIMITY_COLUMNS = (
-    "nearest_port_id",
-    "nearest_port_name",
-    "port_latitude",
-    "port_longitude",
-    "port_radius_km",
-    "distance_to_port_km",
-    "is_within_port_radius",
-)
-
 STOP_COLUMNS = (
     "stop_id",
     "stop_label",

@@ -13,7 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stored tables below this size are broadcast; Spark knows their sizes from their files.
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     # Write a few partitions side by side rather than sort each task's rows by partition first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
     # The JVM leaves methods above this size uncompiled; a fused stage that big runs faster unfused.
@@ -44,10 +45,3 @@ def _local_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="portflow-")
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give ``DataFrame.checkpoint`` a folder; a folder set by the cluster is kept."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(shared or _local_folder(spark))

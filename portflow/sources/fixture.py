@@ -33,7 +33,7 @@ def _speed_text(kind: Column, event_id: Column, cents: Column) -> Column:
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
-    """Raw messages (seven of the source columns) with the ``event_id`` they come from."""
+    """Raw messages (seven of the source columns) with the ``event_id`` they come from and the number of the ``copy``."""
     event_id = F.col("event_id")
     k = F.regexp_extract("props", "[0-9]+", 0).cast("bigint")
     ordinal = (F.col("user_id") % len(DEFAULT_PORTS)).cast("int") + 1
@@ -51,14 +51,17 @@ def messages_from_events(events: DataFrame) -> DataFrame:
         F.floor(k * 36 / 10).cast("string").alias("COG"),
         (event_id % 360).cast("string").alias("Heading"),
     )
-    # Every fiftieth event is sent twice, the copy differing in its heading only. Generating whole
-    # messages makes them plain columns for the plans above, as if they had been read from a file.
+    # Every fiftieth event is sent again with another heading, every seventieth again byte by byte. ``copy`` tells the messages
+    # of one event apart. Generating whole messages makes them plain columns for the plans above, as if read from a file.
     text = [name for name in messages.columns if name != "Heading"]
-    sent = F.struct(*text, "Heading")
-    again = F.struct(*text, F.lit("511").alias("Heading"))
-    return messages.select(
-        F.inline(F.when(event_id % 50 == 0, F.array(sent, again)).otherwise(F.array(sent)))
-    )
+
+    def sent(heading: str | Column, copy: int) -> Column:
+        return F.struct(*text, F.col(heading) if heading == "Heading" else F.lit(heading).alias("Heading"), F.lit(copy).alias("copy"))
+
+    none = F.array().cast("array<struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in messages.select(*text, "Heading").schema) + ",copy:int>>")
+    again = F.when(event_id % 50 == 0, F.array(sent("511", 1))).otherwise(none)
+    twin = F.when(event_id % 70 == 0, F.array(sent("Heading", 2))).otherwise(none)
+    return messages.select(F.inline(F.concat(F.array(sent("Heading", 0)), again, twin)))
 
 
 def read_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

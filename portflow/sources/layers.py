@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from portflow.schemas import ANOMALIES_CSV_SCHEMA, CONGESTION_CSV_SCHEMA
+from portflow.schemas import ANOMALIES_CSV_SCHEMA, ANOMALY_COLUMNS, CONGESTION_COLUMNS, CONGESTION_CSV_SCHEMA
 
 BY_MONTH = ("year", "month")
 
 # Table name -> partition columns.
 LAYERS = {
-    "bronze_messages": BY_MONTH,
+    "bronze_messages": ("batch", *BY_MONTH),
     "silver_positions": BY_MONTH,
     "silver_quality_report": (),
     "silver_proximity": BY_MONTH,
@@ -29,6 +31,12 @@ def layer_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def batch_name(source: str) -> str:
+    """The folder name of a source's rows; different sources have different names."""
+    plain = re.sub(r"[^A-Za-z0-9.-]", "-", source)[:80]
+    return f"of-{plain}-{hashlib.sha256(source.encode()).hexdigest()[:12]}"
+
+
 def read_layer(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
     """A Parquet layer; ``position`` adds each row's file and index, which tell identical rows apart."""
     rows = spark.read.parquet(path)
@@ -56,18 +64,22 @@ def write_layer(
 ) -> dict[str, int]:
     """Write Parquet and return the row count and any further counts, all taken during the write.
 
-    Overwriting replaces only the partitions the rows fall into, so a rerun gives the same table and
-    other months stay.
+    Overwriting replaces everything under ``path``, so no row of an earlier run survives in a partition that the new rows do not
+    reach. To replace one partition of a table and keep the others, write to that partition's own path.
     """
     measured = {"rows": F.count(F.lit(1))}
     measured.update({name: F.count_if(condition) for name, condition in (counts or {}).items()})
     observation = Observation()
     observed = df.observe(observation, *[column.alias(name) for name, column in measured.items()])
-    writer = observed.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = observed.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return dict(observation.get)
+    counted = dict(observation.get)
+    if partition_by and mode == "overwrite" and not counted["rows"]:
+        # A partitioned table without rows has no file that tells its columns.
+        df.limit(0).write.mode("overwrite").parquet(path)
+    return counted
 
 
 def store(df: DataFrame, path: str) -> DataFrame:
@@ -91,6 +103,15 @@ def _read_csv_by_position(spark: SparkSession, path: str, schema: str) -> DataFr
     )
 
 
+def write_congestion_csv(gold: DataFrame, path: str) -> None:
+    """The congestion table as CSV, in the column order its readers rely on."""
+    write_csv(gold.select(*CONGESTION_COLUMNS[:-1]), path)
+
+
+def write_anomalies_csv(anomalies: DataFrame, path: str) -> None:
+    write_csv(anomalies.select(*ANOMALY_COLUMNS), path)
+
+
 def read_congestion_csv(spark: SparkSession, path: str) -> DataFrame:
     """The congestion CSV table; columns are taken by position, whatever the header calls them."""
     return _read_csv_by_position(spark, path, CONGESTION_CSV_SCHEMA)
@@ -103,6 +124,8 @@ def read_anomalies_csv(spark: SparkSession, path: str) -> DataFrame:
 def register_layer(spark: SparkSession, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
     """Create a catalog table over a Parquet folder and pick up its partitions."""
     rows = spark.read.parquet(path)
+    if spark.catalog.tableExists(table):
+        _check_table(spark, table, path, rows)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitions} LOCATION '{path}'")
@@ -110,11 +133,22 @@ def register_layer(spark: SparkSession, table: str, path: str, partition_by: Seq
         repair_partitions(spark, table)
 
 
+def _check_table(spark: SparkSession, table: str, path: str, rows: DataFrame) -> None:
+    """Refuse to keep a table of this name that has other columns or lies elsewhere."""
+    known = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    place = next((r.data_type for r in known if r.col_name == "Location"), "")
+    ours = {(f.name, f.dataType.simpleString()) for f in rows.schema.fields}
+    theirs = {(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields}
+    if ours != theirs or place.split(":", 1)[-1].lstrip("/") != path.split(":", 1)[-1].strip("/"):
+        raise ValueError(f"table {table} exists with other columns or another location")
+
+
 def repair_partitions(spark: SparkSession, table: str) -> None:
     """Make partitions written since registration visible."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
-def register_lake(spark: SparkSession, root: str) -> None:
+def register_lake(spark: SparkSession, root: str, database: str | None = None) -> None:
+    prefix = f"{database}." if database else ""
     for table, partition_by in LAYERS.items():
-        register_layer(spark, table, layer_path(root, table), partition_by)
+        register_layer(spark, prefix + table, layer_path(root, table), partition_by)

@@ -1,4 +1,4 @@
-"""The ports dimension: a small table, read once and carried in the plan as literals."""
+"""The ports dimension: one row per port, brought to the driver once its size in bytes is known to be small."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from portflow.schemas import PORTS_SCHEMA
 
-MAX_PORTS = 10_000
+# Text and numbers of all ports together, in bytes: what a driver and a plan may carry.
+MAX_PORT_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -44,23 +45,22 @@ def read_ports(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_ports(ports: DataFrame, max_ports: int = MAX_PORTS) -> tuple[Port, ...]:
-    """Bring a ports table to the driver once its size is known to be small."""
-    rows = ports.limit(max_ports + 1).collect()
-    if not rows:
+def load_ports(ports: DataFrame, max_bytes: int = MAX_PORT_BYTES) -> tuple[Port, ...]:
+    """Bring a ports table to the driver; its size is measured first."""
+    size = F.sum(F.octet_length("port_id") + F.octet_length(F.coalesce("port_name", F.lit(""))) + 24)
+    total = ports.agg(size).first()[0]
+    if not total:
         raise ValueError("the ports table is empty")
-    if len(rows) > max_ports:
-        raise ValueError(f"more than {max_ports} ports: too many to carry in a plan")
+    if total > max_bytes:
+        raise ValueError(f"the ports take {total} bytes, more than {max_bytes}")
     return tuple(
-        Port(r.port_id, r.port_name, r.port_latitude, r.port_longitude, r.port_radius_km) for r in rows
+        Port(r.port_id, r.port_name, r.port_latitude, r.port_longitude, r.port_radius_km) for r in ports.collect()
     )
 
 
 def ports_frame(spark: SparkSession, ports: Sequence[Port] = DEFAULT_PORTS) -> DataFrame:
     rows = [(p.port_id, p.port_name, p.latitude, p.longitude, p.port_radius_km) for p in ports]
-    return spark.createDataFrame(rows, PORTS_SCHEMA).withColumnsRenamed(
-        {"latitude": "port_latitude", "longitude": "port_longitude"}
-    )
+    return spark.createDataFrame(rows, PORTS_SCHEMA)
 
 
 def port_name(port_id: Column, ports: Sequence[Port]) -> Column:

@@ -103,11 +103,11 @@ def test_nearest_port_needs_neither_shuffle_nor_join(spark):
 
 
 def test_empty_and_oversized_ports(spark):
-    empty = ports_frame(spark).limit(0)
+    ports = ports_frame(spark).withColumnsRenamed({"latitude": "port_latitude", "longitude": "port_longitude"})
     with pytest.raises(ValueError):
-        load_ports(empty)
+        load_ports(ports.limit(0))
     with pytest.raises(ValueError):
-        load_ports(ports_frame(spark), max_ports=4)
+        load_ports(ports, max_bytes=100)
     with pytest.raises(ValueError):
         nearest_port(positions(spark, [(1, 0.0, 0.0)]), [])
-    assert load_ports(ports_frame(spark)) == DEFAULT_PORTS
+    assert load_ports(ports) == DEFAULT_PORTS

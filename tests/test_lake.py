@@ -1,5 +1,6 @@
 import json
 import zipfile
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -20,7 +21,8 @@ from portflow.sources.layers import (
     read_layer,
     register_lake,
     repair_partitions,
-    write_csv,
+    write_anomalies_csv,
+    write_congestion_csv,
     write_layer,
 )
 from portflow.sources.ports import DEFAULT_PORTS, load_ports, read_ports
@@ -143,7 +145,7 @@ def test_pipeline_tables_and_counts(spark, tmp_path, settings):
     assert counts["gold_anomalies"]["rows"] == 6
     assert counts["gold_congestion"] == {"rows": 3}
     columns = {
-        "bronze_messages": BRONZE_COLUMNS,
+        "bronze_messages": (*BRONZE_COLUMNS, "batch"),
         "silver_positions": SILVER_COLUMNS,
         "silver_stops": STOP_COLUMNS,
         "gold_anomalies": ANOMALY_COLUMNS,
@@ -181,12 +183,39 @@ def test_rerun_gives_the_same_tables(spark, tmp_path, settings):
     assert pipeline.table("silver_quality_report").count() == 2
 
 
-def test_overwriting_one_month_keeps_the_others(spark, tmp_path):
+def test_overwriting_leaves_nothing_of_the_table_before(spark, tmp_path):
     rows = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "id int, year int, month int")
     path = str(tmp_path / "t")
     write_layer(rows, path, ("year", "month"))
     write_layer(rows.where("month = 2").withColumn("id", F.lit(9)), path, ("year", "month"))
-    assert sorted((r.id, r.month) for r in read_layer(spark, path).collect()) == [(1, 1), (9, 2)]
+    assert sorted((r.id, r.month) for r in read_layer(spark, path).collect()) == [(9, 2)]
+
+
+def test_rerun_with_other_settings_leaves_no_stale_rows(spark, tmp_path, settings):
+    first = run_pipeline(spark, tmp_path, settings)
+    assert first.table("silver_stops").count() == 2
+    again = run_pipeline(spark, tmp_path, replace(settings, min_dwell_minutes=600.0))
+    assert again.table("silver_stops").count() == 0
+    assert again.table("gold_congestion").agg(F.sum("stopped_vessels")).first()[0] == 0
+
+
+def test_months_loaded_one_after_the_other_keep_all_rows(spark, tmp_path, settings):
+    months = {
+        "january": [line(str(i), f"2024-01-0{i + 1}T00:00:00") for i in range(6)] + [line("7", "?"), line("8", "")],
+        "february": [line(str(i), f"2024-02-0{i + 1}T00:00:00") for i in range(6)] + [line("9", "never")],
+    }
+    pipeline = Pipeline(spark, str(tmp_path / "lake"), settings)
+    for name, lines in months.items():
+        (tmp_path / name).mkdir()
+        write_day(tmp_path / name / "day.csv", lines)
+    for name, total in (("january", 8), ("february", 15), ("january", 15)):
+        pipeline.run(read_raw_csv(spark, str(tmp_path / name)), name)
+        assert pipeline.table("bronze_messages").count() == total
+        assert pipeline.table("silver_positions").count() == total
+    # A smaller delivery of the same source replaces all of its rows.
+    write_day(tmp_path / "january" / "day.csv", months["january"][:1])
+    pipeline.run(read_raw_csv(spark, str(tmp_path / "january")), "january")
+    assert pipeline.table("bronze_messages").count() == 8
 
 
 def test_month_span_prunes_folders(spark, tmp_path):
@@ -216,7 +245,7 @@ def test_catalog_tables(spark, tmp_path, settings):
         assert spark.sql("SELECT count(*) FROM silver_positions").first()[0] == 9
         assert spark.sql("SELECT count(*) FROM silver_stops WHERE year = 2024 AND month = 2").first()[0] == 1
         extra = pipeline.table("silver_stops").limit(1).withColumn("year", F.lit(2031))
-        write_layer(extra, f"{pipeline.root}/silver_stops", ("year", "month"))
+        write_layer(extra, f"{pipeline.root}/silver_stops", ("year", "month"), mode="append")
         repair_partitions(spark, "silver_stops")
         assert spark.sql("SELECT count(*) FROM silver_stops WHERE year = 2031").first()[0] == 1
     finally:
@@ -226,18 +255,17 @@ def test_catalog_tables(spark, tmp_path, settings):
 
 def test_csv_tables_take_columns_by_position(spark, tmp_path, settings):
     pipeline = run_pipeline(spark, tmp_path, settings)
-    gold = pipeline.table("gold_congestion").withColumn("report_date", F.col("report_date").cast("string"))
-    write_csv(gold.select(*CONGESTION_COLUMNS[:-1]).withColumnRenamed("report_date", "date"), str(tmp_path / "gold"))
+    write_congestion_csv(pipeline.table("gold_congestion"), str(tmp_path / "gold"))
     back = read_congestion_csv(spark, str(tmp_path / "gold"))
     assert back.where("port_id = 'houston' and report_date = '2024-01-01'").first().vessels_near_port == 1
-    write_csv(pipeline.table("gold_anomalies").select(*ANOMALY_COLUMNS), str(tmp_path / "anomalies"))
+    write_anomalies_csv(pipeline.table("gold_anomalies"), str(tmp_path / "anomalies"))
     found = read_anomalies_csv(spark, str(tmp_path / "anomalies"))
     assert found.count() == 6 and found.where("is_within_port_radius = 'true'").count() > 0
 
 
 def test_anomalies_one_per_reason(raw_rows, settings):
     raw = raw_rows([("", "2024-01-01T00:00:00", "29.73", "-95.26", "-1"), ("5", "2024-01-01T00:00:00", "", "1", "1")])
-    rows = vessel_anomalies(classify(to_bronze(raw, settings), settings), DEFAULT_PORTS, settings).collect()
+    rows = vessel_anomalies(classify(to_bronze(raw, settings), settings, ("raw_payload_hash",)), DEFAULT_PORTS, settings).collect()
     found = {r.anomaly_type: r for r in rows}
     assert {(t, r.severity) for t, r in found.items()} == {
         ("null_vessel_id", "high"), ("impossible_speed", "medium"), ("invalid_coordinate", "high"),

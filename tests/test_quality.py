@@ -8,11 +8,10 @@ from portflow.operators.bronze import padded_date_parts, to_bronze
 from portflow.operators.duplicates import (
     FLAG_ALL,
     duplicate_groups,
+    find_groups,
     flag_duplicates,
     repeated_hashes,
-    sized_for_join,
     with_hash_in,
-    with_row_position,
 )
 from portflow.operators.quality import (
     classify,
@@ -27,6 +26,9 @@ from portflow.operators.quality import (
 )
 from portflow.functions.cleaning import to_number
 
+# The tests' rows never agree in both.
+ORDER = ("source_file", "raw_payload_hash")
+
 
 def flags(spark, texts, rule):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
@@ -61,14 +63,14 @@ def reasons_of(silver):
 
 def test_reason_order_and_status(raw_rows, settings):
     raw = raw_rows([GOOD, ("", "", "", "200", "")])
-    rows = {r.mmsi: r for r in classify(to_bronze(raw, settings), settings).collect()}
+    rows = {r.mmsi: r for r in classify(to_bronze(raw, settings), settings, ORDER).collect()}
     assert rows["1"].rejection_reason == "" and rows["1"].quality_status == "valid"
     assert rows[""].rejection_reason == "invalid_coordinate|null_vessel_id|impossible_speed|future_timestamp"
     assert rows[""].quality_status == "rejected"
 
 
 def test_every_flag_is_a_plain_boolean(raw_rows, settings):
-    silver = classify(to_bronze(raw_rows([(None,) * 5]), settings), settings)
+    silver = classify(to_bronze(raw_rows([(None,) * 5]), settings), settings, ORDER)
     row = silver.first().asDict()
     assert all(row[name] in (True, False) for name in row if name.startswith("is_"))
 
@@ -76,12 +78,12 @@ def test_every_flag_is_a_plain_boolean(raw_rows, settings):
 def test_null_lineage_reasons(raw_rows, settings):
     raw = raw_rows([GOOD]).withColumn("source_file", F.lit(" "))
     bronze = to_bronze(raw, settings).withColumn("ingestion_timestamp", F.lit(None).cast("timestamp"))
-    assert reasons_of(classify(bronze, settings)) == ["null_source_file|null_ingestion_timestamp"]
+    assert reasons_of(classify(bronze, settings, ORDER)) == ["null_source_file|null_ingestion_timestamp"]
 
 
 def test_time_at_the_processing_time_is_not_in_the_future(raw_rows, settings):
     raw = raw_rows([("1", "2026-01-01T00:00:00", "1", "1", "1"), ("2", "2026-01-01T00:00:00.000001", "1", "1", "1")])
-    found = {r.mmsi: r.is_future_timestamp for r in classify(to_bronze(raw, settings), settings).collect()}
+    found = {r.mmsi: r.is_future_timestamp for r in classify(to_bronze(raw, settings), settings, ORDER).collect()}
     assert found == {"1": False, "2": True}
 
 
@@ -114,7 +116,7 @@ def test_duplicate_policies(spark):
 
 
 def test_exact_copies_are_told_apart_by_position(spark):
-    rows = with_row_position(copies(spark, [("a", 1, "x")] * 5 + [("b", 1, "x")]).repartition(3))
+    rows = copies(spark, [("a", 1, "x")] * 5 + [("b", 1, "x")]).withColumn("_position", F.monotonically_increasing_id())
     flagged = flag_duplicates(rows, ["id"], ["rank", "_position"])
     assert Counter((r.id, r.is_duplicate) for r in flagged.collect()) == {
         ("a", True): 4, ("a", False): 1, ("b", False): 1,
@@ -131,17 +133,39 @@ def test_duplicate_flags_do_not_depend_on_partitioning(spark, partitions):
     assert found == {wide for _, wide in best.values()}
 
 
-def test_stored_groups_are_broadcast_only_when_small(spark):
-    rows = copies(spark, [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("b", 2, "w")])
-    groups = duplicate_groups(rows, ["id"], ["rank"])
-
-    def plan(limit):
-        flagged = flag_duplicates(rows, ["id"], ["rank"], groups=sized_for_join(groups, limit))
-        assert flagged.where("is_duplicate").count() == 2
-        return flagged._jdf.queryExecution().executedPlan().toString()
-
-    assert "BroadcastHashJoin" in plan(2)
-    assert "ShuffledHashJoin" in plan(1)
+def test_a_hot_key_is_broadcast_or_split(spark, tmp_path):
+    """A third of the rows share one key, the others are unique or in pairs."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % (n // 2)).cast("string")))
+    spark.range(n).select(key.alias("key"), F.col("id").alias("rank"), F.repeat(F.lit("x"), 50).alias("wide")).repartition(16).write.parquet(
+        str(tmp_path / "rows")
+    )
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    expected = n - rows.select("key").distinct().count()
+
+    def plan():
+        flagged = flag_duplicates(rows, ["key"], ["rank"], groups=find_groups(rows, ["key"], ["rank"]))
+        written = flagged.select(F.count_if("is_duplicate").alias("n"), F.count(F.lit("wide")).alias("rows"))
+        assert tuple(written.collect()[0]) == (expected, n)
+        return written._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan()
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        assert "skew=true" in plan()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_narrowing_by_hash_finds_the_same_groups(spark):
@@ -162,7 +186,7 @@ def test_duplicate_policy_arguments(spark):
 
 def test_report_adds_up(raw_rows, settings):
     raw = raw_rows([GOOD, GOOD[:4] + ("102.3",), ("", *GOOD[1:]), ("2", "", "95", "20", "-3")])
-    row = quality_report(classify(to_bronze(raw, settings), settings), settings, "day.csv").first()
+    row = quality_report(classify(to_bronze(raw, settings), settings, ORDER), settings, "day.csv").first()
     assert (row.total_records, row.valid_records, row.rejected_records) == (4, 1, 3)
     assert row.rejection_rate == 0.75
     assert (row.unavailable_speed_count, row.impossible_speed_count, row.null_vessel_id_count) == (1, 1, 1)
@@ -170,7 +194,7 @@ def test_report_adds_up(raw_rows, settings):
 
 
 def test_report_of_nothing(raw_rows, settings):
-    silver = classify(to_bronze(raw_rows([GOOD]).limit(0), settings), settings)
+    silver = classify(to_bronze(raw_rows([GOOD]).limit(0), settings), settings, ORDER)
     row = quality_report(silver, settings, "none").first()
     assert (row.total_records, row.rejected_records, row.rejection_rate) == (0, 0, 0.0)
 
@@ -189,7 +213,7 @@ def test_profile_agrees_with_the_flagged_rows(spark, sf_dir, settings):
 
     raw = read_messages(spark, sf_dir)
     row = source_profile(raw, settings, "events").first()
-    flagged = classify_raw(raw, settings, ["event_id", "Heading"])
+    flagged = classify_raw(raw, settings, ["event_id", "Heading", "copy"])
     rejected = flagged.where(F.size("quality_reasons") > 0).count()
     counts = Counter(
         name for r in flagged.select("quality_reasons").collect() for name in r.quality_reasons

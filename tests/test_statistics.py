@@ -208,3 +208,14 @@ def test_sample_by_class(spark, bad, good, expected):
 def test_rejected_capture(spark):
     caught = rejected_capture(flagged(spark, 30, 30), 10, 42, ["id"]).collect()
     assert len(caught) == 10 and all(r.quality_reasons == "x" and r.id < 30 for r in caught)
+
+
+def test_rows_of_a_null_group_are_normalized_too(spark):
+    rows = spark.createDataFrame([(1, 2.0), (1, 4.0), (None, 5.0), (None, 9.0)], "day int, value double")
+    found = sorted((r.value, r.scaled) for r in minmax_normalize(rows, {"value": "scaled"}, ["day"]).collect())
+    assert found == [(2.0, 0.0), (4.0, 1.0), (5.0, 0.0), (9.0, 1.0)]
+
+
+def test_sample_by_class_refuses_a_cap_above_its_size(spark):
+    with pytest.raises(ValueError):
+        sample_by_class(spark.createDataFrame([(1, ["x"])], "id int, quality_reasons array<string>"), 10, 50, 1, ["id"])
