@@ -75,7 +75,7 @@ def without_boilerplate(
     occurrences = line_occurrences(docs, text, source, min_chars)
     found = boilerplate(occurrences, min_sites)
     hits = _narrowed(occurrences.select(ROW, "pos", *KEY), found, KEY)
-    removed = hits.groupBy(ROW).agg(F.collect_set("pos").alias("removed"))
+    removed = hits.groupBy(ROW).agg(F.collect_list("pos").alias("removed"))
     rows = with_row(docs).select(ROW, F.col(doc_id).alias("doc_id"), _lines(text_or_empty(text)).alias("lines"))
     joined = rows.join(removed, ROW, "left")
     places = F.sequence(F.lit(0), F.size("lines") - 1)
