@@ -513,7 +513,7 @@ def catalog_stops_by_port(spark: SparkSession, folder: str) -> DataFrame:
     spark.sql(f"CREATE DATABASE {database}")
     layers.register_lake(spark, _run(spark, folder).root, database)
     return spark.sql(
-        f"""SELECT nearest_port_name, count(*) AS total_stops, count(DISTINCT mmsi) AS distinct_vessels,
+        f"""SELECT nearest_port_name, count(*) AS stops, count(DISTINCT mmsi) AS stopped_vessels,
           round(avg(dwell_time_minutes), 8) AS avg_dwell_minutes, round(max(dwell_time_minutes), 8) AS max_dwell_minutes
         FROM {database}.silver_stops GROUP BY nearest_port_name"""
     )
