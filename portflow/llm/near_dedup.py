@@ -6,25 +6,26 @@ the inverse frequency is taken to saturate below it. Improved consistent weighte
 (shingle, level) pair per text, and two texts draw the same one with the probability of their weighted Jaccard similarity. The draws are
 banded; texts that share a band are candidates, and a link is a candidate pair whose exact weighted Jaccard similarity is 0.8 or more.
 
-Classes are the connected components of the links. They are found without comparing all pairs of a bucket: texts with the same words are
-one vertex; in every round each bucket compares its members with one pivot; members that end up in the pivot's class leave
-the bucket and the others go on with a new pivot. What remains to be checked are pairs between those who left and those who
-stayed, in different classes to the end. One minus the weighted Jaccard similarity is a metric, so such a pair can only be a
-link if the similarities of the two to the pivot differ by 0.2 at most; exactly these pairs are compared last.
+Classes are the connected components of the links. They are found without comparing all pairs of a large bucket: texts with the same words are
+one vertex. In every round a bucket compares its members with a few pivots, among its members; whoever is linked to a pivot leaves, and the
+others go on with new pivots until few are left, who are compared with one another. What remains to be checked are pairs of which one has left with a
+pivot that the other is not linked to, if they are in different classes to the end. One minus the weighted Jaccard similarity is a metric, so
+such a pair can only be a link if the similarities of the two to that pivot differ by 0.2 at most; exactly these pairs are compared last.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portflow.llm.common import ROW, binary_parts, mix64, slices, stored, text_or_empty, with_row, word_hashes
+from portflow.session import scratch_dir
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -44,6 +45,10 @@ COUNT_BITS = 40
 VECTOR_BITS = 48
 BROADCAST_ROWS = 1 << 20
 PIVOT_ORDERS = 3
+# A bucket's members meet about so many pivots in the first round, and so many times more in each round after it. Buckets of at
+# most twice the round's pivots have all their pairs compared, which costs no more.
+PIVOTS = 6
+PIVOT_GROWTH = 4
 
 
 def shingles(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -320,51 +325,87 @@ def _classes_of(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
 
 
-def near_links(signed: DataFrame, table_of) -> DataFrame:
+def _with_pivots(members: DataFrame, wanted: int, turn: int) -> DataFrame:
+    """Every member of a bucket with each of about ``wanted`` members, drawn by a hash, at least one."""
+    rank = F.xxhash64("id", "salt", F.lit(turn))
+    ranked = members.withColumn("rank", rank)
+    least = ranked.groupBy("key").agg(F.min(F.struct("rank", "id")).getField("id").alias("pivot"))
+    drawn = ranked.where(F.col("rank") / 2.0**64 + 0.5 < wanted / F.col("n")).select("key", F.col("id").alias("pivot"))
+    return members.join(stored(least.unionByName(drawn).distinct()), "key")
+
+
+class _Log:
+    """A stored table that grows by one write per round, so that plans do not grow with the rounds."""
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.path, self.used = spark, schema, scratch_dir(spark), False
+
+    def add(self, rows: DataFrame) -> None:
+        self.used = True
+        rows.write.mode("append").parquet(self.path)
+
+    def table(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
+def near_links(signed: DataFrame, table_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Distinct links (a, b) whose components are the classes; ``signed`` is (id, bands), one row per distinct text."""
+    spark = signed.sparkSession
     band = signed.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Bands differ in the order in which members become pivots, so that one unlucky pivot does not decide alone.
-    order = F.struct(F.xxhash64("id", F.col("band") % PIVOT_ORDERS).alias("rank"), "id")
-    active = stored(band.join(shared, "key").select("key", "id", order.alias("order")))
+    salt = (F.col("band") % PIVOT_ORDERS).alias("salt")
+    active = stored(band.join(shared, "key").select("key", "id", salt, "n"))
     table = table_of(active.select("id").distinct())
-    links, compared, rounds = None, None, []
-    while not active.isEmpty():
-        pivots = active.groupBy("key").agg(F.min("order").getField("id").alias("a"))
-        placed = stored(active.join(pivots, "key"))
-        pairs = placed.where("a <> id").select("a", F.col("id").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        measured = stored(similarities(pairs, table))
-        compared = measured if compared is None else compared.unionByName(measured)
-        found = measured.where(F.col("similarity") >= SIMILARITY).select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        known = placed.join(compared.withColumnRenamed("b", "id"), ["a", "id"], "left")
-        known = known.withColumn("similarity", F.when(F.col("a") == F.col("id"), 1.0).otherwise(F.col("similarity")))
-        classed = _classes_of(known, links)
-        pivot_class = classed.where("a = id").select("key", F.col("class").alias("pivot_class"))
-        judged = stored(
-            classed.join(pivot_class, "key").select(
-                "key", "id", "order", "similarity", (F.col("class") == F.col("pivot_class")).alias("left")
-            )
-        )
-        rounds.append(judged)
-        stay = judged.where("not left").select("key", "id", "order")
-        several = stay.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-        active = stored(stay.join(several, "key"))
-    if links is None:
-        return signed.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    open_pairs = None
-    for judged in rounds:
-        gone = judged.where("left").select("key", F.col("id").alias("a"), F.col("similarity").alias("near"))
-        stay = judged.where("not left").select("key", F.col("id").alias("b"), F.col("similarity").alias("far"))
-        pairs = stay.join(gone, "key").where(F.abs(F.col("near") - F.col("far")) <= 1 - SIMILARITY + 1e-9).select("a", "b")
-        open_pairs = pairs if open_pairs is None else open_pairs.unionByName(pairs)
+    compared = _Log(spark, "a long, b long, similarity double")
+    rounds = _Log(spark, "key long, id long, pivot long, similarity double, home long")
+
+    def compare(pairs: DataFrame) -> None:
+        pairs = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+        if compared.used:
+            pairs = pairs.join(compared.table().select("a", "b"), ["a", "b"], "left_anti")
+        compared.add(similarities(pairs, table))
+
+    turn, wanted = 0, PIVOTS
+    while True:
+        small = active.where(F.col("n") <= 2 * wanted)
+        other = small.select("key", F.col("id").alias("y"))
+        pairs = small.select("key", F.col("id").alias("x")).join(other, "key").where("x < y").select("x", "y")
+        large = active.where(F.col("n") > 2 * wanted)
+        placed = None
+        if not large.isEmpty():
+            placed = stored(_with_pivots(large, wanted, turn))
+            pairs = pairs.unionByName(placed.where("pivot <> id").select(F.col("pivot").alias("x"), F.col("id").alias("y")))
+        compare(pairs)
+        if placed is None:
+            break
+        one, two = F.greatest("pivot", "id").alias("a"), F.least("pivot", "id").alias("b")
+        known = placed.select("key", "id", "salt", "pivot", one, two).join(compared.table(), ["a", "b"], "left")
+        known = known.withColumn("similarity", F.when(F.col("pivot") == F.col("id"), 1.0).otherwise(F.col("similarity")))
+        known = stored(known.select("key", "id", "salt", "pivot", "similarity"))
+        close = known.where(F.col("similarity") >= SIMILARITY)
+        home = close.groupBy("key", "id").agg(F.max_by("pivot", F.struct("similarity", "pivot")).alias("home"))
+        judged = stored(known.join(home, ["key", "id"], "left"))
+        rounds.add(judged.select("key", "id", "pivot", "similarity", "home"))
+        stay = judged.where("home is null").select("key", "id", "salt").distinct()
+        several = stay.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        active = stored(stay.join(several, "key").select("key", "id", "salt", "n"))
+        if active.isEmpty():
+            break
+        turn, wanted = turn + 1, wanted * PIVOT_GROWTH
+    links = compared.table().where(F.col("similarity") >= SIMILARITY).select("a", "b")
+    if not rounds.used:
+        return links
     classes = stored(_classes_of(table.select("id"), links))
-    one, two = (classes.withColumnsRenamed({"id": x, "class": f"class_{x}"}) for x in "ab")
-    differ = open_pairs.join(one, "a").join(two, "b").where("class_a <> class_b").select("a", "b").distinct()
-    rest = stored(similarities(differ.join(compared.select("a", "b"), ["a", "b"], "left_anti"), table))
-    return links.unionByName(rest.where(F.col("similarity") >= SIMILARITY).select("a", "b"))
+    judged = rounds.table().join(classes, "id")
+    gone = judged.where("home = pivot").select(
+        "key", "pivot", F.col("id").alias("x"), F.col("similarity").alias("near"), F.col("class").alias("class_x")
+    )
+    far = judged.where(~F.col("home").eqNullSafe(F.col("pivot")) & (F.col("similarity") >= 2 * SIMILARITY - 1 - 1e-9))
+    far = far.select("key", "pivot", F.col("id").alias("y"), F.col("similarity").alias("far"), F.col("class").alias("class_y"))
+    reach = F.abs(F.col("near") - F.col("far")) <= 1 - SIMILARITY + 1e-9
+    compare(gone.join(far, ["key", "pivot"]).where(reach & (F.col("class_x") != F.col("class_y"))).select("x", "y"))
+    return compared.table().where(F.col("similarity") >= SIMILARITY).select("a", "b")
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -86,10 +86,10 @@ def corpus(seed):
     return [(i, " ".join(t)) for i, t in zip(ids, texts)]
 
 
-@pytest.mark.parametrize("seed, small, pivots", [(1, 12, 4), (2, 2, 2)])
-def test_classes_equal_those_of_all_pairs(spark, monkeypatch, seed, small, pivots):
-    monkeypatch.setattr(nd, "SMALL_GROUP", small)
+@pytest.mark.parametrize("seed, pivots, growth", [(1, 6, 4), (2, 1, 1), (3, 1, 2)])
+def test_classes_equal_those_of_all_pairs(spark, monkeypatch, seed, pivots, growth):
     monkeypatch.setattr(nd, "PIVOTS", pivots)
+    monkeypatch.setattr(nd, "PIVOT_GROWTH", growth)
     rows = corpus(seed)
     expected, found = brute(rows), ours(spark, rows)
     # Sampling may miss a pair right at the threshold; here none is.
