@@ -33,7 +33,7 @@ BANDS = 12
 BAND_ROWS = 4
 # The inverse document frequency counts for this part of a weight; the rest is the same for all shingles. With it, texts
 # whose common part is shared by a large group still count as near copies of one another.
-IDF_SHARE = 0.3
+IDF_SHARE = 0.15
 # Shares of documents below this have the full inverse frequency, and so have shingles beyond the most frequent ones that
 # fit the bound on the broadcast.
 RARE_SHARE = 0.001
