@@ -5,6 +5,10 @@ space. The counts come from all training texts and are summed by Spark. A 4-gram
 64-bit integer, so its suffixes and its context are bit operations, and a model is a sorted array of such integers
 with one log-probability per language. A text gets the language with the lowest cross-entropy per character.
 
+Every 4-gram of the counts is in the model. Up to ``MAX_CELLS`` log-probabilities are built on the driver and broadcast;
+larger models are tables made by Spark from all counts. Then only the most frequent 4-grams are broadcast, and a text's
+others find their log-probabilities by a join.
+
 How far to trust that is calibrated on training texts that were kept out of the counts: a logistic curve over the margin between the two
 best languages gives the score, and texts below a score that kept-out texts rarely have when the prediction is right are
 marked as rejected, as are texts that even the best language finds far more surprising than its own.
@@ -13,11 +17,11 @@ marked as rejected, as are texts that even the best language finds far more surp
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portflow.llm.common import ROW, slices, stored, with_row
@@ -26,8 +30,8 @@ from portflow.llm.packing import LETTER, code_classes
 ORDER = 4
 SPACE = 32
 UNKNOWN = "und"
-# Most frequent 4-grams kept per language; rarer ones are scored by their suffixes.
-MAX_GRAMS = 300_000
+# 4-grams times languages that are broadcast; a model of more is kept in tables. It decides the plan, never the result.
+MAX_CELLS = 1 << 23
 # Calibration texts: every so many training rows, and a bound on how many.
 HELD_EVERY = 40
 MAX_CALIBRATION = 4_000
@@ -134,6 +138,42 @@ def _low(grams: np.ndarray, order: int) -> np.ndarray:
     return grams & np.uint64((1 << (16 * order)) - 1) if order < ORDER else grams
 
 
+def _low_column(gram: Column, order: int) -> Column:
+    return gram.bitwiseAND(F.lit((1 << (16 * order)) - 1).cast("long")) if order < ORDER else gram
+
+
+@dataclass(frozen=True)
+class Shelf:
+    """A model in tables: per order (gram, values) and (context, values), with one value per language as in ``Models``."""
+
+    grams: tuple[DataFrame, ...]
+    contexts: tuple[DataFrame, ...]
+    floor: float
+
+    def values(self, wanted: DataFrame) -> DataFrame:
+        """(gram, values): the log-probabilities of each of the distinct 4-grams ``wanted``, seen or not."""
+        rows, steps = wanted, []
+        for order in range(ORDER, 0, -1):
+            gram, context = F.col("gram"), F.col("context")
+            own = self.grams[order - 1].select(gram.alias(f"g{order}"), F.col("values").alias(f"t{order}"))
+            weights = self.contexts[order - 1].select(context.alias(f"h{order}"), F.col("values").alias(f"w{order}"))
+            # At most 65,536 characters, and one context.
+            own, weights = (F.broadcast(x) if order == 1 else x for x in (own, weights))
+            low = _low_column(gram, order)
+            rows = rows.join(own, low == F.col(f"g{order}"), "left")
+            rows = rows.join(weights, F.shiftrightunsigned(low, 16) == F.col(f"h{order}"), "left")
+            steps.append(order)
+        value = None
+        for order in reversed(steps):
+            if value is None:
+                value = F.transform(F.col("w1"), lambda w: w + F.lit(self.floor))
+            else:
+                backed = F.zip_with(F.col(f"w{order}"), value, lambda w, x: w + x)
+                value = F.when(F.col(f"w{order}").isNull(), value).otherwise(backed)
+            value = F.coalesce(F.col(f"t{order}"), value)
+        return rows.select("gram", value.alias("values"))
+
+
 @dataclass(frozen=True)
 class Models:
     """The models of all languages. ``tables[k]`` and ``contexts[k]`` hold, for order k + 1, sorted grams and sorted
@@ -147,6 +187,8 @@ class Models:
     offset: float = 0.0
     least_score: float = 0.0
     ceilings: tuple[float, ...] = ()
+    # Of a model in tables; ``tables`` then holds the most frequent 4-grams only, as its last entry.
+    shelf: Shelf | None = None
 
     def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
         """One row per gram: its last character's log-probability after the others, for every language."""
@@ -216,6 +258,59 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
     return Models(languages, tuple(tables), tuple(contexts), float(np.log(uniform)))
 
 
+def shelved(counts: DataFrame, languages: tuple[str, ...]) -> Models:
+    """What :func:`build` gives, from counts (lang, gram, n) of any number, by Spark alone."""
+    numbers = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")).cast("int") - 1
+    seen = [stored(counts.select(numbers.alias("k"), "gram", F.col("n").cast("double").alias("n")))]
+    for order in range(ORDER - 1, 0, -1):
+        low = _low_column(F.col("gram"), order).alias("gram")
+        seen.insert(0, stored(seen[0].groupBy("k", low).agg(F.count(F.lit(1)).cast("double").alias("n"))))
+    uniform = 1.0 / (seen[0].select("gram").distinct().count() + 1)
+
+    def wide(value: Column, missing: float) -> Column:
+        each = [F.max(F.when(F.col("k") == k, value)) for k in range(len(languages))]
+        return F.array(*[F.coalesce(x, F.lit(missing)) for x in each])
+
+    def log(chance: Column) -> Column:
+        return F.log(F.greatest(chance, F.lit(1e-30)))
+
+    grams, contexts = [], []
+    for order in range(1, ORDER + 1):
+        own = seen[order - 1].withColumn("context", F.shiftrightunsigned("gram", 16))
+        discounts = [0.5] * len(languages)
+        for r in own.groupBy("k").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect():
+            if r.once:
+                discounts[r.k] = r.once / (r.once + 2 * r.twice)
+        discount = F.get(F.array(*[F.lit(d) for d in discounts]), F.col("k"))
+        histories = stored(own.groupBy("k", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")))
+        weight = log(discount * F.col("kinds") / F.col("total"))
+        contexts.append(stored(histories.groupBy("context").agg(wide(weight, 0.0).alias("values"))))
+        share = F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total")
+        shares = own.join(histories, ["k", "context"]).groupBy("gram", "context")
+        shares = shares.agg(wide(share, 0.0).alias("shares"), F.sum("n").alias("n"))
+        rows = shares.join(contexts[-1].withColumnRenamed("values", "weights"), "context")
+        if order == 1:
+            rows = rows.withColumn("lower", F.transform("weights", lambda _: F.lit(float(np.log(uniform)))))
+        else:
+            lower = grams[-1].select(F.col("gram").alias("suffix"), F.col("values").alias("lower"))
+            rows = rows.join(lower, _low_column(F.col("gram"), order - 1) == F.col("suffix"))
+        backed = F.zip_with("weights", "lower", lambda w, x: F.exp(w + x))
+        values = F.zip_with("shares", backed, lambda a, b: log(a + b))
+        grams.append(stored(rows.select("gram", values.alias("values"), "n")))
+    most = max(1, MAX_CELLS // len(languages))
+    share = max(0.0, 1 - most / max(1, grams[-1].count()))
+    # Strictly more frequent than that quantile: however many 4-grams occur equally often, not more are broadcast.
+    least = grams[-1].agg(F.percentile_approx("n", F.lit(share), F.lit(10_000))).first()[0]
+    hot = grams[-1].where(F.col("n") > F.lit(least)).select("gram", "values").toArrow()
+    found = hot.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(found)
+    logs = hot.column("values").combine_chunks().flatten().to_numpy().reshape(len(found), len(languages))
+    floor = float(np.log(uniform))
+    table = (found[order], logs[order].astype(np.float32))
+    shelf = Shelf(tuple(x.select("gram", "values") for x in grams), tuple(contexts), floor)
+    return Models(languages, (table,), (), floor, shelf=shelf)
+
+
 def _evidence(entropies: np.ndarray, n_grams: np.ndarray) -> np.ndarray:
     """A logarithm of how much better the best language explains the whole text than the second best."""
     if entropies.shape[1] < 2:
@@ -253,9 +348,68 @@ def calibrated(models: Models, entropies: np.ndarray, n_grams: np.ndarray, truth
     for k in range(len(models.languages)):
         own = entropies[right & (best == k), k] if len(right) else np.zeros(0)
         ceilings.append(float(own.mean() + 6 * own.std() + 0.5) if len(own) >= 20 else float("inf"))
-    return Models(
-        models.languages, models.tables, models.contexts, models.floor, slope, offset, least, tuple(ceilings)
-    )
+    return replace(models, slope=slope, offset=offset, least_score=least, ceilings=tuple(ceilings))
+
+
+def measured(rows: DataFrame, models: Models) -> DataFrame:
+    """Replace the last column of ``rows``, a lower-case text, by n_letters, n_grams and entropies (one per language)."""
+    kept = rows.columns[:-1]
+    shared = rows.sparkSession.sparkContext.broadcast(replace(models, shelf=None))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
+    names = [*kept, "n_letters", "n_grams", "entropies"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, characters = shared.value, Characters()
+        for batch in batches:
+            for lo, hi, some in _grouped(batch.column(len(kept)).to_pylist()):
+                grams, owner, n_letters = characters.sequences(some)
+                entropies = models.entropies(grams, owner, len(some))
+                n_grams = np.bincount(owner, minlength=len(some))
+                columns = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
+                columns += [pa.array(n_letters), pa.array(n_grams), _lists(entropies)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    def partly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (known, logs), characters = shared.value.tables[-1], Characters()
+        for batch in batches:
+            for lo, hi, some in _grouped(batch.column(len(kept)).to_pylist()):
+                grams, owner, n_letters = characters.sequences(some)
+                n_grams = np.bincount(owner, minlength=len(some))
+                at, found = _find(known, grams)
+                sums = [np.bincount(owner[found], logs[at[found], k].astype(np.float64), len(some)) for k in range(logs.shape[1])]
+                rest, text = grams[~found], owner[~found]
+                order = np.lexsort((rest, text))
+                rest, text = rest[order], text[order]
+                new = np.ones(len(rest), bool)
+                new[1:] = (rest[1:] != rest[:-1]) | (text[1:] != text[:-1])
+                first = np.flatnonzero(new)
+                ends = np.searchsorted(text[first], np.arange(len(some) + 1)).astype(np.int32)
+                columns = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
+                columns += [pa.array(n_letters), pa.array(n_grams), _lists(np.stack(sums, axis=1))]
+                for values in (rest[first].view(np.int64), np.diff(first, append=len(rest))):
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, [*names[:-1], "sums", "grams", "times"])
+
+    counted = f"{kinds}n_letters long, n_grams long"
+    if models.shelf is None:
+        return rows.mapInArrow(run, f"{counted}, entropies array<double>")
+    parts = rows.mapInArrow(partly, f"{counted}, sums array<double>, grams array<long>, times array<long>")
+    parts = with_row(stored(parts).withColumnRenamed(ROW, "_own_row"))
+    rare = parts.select(ROW, F.explode(F.arrays_zip("grams", "times")).alias("x")).select(ROW, "x.grams", "x.times")
+    rare = rare.withColumnRenamed("grams", "gram")
+    values = stored(models.shelf.values(rare.select("gram").distinct()))
+    each = [F.sum(F.col("times") * F.get("values", F.lit(k))) for k in range(len(models.languages))]
+    more = rare.join(values, "gram").groupBy(ROW).agg(F.array(*each).alias("more"))
+    total = F.when(F.col("more").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "more", lambda a, b: a + b))
+    entropies = F.transform(total, lambda x: -x / F.greatest("n_grams", F.lit(1)))
+    found = parts.join(more, ROW, "left").withColumn("entropies", entropies).drop(ROW)
+    return found.withColumnRenamed("_own_row", ROW).select(*[F.col(f"`{c}`") for c in names])
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    """One list per row."""
+    ends = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.ravel(), pa.float64()))
 
 
 def fit(rows: DataFrame) -> Models:
@@ -266,33 +420,25 @@ def fit(rows: DataFrame) -> Models:
     """
     held = F.pmod(F.xxhash64(F.col(ROW), F.lit(5)), F.lit(HELD_EVERY)) == 0
     counts = gram_counts(rows.where(~held).select("lang", "text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counts.withColumn("rank", rank).where(F.col("rank") <= MAX_GRAMS).drop("rank").toArrow()
-    langs = np.array(kept.column("lang").to_pylist(), dtype=object)
-    grams, n = (kept.column(c).to_numpy() for c in ("gram", "n"))
-    by_lang = {}
-    for lang in sorted(set(langs)):
-        own = langs == lang
-        order = np.argsort(grams[own].view(np.uint64))
-        by_lang[lang] = (grams[own].view(np.uint64)[order], n[own][order])
-    models = build(by_lang)
+    counts = stored(counts)
+    sizes = {r.lang: r["count"] for r in counts.groupBy("lang").count().collect()}
+    if sum(sizes.values()) * len(sizes) > MAX_CELLS:
+        models = shelved(counts, tuple(sorted(sizes)))
+    else:
+        kept = counts.toArrow()
+        langs = np.array(kept.column("lang").to_pylist(), dtype=object)
+        grams, n = (kept.column(c).to_numpy() for c in ("gram", "n"))
+        by_lang = {}
+        for lang in sorted(set(langs)):
+            own = langs == lang
+            order = np.argsort(grams[own].view(np.uint64))
+            by_lang[lang] = (grams[own].view(np.uint64)[order], n[own][order])
+        models = build(by_lang)
     sample = stored(rows.where(held).select(ROW).orderBy(F.xxhash64(ROW)).limit(MAX_CALIBRATION))
-    shared = rows.sparkSession.sparkContext.broadcast(models)
     chosen = rows.join(F.broadcast(sample), ROW, "left_semi").select("lang", "text")
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        characters = Characters()
-        for batch in batches:
-            for lo, hi, some in _grouped(batch.column(1).to_pylist()):
-                found, owner, n_letters = characters.sequences(some)
-                values = shared.value.entropies(found, owner, len(some))
-                n_grams = np.where(n_letters > 0, np.bincount(owner, minlength=len(some)), 0)
-                columns = [batch.column(0).slice(lo, hi - lo), pa.array(n_grams), pa.array(list(values))]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "n", "entropies"])
-
-    measured = chosen.mapInArrow(measure, "lang string, n long, entropies array<double>").where("n > 0").toArrow()
-    values = np.array(measured.column("entropies").to_pylist()).reshape(measured.num_rows, len(models.languages))
-    return calibrated(models, values, measured.column("n").to_numpy(), measured.column("lang").to_pylist())
+    found = measured(chosen, models).where("n_letters > 0").toArrow()
+    values = np.array(found.column("entropies").to_pylist()).reshape(found.num_rows, len(models.languages))
+    return calibrated(models, values, found.column("n_grams").to_numpy(), found.column("lang").to_pylist())
 
 
 def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
@@ -304,35 +450,36 @@ def predict(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c != text]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(text), F.lit("")).alias(text))
     rows = rows.withColumn(text, F.lower(F.col(text)))
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    shared = docs.sparkSession.sparkContext.broadcast(replace(models, tables=(), contexts=(), shelf=None))
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, characters = shared.value, Characters()
+        models = shared.value
         names = np.array([*models.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for lo, hi, some in _grouped(batch.column(len(kept)).to_pylist()):
-                grams, owner, n_letters = characters.sequences(some)
-                entropies = models.entropies(grams, owner, len(some))
-                known = (n_letters > 0) & (entropies.shape[1] > 0)
-                best, score, entropy = np.full(len(some), len(names) - 1), (n_letters == 0) * 1.0, np.full(len(some), np.nan)
-                rejected = np.ones(len(some), bool)
-                if known.any():
-                    own = entropies[known]
-                    best[known] = own.argmin(axis=1)
-                    entropy[known] = own.min(axis=1)
-                    x = _evidence(own, np.bincount(owner, minlength=len(some))[known])
-                    score[known] = 1 / (1 + np.exp(-np.clip(models.slope * x + models.offset, -30, 30)))
-                    ceiling = np.array([*(models.ceilings or [np.inf] * len(models.languages)), np.inf])
-                    rejected[known] = (score[known] < models.least_score) | (entropy[known] > ceiling[best[known]])
-                found = [pa.array(names[best], pa.string()), pa.array(score), pa.array(entropy, from_pandas=True)]
-                columns = [c.slice(lo, hi - lo) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, *found, pa.array(rejected)],
-                    [*kept, "lang_pred", "score", "cross_entropy", "rejected"],
-                )
-
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, cross_entropy double, rejected boolean")
+            n_letters, n_grams, lists = batch.columns[-3:]
+            n_letters, n_grams = n_letters.to_numpy(), n_grams.to_numpy()
+            n = batch.num_rows
+            entropies = lists.flatten().to_numpy().reshape(n, len(models.languages))
+            known = (n_letters > 0) & (entropies.shape[1] > 0)
+            best, score, entropy = np.full(n, len(names) - 1), (n_letters == 0) * 1.0, np.full(n, np.nan)
+            rejected = np.ones(n, bool)
+            if known.any():
+                own = entropies[known]
+                best[known] = own.argmin(axis=1)
+                entropy[known] = own.min(axis=1)
+                x = _evidence(own, n_grams[known])
+                score[known] = 1 / (1 + np.exp(-np.clip(models.slope * x + models.offset, -30, 30)))
+                ceiling = np.array([*(models.ceilings or [np.inf] * len(models.languages)), np.inf])
+                rejected[known] = (score[known] < models.least_score) | (entropy[known] > ceiling[best[known]])
+            found = [pa.array(names[best], pa.string()), pa.array(score), pa.array(entropy, from_pandas=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-3], *found, pa.array(rejected)],
+                [*kept, "lang_pred", "score", "cross_entropy", "rejected"],
+            )
+
+    schema = f"{kinds}lang_pred string, score double, cross_entropy double, rejected boolean"
+    return measured(rows, models).mapInArrow(run, schema)
 
 
 def training_rows(docs: DataFrame, condition, text: str = "text", lang: str = "lang") -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -112,3 +113,37 @@ def test_one_language(spark):
     docs = table(spark, [(i, "en", "only one language here") for i in range(9)])
     found = lg.predict(docs.select("doc_id", "text"), lg.fit(lg.training_rows(docs, F.lit(True)))).collect()
     assert {r.lang_pred for r in found} == {"en"}
+
+
+def test_a_model_in_tables_equals_one_in_memory(spark, monkeypatch):
+    rng = random.Random(4)
+    words = {k: ["".join(rng.choices(a, k=rng.randint(1, 7))) for _ in range(60)] for k, a in (("aa", "abcde"), ("bb", "defgé"), ("cc", "日本語中文字"))}
+    rows = [(i, k, " ".join(rng.choices(words[k], k=12))) for i, k in enumerate(list(words) * 60)]
+    rows += [(1000, None, "qqq zzz abcde"), (1001, None, None), (1002, None, "12"), (1003, None, "")]
+    docs = table(spark, rows)
+    found = []
+    # All in memory; none, all and some of the 4-grams broadcast.
+    for cells in (1 << 23, 3, 1 << 11):
+        monkeypatch.setattr(lg, "MAX_CELLS", cells)
+        models = lg.fit(lg.training_rows(docs, F.lit(True)))
+        assert (models.shelf is None) == (cells == 1 << 23)
+        found.append({r.doc_id: r for r in lg.predict(docs.select("doc_id", "text"), models).collect()})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        for key, r in found[0].items():
+            assert (other[key].lang_pred, other[key].rejected) == (r.lang_pred, r.rejected)
+            assert other[key].score == pytest.approx(r.score, abs=1e-4)
+            assert (other[key].cross_entropy or 0) == pytest.approx(r.cross_entropy or 0, rel=1e-5)
+
+
+def test_no_gram_is_dropped(spark):
+    # 340,000 4-grams of one language, all equally frequent but one.
+    codes = np.arange(0x4E00, 0x4E00 + 20_000)
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.permutation(codes))) for _ in range(17)]
+    # A character that only the least frequent 4-grams hold.
+    rows = [(i, "zh", t) for i, t in enumerate(texts) for _ in range(2)] + [(99, "zh", "가")]
+    frame = spark.createDataFrame(rows, f"{ROW} long, lang string, text string")
+    models = lg.fit(frame)
+    assert len(models.tables[-1][0]) > 300_000
+    assert 0xAC00 in models.tables[0][0]
