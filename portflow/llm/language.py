@@ -32,7 +32,7 @@ SPACE = 32
 UNKNOWN = "und"
 # 4-grams times languages that are broadcast; a model of more is kept in tables. It decides the plan, never the result.
 MAX_CELLS = 1 << 23
-# Calibration texts: every so many training rows, and a bound on how many.
+# Calibration texts: at most one in so many training rows of a language, and a bound on how many.
 HELD_EVERY = 40
 MAX_CALIBRATION = 4_000
 GROUP_CHARS = 1 << 20
@@ -412,14 +412,26 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.ravel(), pa.float64()))
 
 
+def calibration_rows(rows: DataFrame) -> DataFrame:
+    """The numbers of the training rows that calibrate."""
+    most = {r.lang: r["count"] // HELD_EVERY for r in rows.groupBy("lang").count().collect()}
+    drawn = F.pmod(F.xxhash64(F.col(ROW), F.lit(5)), F.lit(HELD_EVERY)) == 0
+    chosen, taken = [], dict.fromkeys(most, 0)
+    for r in rows.where(drawn).select(ROW, "lang").orderBy(F.xxhash64(ROW), ROW).limit(MAX_CALIBRATION).collect():
+        if taken[r.lang] < most[r.lang]:
+            taken[r.lang] += 1
+            chosen.append((r[ROW],))
+    return stored(rows.sparkSession.createDataFrame(chosen, f"{ROW} long"))
+
+
 def fit(rows: DataFrame) -> Models:
     """Learn from ``rows`` (row, lang, text) without nulls: every language's counts, then the calibration.
 
-    One training row in ``HELD_EVERY``, by a hash of its number, is kept out of the counts; at most ``MAX_CALIBRATION`` of
-    them calibrate.
+    At most ``MAX_CALIBRATION`` training rows, by a hash of their numbers, calibrate and are kept out of the counts. They are
+    no more than one in ``HELD_EVERY`` of a language's rows, so one with fewer rows is learned from all of them.
     """
-    held = F.pmod(F.xxhash64(F.col(ROW), F.lit(5)), F.lit(HELD_EVERY)) == 0
-    counts = gram_counts(rows.where(~held).select("lang", "text"))
+    sample = calibration_rows(rows)
+    counts = gram_counts(rows.join(F.broadcast(sample), ROW, "left_anti").select("lang", "text"))
     counts = stored(counts)
     sizes = {r.lang: r["count"] for r in counts.groupBy("lang").count().collect()}
     if sum(sizes.values()) * len(sizes) > MAX_CELLS:
@@ -434,7 +446,6 @@ def fit(rows: DataFrame) -> Models:
             order = np.argsort(grams[own].view(np.uint64))
             by_lang[lang] = (grams[own].view(np.uint64)[order], n[own][order])
         models = build(by_lang)
-    sample = stored(rows.where(held).select(ROW).orderBy(F.xxhash64(ROW)).limit(MAX_CALIBRATION))
     chosen = rows.join(F.broadcast(sample), ROW, "left_semi").select("lang", "text")
     found = measured(chosen, models).where("n_letters > 0").toArrow()
     values = np.array(found.column("entropies").to_pylist()).reshape(found.num_rows, len(models.languages))

@@ -147,3 +147,20 @@ def test_no_gram_is_dropped(spark):
     models = lg.fit(frame)
     assert len(models.tables[-1][0]) > 300_000
     assert 0xAC00 in models.tables[0][0]
+
+
+def test_only_calibration_texts_are_kept_out_of_the_counts(spark, monkeypatch):
+    held = spark.range(4000).where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(lg.HELD_EVERY)) == 0)
+    held = [r.id for r in held.collect()]
+    assert len(held) > 50
+    # A language all of whose rows would be drawn, and a bound far below one in 40.
+    langs = {i: "rare" for i in held[:3]}
+    rows = [(i, langs.get(i, "en"), "żółw" if i in langs else "hello there") for i in range(4000)]
+    frame = spark.createDataFrame(rows, f"{ROW} long, lang string, text string")
+    monkeypatch.setattr(lg, "MAX_CALIBRATION", 10)
+    counted = []
+    plain = lg.gram_counts
+    monkeypatch.setattr(lg, "gram_counts", lambda rows: counted.append(rows.count()) or plain(rows))
+    models = lg.fit(frame)
+    assert models.languages == ("en", "rare")
+    assert 4000 - 10 <= counted[0] < 4000
