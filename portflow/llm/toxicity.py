@@ -25,8 +25,6 @@ from portflow.llm.common import ROW, binary_parts, slices, stored, text_or_empty
 # Bounds of the training sample: confirmed toxic texts, and texts of any kind.
 MAX_POSITIVE = 3_000
 MAX_UNLABELLED = 6_000
-# A training text gives at most this many distinct features, those with the smallest hashes.
-MAX_WORDS = 4_096
 # Bytes of the word beginnings that are features.
 PREFIXES = (4, 6, 8)
 # Words of the model: at most so many, each so many standard errors apart between the two samples.
@@ -77,7 +75,7 @@ def _sets(texts: list[bytes]) -> list[np.ndarray]:
         for lo, hi in slices(sizes, BATCH_BYTES):
             raw = np.frombuffer(b"".join(texts[lo:hi]), np.uint8)
             hashes, first = word_sets(raw, np.concatenate(([0], np.cumsum(sizes[lo:hi]))))
-            out.extend(hashes[a:b][:MAX_WORDS] for a, b in zip(first[:-1], first[1:]))
+            out.extend(hashes[a:b] for a, b in zip(first[:-1], first[1:]))
     return out
 
 
@@ -214,22 +212,70 @@ def fit(docs: DataFrame, toxic: DataFrame, text: str = "text") -> Model:
         stored(ids.orderBy(order).limit(MAX_UNLABELLED)),
     ]
 
-    def sets(rows: DataFrame) -> list[np.ndarray]:
-        texts = docs.select(ROW, text_or_empty(text).cast("binary").alias("data"))
-        picked = texts.join(F.broadcast(rows), ROW, "left_semi")
-
-        def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Every fifth text of either sample is kept for the cut.
+    numbers = [sorted(r[ROW] for r in rows.collect()) for rows in chosen]
+    trained = [np.array([x for i, x in enumerate(own) if i % 5], np.int64) for own in numbers]
+    if not all(map(len, trained)):
+        return train([], [], prior)
+    kept_out = [own[::5] for own in numbers]
+    texts = docs.select(ROW, text_or_empty(text).cast("binary").alias("data"))
+    sets = [stored(_feature_sets(texts.join(F.broadcast(rows), ROW, "left_semi"))) for rows in chosen]
+    words = _candidates(sets, trained)
+
+    def reduced(rows: DataFrame) -> dict[int, np.ndarray]:
+        """The candidates among each text's features, by its number."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = [x.tobytes() for x in _sets(batch.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], [ROW, "words"])
+                found = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+                data = [x[np.isin(x, words, assume_unique=True)].tobytes() for x in found]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], [ROW, "words"])
 
-        found = picked.mapInArrow(extract, f"{ROW} long, words binary").toArrow().sort_by(ROW)
-        return [np.frombuffer(x, np.uint64) for x in found.column("words").to_pylist()]
+        found = rows.mapInArrow(run, f"{ROW} long, words binary").toArrow()
+        return {k: np.frombuffer(x, np.uint64) for k, x in zip(found.column(ROW).to_pylist(), found.column("words").to_pylist())}
 
-    positive, unlabelled = sets(chosen[0]), sets(chosen[1])
-    # Every fifth text of either sample is kept for the cut.
-    model = train(*([x for i, x in enumerate(part) if i % 5] for part in (positive, unlabelled)), prior)
-    return centred(model, positive[::5], unlabelled[::5], prior)
+    by_row = [reduced(rows) for rows in sets]
+    model = train(*([part[k] for k in own.tolist()] for part, own in zip(by_row, trained)), prior)
+    return centred(model, *([part[k] for k in own] for part, own in zip(by_row, kept_out)), prior)
+
+
+def _feature_sets(rows: DataFrame) -> DataFrame:
+    """(row, words): all distinct features of each text (row, data), packed."""
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x.tobytes() for x in _sets(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], [ROW, "words"])
+
+    return rows.mapInArrow(extract, f"{ROW} long, words binary")
+
+
+def _candidates(sets: list[DataFrame], trained: list[np.ndarray]) -> np.ndarray:
+    """Every feature that :func:`_telling_words` can choose from the trained texts; the counts are summed by Spark."""
+    sizes = [len(own) for own in trained]
+
+    def counts(rows: DataFrame, own: np.ndarray, place: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                inside = np.isin(batch.column(0).to_numpy(), own)
+                found = [np.frombuffer(x, np.uint64) for x, good in zip(batch.column(1).to_pylist(), inside) if good]
+                words, n = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+                for lo, hi in slices(np.ones(len(words), np.int64), 1 << 18):
+                    columns = [pa.array(words[lo:hi].view(np.int64)), *[pa.array(n[lo:hi] * (k == place)) for k in range(2)]]
+                    yield pa.RecordBatch.from_arrays(columns, ["word", "n_0", "n_1"])
+
+        return rows.mapInArrow(run, "word long, n_0 long, n_1 long")
+
+    each = [counts(rows, own, k) for k, (rows, own) in enumerate(zip(sets, trained))]
+    summed = each[0].unionByName(each[1]).groupBy("word").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1"))
+    shares = [(F.col(f"n_{k}") + 0.5) / (n + 1) for k, n in enumerate(sizes)]
+    pooled = (shares[0] * sizes[0] + shares[1] * sizes[1]) / sum(sizes)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / sizes[0] + 1 / sizes[1]))
+    distance = F.abs(shares[0] - shares[1]) / F.greatest(spread, F.lit(1e-12))
+    # Some room for rounding, and for ties at the end of the model's words.
+    telling = summed.where(F.col("n_0") + F.col("n_1") >= 2).select("word", distance.alias("distance"))
+    telling = telling.where(F.col("distance") > MIN_DISTANCE - 1e-6).orderBy(F.desc("distance"), "word").limit(2 * MAX_MODEL_WORDS)
+    return np.sort(telling.select("word").toArrow().column("word").to_numpy().view(np.uint64))
 
 
 def _batch_scores(model: Model, texts: pa.Array) -> np.ndarray:

@@ -88,3 +88,16 @@ def test_nothing_to_learn_from(spark):
     model = tx.fit(docs, tx.labelled_rows(docs, known))
     assert [r.predicted for r in tx.score(docs.select("doc_id", "text"), model).collect()] == [0, 0]
     assert tx.score(docs.select("doc_id", "text").limit(0), model).collect() == []
+
+
+def test_features_of_long_texts_are_all_learned(spark):
+    common = " ".join("%05dw" % i for i in range(6000))
+    marks = ["mark%dx" % i for i in range(20)]
+    docs = spark.createDataFrame([(i, common + " " + " ".join(marks) * (i % 4 == 0)) for i in range(100)], "doc_id long, text string")
+    docs = with_row(docs)
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)], "doc_id long, toxic int")
+    model = tx.fit(docs, tx.labelled_rows(docs, known))
+    # None of the marks may be missing, whatever its hash.
+    found = tx._sets([" ".join(marks).encode()])[0]
+    assert len(found) > 20 and np.isin(found, model.words).all()
+    assert len(tx._sets([common.encode()])[0]) > 6000
