@@ -12,6 +12,7 @@ within their length to the patterns.
 from __future__ import annotations
 
 import json
+import re
 import sys
 import unicodedata
 import zlib
@@ -81,9 +82,11 @@ class PieceTokenizer:
 
     Byte-level BPE never joins symbols across pre-tokens, so the ids of a text are those of its pre-tokens in
     turn. Pre-tokens are found for many texts at a time and told apart by a hash that is then checked by content.
+    With ``added_tokens`` the file's added tokens have ids of their own wherever they stand in a text; else they are
+    plain characters.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import tiktoken
 
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -91,7 +94,10 @@ class PieceTokenizer:
         byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(moved)}
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {token["content"] for token in model.get("added_tokens", [])}
+        special = {token["content"]: token["id"] for token in model.get("added_tokens", [])}
+        self.added = special if added_tokens else {}
+        # At one place the longest one counts.
+        self.marks = re.compile("|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         vocabulary = model["model"]["vocab"]
         ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in special}
         self.encode_piece = tiktoken.Encoding(
@@ -172,9 +178,18 @@ def _encoded(encoder: PieceTokenizer, texts: Iterator[str]) -> Iterator[tuple[by
     """The ids of the texts in parts, and whether a part ends its text."""
     group, size = [], 0
     for text in texts:
-        if group and size + len(text) > SEGMENT_CHARS:
+        marks = list(encoder.marks.finditer(text)) if encoder.added else []
+        if group and (marks or size + len(text) > SEGMENT_CHARS):
             yield from _whole(encoder, group)
             group, size = [], 0
+        begin = 0
+        for mark in marks:
+            # What stands before an added token is cut into pre-tokens like a text that ends there.
+            for part in _segments(text[begin : mark.start()]):
+                yield encoder.encode([part], last=False)[0].tobytes(), False
+            yield encoder.added[mark.group()].to_bytes(4, "little"), False
+            begin = mark.end()
+        text = text[begin:]
         if len(text) > SEGMENT_CHARS:
             *parts, end = _segments(text)
             for part in parts:
@@ -229,17 +244,22 @@ PIECES = pa.schema(
 
 
 def token_pieces(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, tokenizer: str | None = None
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    tokenizer: str | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Cut the tokens of every document, with the end id, into full windows and a remainder.
 
     The remainders of one document in ``FILLERS``, by a hash of the id, are cut into powers of two: small pieces that let
     the other windows be filled. ``tokenizer`` is the path of the vocabulary file; by default each
-    executor finds it in the installed package.
+    executor finds it in the installed package. ``added_tokens``: see :class:`PieceTokenizer`.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceTokenizer(tokenizer or tokenizer_path())
+        encoder = PieceTokenizer(tokenizer or tokenizer_path(), added_tokens)
         for batch in batches:
             rows = []
             keys = zip(*(batch.column(i).to_pylist() for i in range(3)))
@@ -322,7 +342,12 @@ def _places(spark: SparkSession, patterns: list[Pattern]) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, tokenizer: str | None = None
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    tokenizer: str | None = None,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -331,7 +356,7 @@ def pack(
     are dense: windows of remainders first, then windows filled by one piece.
     """
     spark = docs.sparkSession
-    pieces = token_pieces(docs, doc_id, text, capacity, tokenizer)
+    pieces = token_pieces(docs, doc_id, text, capacity, tokenizer, added_tokens)
     pieces = stored(pieces.withColumn("place", F.monotonically_increasing_id()))
     rests = pieces.where(F.col("length") < capacity)
     histogram = {length: n for length, n in rests.groupBy("length").count().collect()}

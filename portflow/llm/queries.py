@@ -31,7 +31,7 @@ def op2_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack(read_table(spark, folder, "documents"))
+    return pack(read_table(spark, folder, "documents"), added_tokens=True)
 
 
 def op4_language(spark: SparkSession, folder: str) -> DataFrame:

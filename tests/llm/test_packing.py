@@ -133,3 +133,30 @@ def test_fill_is_the_closest_possible():
             sums |= {s + x for s in sums}
         assert sum(a * b for a, b in used.items()) == max(s for s in sums if s <= capacity)
         assert all(copies <= histogram[x] for x, copies in used.items())
+
+
+def test_queries_give_added_tokens_their_id(spark, tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from portflow.llm.queries import op3_packing
+
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    plain = lambda text: [*model.encode(text or "", add_special_tokens=False).ids, 0]
+    mark = "<|endoftext|>"
+    rng = random.Random(3)
+    parts = [mark, " ", "  ", "a", "it's", "\n", "日", "<|", "|>", "x" * 30]
+    texts = ["a <|endoftext|> b", mark, mark * 2, None, "", *("".join(rng.choices(parts, k=rng.randint(0, 20))) for _ in range(300))]
+    texts.append(("word " * 400 + mark) * 6)
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert plain(texts[0]) == [64, 220, 50256, 275, 0]
+    check(rows, op3_packing(spark, str(tmp_path)).collect(), plain)
+    monkeypatch.setattr(packing, "SEGMENT_CHARS", 40)
+    encoder = packing.PieceTokenizer(packing.tokenizer_path(), added_tokens=True)
+    found, current = [], b""
+    for ids, ends in packing._encoded(encoder, (t or "" for t in texts)):
+        current += ids
+        if ends:
+            found.append(np.frombuffer(current, "<u4").tolist())
+            current = b""
+    assert found == [plain(t) for t in texts]
