@@ -33,13 +33,15 @@ EXACT = 2.0**52
 
 
 def scaled(vector: Column) -> Column:
-    """floor(1024 * x) of every component, x as a 64-bit float."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE))
+    """floor(1024 * x) of every component, x as a 64-bit float; fails where that is beyond 64-bit integers."""
+    beyond = F.raise_error(F.lit("a scaled component is beyond 64-bit integers")).cast("long")
+    whole = lambda x: F.when(F.abs(x) < 2.0**63, F.floor(x)).otherwise(beyond)
+    return F.transform(vector, lambda x: whole(x.cast("double") * SCALE))
 
 
 def usable(vector: Column) -> Column:
-    """Vectors that are neither null nor hold null, infinite or undefined components, nor ones beyond 64-bit integers."""
-    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0**31)
+    """Vectors that are neither null nor hold null, infinite or undefined components."""
+    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     return vector.isNotNull() & F.coalesce(F.forall(vector, lambda x: fine(x.cast("double"))), F.lit(False))
 
 
@@ -90,7 +92,7 @@ def best_of(
     """Query, candidate and score of everything that can be among the best ``k`` of its query.
 
     ``same`` names the candidate each query must not meet (-1: none); ``least`` is the score a query has ``k`` times already. Ties
-    with it are kept.
+    with it are kept. A score of a pair that is not ruled out fails if it is beyond 64-bit integers.
     """
     width = queries.shape[1]
     left, right = queries.astype(np.float64), candidates.astype(np.float64)
@@ -113,6 +115,14 @@ def best_of(
     exact = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(1, width) < EXACT
     live = np.flatnonzero(alive.any(axis=0))
     scores = (left @ right[live].T).astype(np.int64) if exact else queries @ candidates[live].T
+    if not exact:
+        # Integer products wrap around, so those within 64 bits are right; the others are told by their estimates.
+        size = norms[0][:, None] * norms[1][None, live]
+        near = alive[:, live] & (live[None, :] != same[:, None]) & (np.abs(left @ right[live].T) + 1e-9 * size >= 2.0**63)
+        for i, j in zip(*np.nonzero(near)):
+            value = sum(a * b for a, b in zip(queries[i].tolist(), candidates[live[j]].tolist()))
+            if not -(1 << 63) <= value < 1 << 63:
+                raise OverflowError(f"an inner product is beyond 64-bit integers: {value}")
     good = alive[:, live] & (scores >= least[:, None]) & (live[None, :] != same[:, None])
     return (*np.nonzero(good), scores, live)
 

@@ -62,3 +62,17 @@ def test_large_components_stay_exact(spark):
 def test_no_queries_or_rows(spark):
     assert ours(spark, []) == [] and ours(spark, [(1, [1.0]), (2, [2.0])]) == []
     assert ours(spark, [(3, [1.0])]) == []
+
+
+def test_huge_components_take_part(spark):
+    rows = [(i, [1.0 + i, 0.5]) for i in range(10)] + [(10, [3e9, 1.0]), (11, [-3e9, 0.25])]
+    assert ours(spark, rows) == brute(rows)
+    # The terms of a product may be beyond 64 bits where their sum is not.
+    rows = [(0, [3e9, 3e9, 1.0]), (1, [3e9, -3e9, 2.0]), (2, [1.0, 2.0, 3.0])]
+    assert ours(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("huge", [4e9, 1e30])
+def test_scores_beyond_64_bits_fail(spark, huge):
+    with pytest.raises(Exception, match="beyond 64-bit integers"):
+        ours(spark, [(0, [huge, 0.0]), (1, [huge, 1.0]), (2, [1.0, 1.0])])
