@@ -1,10 +1,10 @@
-"""Removing long passages that earlier documents hold, with a logarithmic family of suffix arrays.
+"""Removing long passages that earlier documents hold, with a logarithmic family of sorted fingerprints.
 
 A suffix matters here only by its first ``length`` bytes, its *window*. Windows are dealt to key ranges by the smallest
 hash of the 8-byte strings inside them, so equal windows always meet, and neighbouring windows
 mostly share that key: they travel as one string that covers them all. Within a key range, documents arrive in
-the order of their ids, in batches. Each batch gets a suffix array (its windows in sorted order), which is merge-scanned
-against the sorted arrays of the levels that exist already. Then it becomes a level itself, and while the last level
+the order of their ids, in batches. Each batch sorts its windows' fingerprints and finds them by binary search
+in the sorted arrays of the levels that exist already, in the task's memory. Then it becomes a level itself, and while the last level
 is no larger than the one after it, the two merge. So a window is merged a logarithmic number of times.
 
 Windows are sorted by a 64-bit fingerprint of their bytes instead of lexicographically; for matches of the whole window any
