@@ -12,7 +12,8 @@ order serves. Every match is checked byte by byte, and fingerprints that two dif
 
 A string that occurs again in the same map task's chunk, in a later document, is known to be covered without asking; only
 the occurrence in the smallest document is sent. So copies that hold a third of all rows shrink to one
-per chunk before the shuffle. A key range holds a bounded share of the text: their number follows the input's size.
+per chunk before the shuffle. The number of key ranges follows the input's size, but a key is never split: the range of a
+very frequent 8-byte string grows with the input.
 """
 
 from __future__ import annotations
