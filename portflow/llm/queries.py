@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from portflow.llm import fixity, language, toxicity
-from portflow.llm.common import ROW, id_hash_mod, read_table, stored, with_row
+from portflow.llm import fixity, language, periodic, secret_scan, toxicity
+from portflow.llm.common import ROW, id_hash_mod, read_table, stored, text_or_empty, with_row
+from portflow.llm.divergence import source_divergence
 from portflow.llm.exact_dedup import exact_duplicates
 from portflow.llm.line_dedup import without_boilerplate
 from portflow.llm.mixing import mix, taken_words
@@ -88,6 +89,56 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(read_table(spark, folder, "documents")).drop(ROW)
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(read_table(spark, folder, "documents"))
+
+
+def op12_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.secret_spans(read_table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.BASE_KINDS
+    ]
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+    digest = F.sha2(secret_scan.span_text(base).cast("binary"), 256)
+    return found.select(
+        "doc_id", *counts, digest.alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans")
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one document in ten, by the checksum of its id, repeats p of its words from word a on."""
+    # The checksum's modulus and shares, which state where words repeat.
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    split = docs.select("doc_id", text_or_empty().alias("text"), checksum.alias("h")).withColumn("words", words)
+    g = F.floor(F.col("h") / 10)
+    sized = split.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, g % F.col("n")))
+    tail = F.col("n") - F.col("a")
+    placed = sized.withColumn("p", 1 + F.floor(tail / (3 + g % 8)))
+    cycle = F.slice("words", F.col("a").cast("int") + 1, F.col("p").cast("int"))
+    repeated = F.slice(F.flatten(F.array_repeat(cycle, F.ceil(tail / F.col("p")).cast("int"))), F.lit(1), tail.cast("int"))
+    whole = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), repeated)
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(planted_periods(read_table(spark, folder, "documents")))
+    longest = found.withColumn("longest", periodic.longest_run())
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", *[r[name].cast("string") for name in ("start", "length", "period")]), F.lit("\n"))
+    )
+    exponent = F.floor(1000 * F.col("longest.length") / F.col("longest.period"))
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"longest.{name}").alias(name) for name in ("start", "length", "period")],
+        exponent.alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -99,6 +150,9 @@ QUERIES: dict[str, Query] = {
     "op8_warc_fixity": op8_warc_fixity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_secret_scans": op12_secret_scans,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -183,4 +237,44 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op11_source_divergence": r"""
+        WITH texts AS (
+          SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+          FROM documents),
+        terms AS (
+          SELECT r, lang, source,
+            translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+          FROM texts),
+        kept AS (SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+        sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        sources AS (SELECT DISTINCT lang, source FROM texts),
+        counted AS (SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+        filled AS (
+          SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n
+          FROM sources s JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)),
+        overall AS (SELECT lang, term, sum(n) AS n FROM filled GROUP BY lang, term),
+        shares AS (
+          SELECT lang, source, term, n,
+            (1 + (1000000000::HUGEINT * (n + 5)) // ((sum(n) OVER (PARTITION BY lang, source)) + 5 * v)::HUGEINT)::BIGINT AS p
+          FROM filled JOIN sizes USING (lang)),
+        whole AS (
+          SELECT lang, term,
+            (1 + (1000000000::HUGEINT * (n + 5)) // ((sum(n) OVER (PARTITION BY lang)) + 5 * v)::HUGEINT)::BIGINT AS q
+          FROM overall JOIN sizes USING (lang)),
+        apart AS (
+          SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM shares a JOIN shares b USING (lang, term) GROUP BY a.lang, a.source, b.source),
+        pairs AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+          FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+        rises AS (
+          SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+          FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY lang, source, part
+            ORDER BY value DESC, item COLLATE "C")::INT AS rank
+          FROM (SELECT * FROM pairs UNION ALL SELECT * FROM rises))
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
