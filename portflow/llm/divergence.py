@@ -7,23 +7,20 @@ often it occurs, and its terms are joined back to its counts: occurrences per so
 Occurrences of a term add up over its chunks. Documents do not, as one may hold several chunks of a term; but they only matter up
 to the threshold of kept terms. So a chunk in fewer documents than that keeps their numbers, and a term's documents are counted
 exactly where neither the sum over its chunks nor its most frequent chunk decides. Smoothed shares of kept terms are then
-compared in integers: each task sums up the differences between all sources over its terms.
+compared in integers: each task sums up the differences between all sources over its terms and keeps its largest rises.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portflow.llm.common import binary_parts, flat_ranges, stored
+from portflow.llm.common import LOWER, binary_parts, flat_ranges, stored
 
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -31,97 +28,185 @@ TOP_TERMS = 50
 SMOOTHING = 5
 SCALE = 1_000_000_000
 
-# Terms in UTF-8: ASCII letters and all characters beyond ASCII.
-TERM = re.compile(rb"[A-Za-z\x80-\xFF]+")
+# Bytes of terms, ASCII letters and all of characters beyond ASCII, and of chunks, all but white space.
+TERM_BYTE = np.zeros(256, bool)
+TERM_BYTE[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+CHUNK_BYTE = np.ones(256, bool)
+CHUNK_BYTE[[32, *range(9, 14)]] = False
 
-# Different (document, chunk) pairs a task combines at once; the sources one row block compares with all others.
-PAIRS = 1 << 21
-ROWS = 20_000
+# Text a task combines at once, unless one document is longer; sources that one row block compares with all others; cells
+# of the matrices of differences a task holds.
+BATCH_BYTES = 32 << 20
 SIDE = 512
+CELLS = 1 << 22
 
 GROUP = ["lang", "source"]
 
 
-def _encoded(
-    chunk_of: np.ndarray, times: np.ndarray, doc_of: np.ndarray, langs: np.ndarray, groups: np.ndarray, min_docs: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Combine (document, chunk) pairs. Returns the chunks, one payload per chunk and where each ends.
+def byte_runs(raw: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The longest runs of bytes that ``table`` marks, in every one of the concatenated texts, and how many each text has."""
+    n = len(raw)
+    inside = table[raw]
+    before = np.zeros(n + 1, bool)
+    before[1:] = inside
+    before[bounds[:-1]] = False
+    starts = np.flatnonzero(inside & ~before[:n])
+    place = np.cumsum(inside)
+    data = raw[inside]
+    offsets = np.append(place[starts] - 1, len(data)).astype(np.int32)
+    runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return runs, np.diff(np.searchsorted(starts, bounds))
 
-    A payload holds, per group of the chunk: language, group, occurrences, documents, and the documents' numbers if
-    they are fewer than ``min_docs``.
+
+def _places(sizes: np.ndarray) -> np.ndarray:
+    """Where each of consecutive pieces starts."""
+    return np.cumsum(sizes) - sizes
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Indexes at which any of the columns changes."""
+    changed = np.zeros(max(len(columns[0]) - 1, 0), bool)
+    for column in columns:
+        changed |= column[1:] != column[:-1]
+    return np.flatnonzero(np.append(True, changed)) if len(columns[0]) else np.zeros(0, np.int64)
+
+
+def _lengths(starts: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(np.append(starts, total))
+
+
+def _combined(raw: np.ndarray, bounds: np.ndarray, langs: np.ndarray, places: np.ndarray, min_docs: int) -> tuple[pa.Array, pa.Array]:
+    """The different chunks of some documents, and a payload of integers for each.
+
+    A payload holds the number of its groups, for each of them language, place, occurrences and documents, and then, group
+    after group, the numbers of the documents of every group with fewer than ``min_docs``.
     """
-    order = np.lexsort((doc_of, groups[doc_of], chunk_of))
-    chunk_of, times, doc_of = chunk_of[order], times[order], doc_of[order]
-    group_of = groups[doc_of]
-    new = np.append(True, (chunk_of[1:] != chunk_of[:-1]) | (group_of[1:] != group_of[:-1]))
-    first = np.flatnonzero(new)
-    n_docs = np.diff(np.append(first, len(new)))
+    chunks, per_doc = byte_runs(raw, bounds, CHUNK_BYTE)
+    coded = chunks.dictionary_encode()
+    by_group = np.lexsort((places, langs))
+    rank = np.empty(len(by_group), np.int64)
+    rank[by_group] = np.arange(len(by_group))
+    key = coded.indices.to_numpy().astype(np.int64) * len(rank) + np.repeat(rank, per_doc)
+    key.sort()
+    first = _starts(key)
+    times = _lengths(first, len(key))
+    chunk, doc = np.divmod(key[first], max(len(rank), 1))
+    doc = by_group[doc]
+    lang, place = langs[doc], places[doc]
+
+    segment = _starts(chunk, lang, place)
+    n_docs = _lengths(segment, len(chunk))
     listed = np.where(n_docs < min_docs, n_docs, 0)
-    starts = np.cumsum(listed + 4) - listed - 4
-    payload = np.empty(int(listed.sum() + 4 * len(first)), np.int32)
-    payload[starts] = langs[doc_of[first]]
-    payload[starts + 1] = group_of[first]
-    payload[starts + 2] = np.add.reduceat(times, first)
-    payload[starts + 3] = n_docs
-    payload[flat_ranges(starts + 4, listed)] = doc_of[flat_ranges(first, listed)]
-    chunks = chunk_of[first]
-    last = np.append(chunks[1:] != chunks[:-1], True)
-    return chunks[last], payload, (starts + 4 + listed)[last]
+    of_chunk = _starts(chunk[segment])
+    groups = _lengths(of_chunk, len(segment))
+    sizes = 1 + 4 * groups + (np.add.reduceat(listed, of_chunk) if len(of_chunk) else groups)
+    starts = _places(sizes)
+    payload = np.empty(int(sizes.sum()), np.int32)
+    payload[starts] = groups
+    heads = np.repeat(starts + 1, groups) + 4 * flat_ranges(np.zeros(len(groups), np.int64), groups)
+    payload[heads] = lang[segment]
+    payload[heads + 1] = place[segment]
+    payload[heads + 2] = np.add.reduceat(times, segment) if len(segment) else 0
+    payload[heads + 3] = n_docs
+    so_far = _places(listed)
+    payload[flat_ranges(np.repeat(starts + 1 + 4 * groups - so_far[of_chunk], groups) + so_far, listed)] = doc[flat_ranges(segment, listed)]
+    ends = np.append(0, np.cumsum(sizes * 4)).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(payload)])
+    return coded.dictionary, packed
 
 
 def _chunk_rows(rows: DataFrame, min_docs: int) -> DataFrame:
     """(chunk, base, payload): per task, how often a chunk occurs where; ``base`` plus a listed number is a document."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, seen = TaskContext.get().partitionId() << 40, 0
-        number = defaultdict(count().__next__)
-        chunk_of, times, per_doc, langs, groups = [], [], [], [], []
-
-        def combined() -> Iterator[pa.RecordBatch]:
-            doc_of = np.repeat(np.arange(len(per_doc), dtype=np.int32), per_doc)
-            if not len(doc_of):
-                return
-            found, payload, ends = _encoded(
-                np.array(chunk_of, np.int32), np.array(times, np.int64), doc_of, np.array(langs, np.int32),
-                np.array(groups, np.int32), min_docs,
-            )
-            names = np.array(list(number), object)
-            # In the order of their bytes, neighbouring chunks look alike and are stored in less room.
-            order = np.argsort(names[found])
-            starts = np.append(0, ends[:-1])
-            for at in range(0, len(order), ROWS):
-                part = order[at : at + ROWS]
-                sizes = (ends - starts)[part]
-                data = payload[flat_ranges(starts[part], sizes)]
-                bounds = np.append(0, np.cumsum(sizes * 4)).astype(np.int32)
-                binary = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-                texts = pa.array(names[found[part]].tolist(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [texts, pa.array(np.full(len(part), base + seen), pa.int64()), binary], ["chunk", "base", "payload"]
-                )
+        base = TaskContext.get().partitionId() << 40
+        texts, sizes, langs, places = [], [], [], []
+
+        def flushed() -> pa.RecordBatch:
+            bounds = np.append(0, np.cumsum(np.concatenate(sizes)))
+            chunks, payload = _combined(np.concatenate(texts), bounds, np.concatenate(langs), np.concatenate(places), min_docs)
+            bases = pa.array(np.full(len(chunks), base), pa.int64())
+            return pa.RecordBatch.from_arrays([chunks, bases, payload], ["chunk", "base", "payload"])
 
         for batch in batches:
             raw, bounds = binary_parts(batch["text"])
-            data = raw.tobytes()
-            places = bounds.tolist()
-            for i, (lang, group) in enumerate(zip(batch["lang_no"].to_pylist(), batch["group_no"].to_pylist())):
-                counted = Counter(data[places[i] : places[i + 1]].split())
-                chunk_of.extend(map(number.__getitem__, counted))
-                times.extend(counted.values())
-                per_doc.append(len(counted))
-                langs.append(lang)
-                groups.append(group)
-                if len(chunk_of) >= PAIRS:
-                    yield from combined()
-                    seen += len(per_doc)
-                    number = defaultdict(count().__next__)
-                    chunk_of, times, per_doc, langs, groups = [], [], [], [], []
-        yield from combined()
+            texts.append(raw)
+            sizes.append(np.diff(bounds))
+            langs.append(batch["lang_no"].to_numpy())
+            places.append(batch["place"].to_numpy())
+            if sum(map(len, texts)) >= BATCH_BYTES:
+                yield flushed()
+                base += sum(map(len, sizes))
+                texts, sizes, langs, places = [], [], [], []
+        if texts:
+            yield flushed()
 
     return rows.mapInArrow(scan, "chunk binary, base long, payload binary")
 
 
-_COUNTED = pa.struct([("group_no", pa.int32()), ("occurrences", pa.int64())])
+def _terms_of(chunk: pa.Array, bases: np.ndarray, payload: pa.Array, min_docs: int) -> pa.RecordBatch:
+    """Cut each different chunk into terms, and give each the sums over the chunk's rows, per language."""
+    coded = chunk.dictionary_encode()
+    raw, bounds = binary_parts(payload)
+    values = np.frombuffer(raw.tobytes(), np.int32)
+    starts = bounds[:-1] // 4
+    groups = values[starts].astype(np.int64)
+    heads = np.repeat(starts + 1, groups) + 4 * flat_ranges(np.zeros(len(groups), np.int64), groups)
+    row = np.repeat(np.arange(len(groups)), groups)
+    code = coded.indices.to_numpy().astype(np.int64)[row]
+    lang, place, times, n_docs = (values[heads + i].astype(np.int64) for i in range(4))
+    listed = np.where(n_docs < min_docs, n_docs, 0)
+    so_far = _places(listed)
+    first_of_row = _starts(row)
+    at = np.repeat(starts + 1 + 4 * groups - so_far[first_of_row], groups) + so_far
+
+    order = np.lexsort((place, lang, code))
+    code, lang, place, times, n_docs, listed, at, row = (x[order] for x in (code, lang, place, times, n_docs, listed, at, row))
+    cell = _starts(code, lang, place)
+    cell_times, cell_place = np.add.reduceat(times, cell), place[cell]
+    group = _starts(code, lang)
+    group_docs, group_lang = np.add.reduceat(n_docs, group), lang[group]
+    in_group = _lengths(group, len(code))
+    # Beyond the threshold the documents' numbers are of no use.
+    listed = np.where(np.repeat(group_docs < min_docs, in_group), listed, 0)
+    docs = values[flat_ranges(at, listed)] + np.repeat(bases[row], listed)
+    docs_in, cells_in = np.add.reduceat(listed, group), _lengths(np.searchsorted(cell, group), len(cell))
+    docs_at, cells_at = _places(docs_in), _places(cells_in)
+    of_chunk = _starts(code[group])
+    langs_in = _lengths(of_chunk, len(group))
+
+    raw, bounds = binary_parts(coded.dictionary)
+    terms, per_chunk = byte_runs(LOWER[raw], bounds, TERM_BYTE)
+    named = terms.dictionary_encode()
+    key = np.repeat(np.arange(len(per_chunk)), per_chunk) * max(len(named.dictionary), 1) + named.indices.to_numpy()
+    key.sort()
+    once = _starts(key)
+    owner, name = np.divmod(key[once], max(len(named.dictionary), 1))
+
+    copies = langs_in[owner]
+    term = np.repeat(np.arange(len(owner)), copies)
+    found = flat_ranges(of_chunk[owner], copies)
+    n_listed, n_cells = docs_in[found], cells_in[found]
+    cells = flat_ranges(cells_at[found], n_cells)
+    counts = pa.StructArray.from_arrays(
+        [
+            pa.array(cell_place[cells], pa.int32()),
+            pa.array(cell_times[cells] * np.repeat(_lengths(once, len(key))[term], n_cells), pa.int64()),
+        ],
+        ["place", "occurrences"],
+    )
+    columns = [
+        pa.array(group_lang[found], pa.int32()),
+        named.dictionary.take(pa.array(name[term])),
+        pa.array(group_docs[found], pa.int64()),
+        _listed(pa.array(docs[flat_ranges(docs_at[found], n_listed)], pa.int64()), n_listed),
+        _listed(counts, n_cells),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["lang_no", "term", "n_docs", "docs", "counts"])
+
+
+def _listed(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), values)
 
 
 def _chunk_terms(chunks: DataFrame, min_docs: int) -> DataFrame:
@@ -129,51 +214,31 @@ def _chunk_terms(chunks: DataFrame, min_docs: int) -> DataFrame:
 
     Every chunk's rows are next to each other in one task, and the chunk is cut into terms once.
     """
-    schema = (
-        "lang_no int, term binary, n_docs long, docs array<long>, counts array<struct<group_no: int, occurrences: bigint>>"
-    )
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, bytes]]:
-        for batch in batches:
-            yield from zip(*(batch[name].to_pylist() for name in ("chunk", "base", "payload")))
+    schema = "lang_no int, term binary, n_docs long, docs array<long>, counts array<struct<place: int, occurrences: bigint>>"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: tuple[list, ...] = ([], [], [], [], [])
+        held: list[pa.RecordBatch] = []
 
-        def flushed() -> pa.RecordBatch:
-            types = [pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(_COUNTED)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values, kind) for values, kind in zip(out, types)], ["lang_no", "term", "n_docs", "docs", "counts"]
-            )
+        def flushed(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(rows).combine_chunks()
+            if table.num_rows:
+                (batch,) = table.to_batches()
+                yield _terms_of(batch["chunk"], batch["base"].to_numpy(), batch["payload"], min_docs)
 
-        for chunk, rows in groupby(entries(batches), key=lambda row: row[0]):
-            terms = Counter(TERM.findall(chunk.lower()))
-            if not terms:
+        for batch in batches:
+            if not len(batch):
                 continue
-            n_docs, docs, occurrences = Counter(), defaultdict(list), defaultdict(Counter)
-            for _, base, payload in rows:
-                values = np.frombuffer(payload, np.int32).tolist()
-                at = 0
-                while at < len(values):
-                    lang, group, times, many = values[at : at + 4]
-                    at += 4
-                    occurrences[lang][group] += times
-                    n_docs[lang] += many
-                    if n_docs[lang] < min_docs:
-                        docs[lang].extend([base + doc for doc in values[at : at + many]])
-                    if many < min_docs:
-                        at += many
-            for lang, many in n_docs.items():
-                for term, times in terms.items():
-                    out[0].append(lang)
-                    out[1].append(term)
-                    out[2].append(many)
-                    out[3].append(docs[lang] if many < min_docs else None)
-                    out[4].append([{"group_no": g, "occurrences": n * times} for g, n in occurrences[lang].items()])
-            if len(out[0]) >= ROWS:
-                yield flushed()
-                out = ([], [], [], [], [])
-        yield flushed()
+            # A batch may end within the rows of a chunk: its last chunk waits for the next one.
+            last = batch["chunk"][len(batch) - 1].as_py()
+            codes = batch["chunk"].dictionary_encode().indices.to_numpy()
+            cut = int(np.searchsorted(codes, codes[-1]))
+            if held and held[0]["chunk"][0].as_py() == last and not cut:
+                held.append(batch)
+                continue
+            yield from flushed([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        if held:
+            yield from flushed(held)
 
     met = chunks.repartition("chunk").sortWithinPartitions("chunk")
     return met.mapInArrow(scan, schema)
@@ -191,102 +256,133 @@ def _kept_terms(found: DataFrame, min_docs: int) -> DataFrame:
     return bounds.where(F.col("most") >= min_docs).select(*key).unionByName(exact.select(*key))
 
 
-def _share(occurrences: Column, total: Column, n_terms: Column) -> Column:
-    """1 + floor(SCALE * (occurrences + SMOOTHING) / (total + SMOOTHING * n_terms)), exact beyond 64 bits."""
-    wide = "decimal(20,0)"
-    above = (occurrences + SMOOTHING).cast(wide) * F.lit(SCALE).cast("decimal(10,0)")
-    below = (total + SMOOTHING * n_terms).cast(wide)
-    return F.call_function("div", above, below) + 1
-
-
 def term_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = MIN_DOCS
 ) -> tuple[DataFrame, DataFrame]:
-    """Two stored tables: groups (lang, source, lang_no, group_no, place) and counts (lang_no, group_no, term, occurrences).
+    """Two stored tables: groups (lang, source, lang_no, place) and counts (lang_no, term, counts).
 
-    Groups are all pairs that occur, even without a term; ``place`` is the source's among those of its language. Counts
-    are above zero and of kept terms only. The window numbers distinct pairs, not documents; the audit compares
-    every two of a language, so its result outgrows their number by far.
+    Groups are all pairs that occur, even without a term; ``place`` is the source's among those of its language, from 1. There is
+    one row per kept term of a language, with its occurrences by place where there are any. The window numbers
+    distinct pairs, not documents; the audit compares every two of a language, so its result outgrows their number by far.
     """
     rows = docs.select(
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.coalesce(F.col(source), F.lit("")).alias("source"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
     )
-    by_name = Window.orderBy(*GROUP)
     groups = stored(
         rows.select(*GROUP).distinct().select(
             *GROUP,
             F.dense_rank().over(Window.orderBy("lang")).alias("lang_no"),
-            F.row_number().over(by_name).alias("group_no"),
             F.row_number().over(Window.partitionBy("lang").orderBy("source")).alias("place"),
         )
     )
-    numbered = rows.join(groups, GROUP).select("lang_no", "group_no", "text")
+    numbered = rows.join(groups, GROUP).select("lang_no", "place", "text")
     found = stored(_chunk_terms(_chunk_rows(numbered, min_docs), min_docs))
     kept = stored(_kept_terms(found, min_docs))
-    counts = (
+    sums = (
         found.join(kept, ["lang_no", "term"], "left_semi")
         .select("lang_no", "term", F.inline("counts"))
-        .groupBy("lang_no", "group_no", "term")
+        .groupBy("lang_no", "term", "place")
         .agg(F.sum("occurrences").alias("occurrences"))
     )
-    return groups, stored(counts.withColumn("term", F.col("term").cast("string")))
+    lists = sums.groupBy("lang_no", "term").agg(F.collect_list(F.struct("place", "occurrences")).alias("counts"))
+    return groups, stored(lists.withColumn("term", F.col("term").cast("string")))
 
 
-def _differences(shares: DataFrame, empty: DataFrame) -> DataFrame:
-    """(lang_no, place, other, value): sums over all kept terms of the differences between two sources' shares.
+def shares(occurrences: np.ndarray, totals: np.ndarray, n_terms: int) -> np.ndarray:
+    """1 + floor(SCALE * (occurrences + SMOOTHING) / (total + SMOOTHING * n_terms)), exact for totals below 2 ** 53."""
+    below = totals + SMOOTHING * n_terms
+    rest = occurrences + SMOOTHING
+    result = np.zeros(np.broadcast_shapes(rest.shape, below.shape), np.int64)
+    # A share is below one, so the scale's decimal places come one after another, as in long division.
+    for _ in range(len(str(SCALE)) - 1):
+        digit, rest = np.divmod(rest * 10, below)
+        result = result * 10 + digit
+    return result + 1
 
-    ``shares`` holds (lang_no, term, place, share) of terms that occur, ``empty`` per language the share of a term
-    that does not, by place. A task adds up whole rows of the matrix of sources, for ``SIDE`` sources at a time.
+
+def _compared(counts: DataFrame, totals: DataFrame, top_terms: int) -> DataFrame:
+    """Per task: rows (lang_no, place, sums) of the matrix of differences over its terms, and its largest rises (place, term, value).
+
+    ``totals`` holds, per language, the occurrences of all kept terms by place, and the number of kept terms. A task adds up the
+    matrix for ``SIDE`` sources at a time.
     """
-    lists = shares.groupBy("lang_no", "term").agg(F.collect_list(F.struct("place", "share")).alias("known"))
-    blocks = F.sequence(F.lit(0), F.floor((F.size("empty") - 1) / SIDE).cast("int"))
-    rows = lists.join(empty, "lang_no").select(
-        "lang_no", F.explode(blocks).alias("block"), F.col("known.place").alias("places"), F.col("known.share").alias("known"), "empty"
+    blocks = F.sequence(F.lit(0), F.floor((F.size("totals") - 1) / SIDE).cast("int"))
+    rows = counts.join(totals, "lang_no").select(
+        "lang_no", F.explode(blocks).alias("block"), "term", F.col("counts.place").alias("places"),
+        F.col("counts.occurrences").alias("known"), "totals", "n_terms",
     )
+    schema = "lang_no int, place int, sums array<long>, term string, value long"
+    names = ["lang_no", "place", "sums", "term", "value"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], np.ndarray] = {}
+        matrices: dict[tuple[int, int], np.ndarray] = {}
+        rises: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
 
-        def rows_of(key: tuple[int, int]) -> pa.RecordBatch:
-            lang, block = key
-            matrix = sums.pop(key)
-            places = np.arange(len(matrix), dtype=np.int32) + block * SIDE + 1
+        def sums_of(key: tuple[int, int]) -> pa.RecordBatch:
+            matrix = matrices.pop(key)
+            n = len(matrix)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(matrix), lang, np.int32)), pa.array(places), pa.array(matrix.tolist(), pa.list_(pa.int64()))],
-                ["lang_no", "place", "sums"],
+                [
+                    pa.array(np.full(n, key[0], np.int32)),
+                    pa.array(np.arange(n, dtype=np.int32) + key[1] * SIDE + 1),
+                    pa.array(matrix.tolist(), pa.list_(pa.int64())),
+                    pa.nulls(n, pa.string()),
+                    pa.nulls(n, pa.int64()),
+                ],
+                names,
             )
 
+        def add(key: tuple[int, int], piece: pa.RecordBatch, totals: np.ndarray, n_terms: int) -> None:
+            own = slice(key[1] * SIDE, (key[1] + 1) * SIDE)
+            places, known = piece["places"], piece["known"]
+            counted = np.zeros((len(piece), len(totals)), np.int64)
+            of_row = np.repeat(np.arange(len(piece)), places.value_lengths().to_numpy())
+            counted[of_row, places.flatten().to_numpy() - 1] = known.flatten().to_numpy()
+            p = shares(counted, totals, n_terms)
+            q = shares(counted.sum(1), totals.sum(), n_terms)
+            matrix = matrices[key]
+            for i, column in enumerate(p[:, own].T):
+                matrix[i] += np.abs(p - column[:, None]).sum(0)
+            for i in range(own.start, min(own.stop, len(totals))):
+                rise = np.where(counted[:, i] > 0, p[:, i] - q, 0)
+                chosen = np.flatnonzero(rise > 0)
+                if len(chosen) > top_terms:
+                    # All that tie with the last one stay, until names decide.
+                    chosen = chosen[rise[chosen] >= np.partition(rise[chosen], -top_terms)[-top_terms]]
+                found = zip((-rise[chosen]).tolist(), (x.encode() for x in piece["term"].take(pa.array(chosen)).to_pylist()))
+                best = rises.setdefault((key[0], i + 1), [])
+                rises[key[0], i + 1] = sorted([*best, *found])[:top_terms]
+
         for batch in batches:
             langs, parts = batch["lang_no"].to_numpy(), batch["block"].to_numpy()
-            changes = np.flatnonzero(np.append(True, (langs[1:] != langs[:-1]) | (parts[1:] != parts[:-1])))
-            for start, stop in zip(changes.tolist(), [*changes[1:].tolist(), len(langs)]):
+            edges = [*_starts(langs, parts).tolist(), len(langs)]
+            for start, stop in zip(edges, edges[1:]):
                 key = (int(langs[start]), int(parts[start]))
-                base = np.array(batch["empty"][start].as_py(), np.int64)
-                if key not in sums and sums and sum(m.size for m in sums.values()) + SIDE * len(base) > 1 << 22:
-                    for other in list(sums):
-                        yield rows_of(other)
-                own = slice(key[1] * SIDE, (key[1] + 1) * SIDE)
-                matrix = sums.setdefault(key, np.zeros((len(base[own]), len(base)), np.int64))
-                step = max((1 << 20) // len(base), 1)
+                totals = np.array(batch["totals"][start].as_py(), np.int64)
+                width = min(SIDE, len(totals) - key[1] * SIDE)
+                if key not in matrices and sum(m.size for m in matrices.values()) + width * len(totals) > CELLS:
+                    for other in list(matrices):
+                        yield sums_of(other)
+                matrices.setdefault(key, np.zeros((width, len(totals)), np.int64))
+                step = max((1 << 20) // len(totals), 1)
                 for at in range(start, stop, step):
-                    piece = batch.slice(at, min(step, stop - at))
-                    places, known = piece["places"], piece["known"]
-                    dense = np.tile(base, (len(piece), 1))
-                    lengths = places.value_lengths().to_numpy()
-                    dense[np.repeat(np.arange(len(piece)), lengths), places.flatten().to_numpy() - 1] = known.flatten().to_numpy()
-                    for i, column in enumerate(dense[:, own].T):
-                        matrix[i] += np.abs(dense - column[:, None]).sum(0)
-        for key in list(sums):
-            yield rows_of(key)
-
-    summed = rows.mapInArrow(scan, "lang_no int, place int, sums array<long>")
-    return (
-        summed.select("lang_no", "place", F.posexplode("sums").alias("other", "value"))
-        .groupBy("lang_no", "place", (F.col("other") + 1).alias("other"))
-        .agg(F.sum("value").alias("value"))
-    )
+                    add(key, batch.slice(at, min(step, stop - at)), totals, batch["n_terms"][start].as_py())
+        for key in list(matrices):
+            yield sums_of(key)
+        listed = [(lang, place, term.decode(), -value) for (lang, place), best in rises.items() for value, term in best]
+        if listed:
+            lang, place, term, value = zip(*listed)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(lang, pa.int32()), pa.array(place, pa.int32()), pa.nulls(len(listed), pa.list_(pa.int64())),
+                    pa.array(term, pa.string()), pa.array(value, pa.int64()),
+                ],
+                names,
+            )
+
+    return stored(rows.mapInArrow(scan, schema))
 
 
 def source_divergence(
@@ -307,40 +403,36 @@ def source_divergence(
     Null text, language and source count as ''. Repeated rows and ids count as often as they stand. Without kept terms all pairs
     have the value 0; a single source has none. An empty table gives no rows. Other columns have no influence.
     """
-    if min_docs < 1:
-        raise ValueError("min_docs is 1 at least")
+    if min_docs < 1 or top_terms < 1:
+        raise ValueError("min_docs and top_terms are 1 at least")
     groups, counts = term_counts(docs, text, lang, source, min_docs)
-    by_lang = counts.groupBy("lang_no", "term").agg(F.sum("occurrences").alias("in_lang"))
-    sizes = stored(
-        by_lang.groupBy("lang_no").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("in_lang").alias("lang_total"))
-    )
-    totals = counts.groupBy("group_no").agg(F.sum("occurrences").alias("total"))
-    known = stored(
-        groups.join(sizes, "lang_no", "left").join(totals, "group_no", "left").na.fill(0, ["n_terms", "lang_total", "total"])
-    )
-    share = _share(F.col("occurrences"), F.col("total"), F.col("n_terms"))
-    shares = stored(counts.join(known, ["lang_no", "group_no"]).withColumn("share", share))
-
+    by_place = counts.select("lang_no", F.inline("counts")).groupBy("lang_no", "place").agg(F.sum("occurrences").alias("total"))
+    n_terms = counts.groupBy("lang_no").agg(F.count(F.lit(1)).alias("n_terms"))
+    known = groups.join(n_terms, "lang_no", "left").join(by_place, ["lang_no", "place"], "left").na.fill(0, ["n_terms", "total"])
+    known = stored(known)
+    ordered = F.sort_array(F.collect_list(F.struct("place", "total")))["total"]
     filled = known.where(F.col("n_terms") > 0)
-    zero = F.struct("place", _share(F.lit(0).cast("long"), F.col("total"), F.col("n_terms")).alias("share"))
-    empty = filled.groupBy("lang_no").agg(F.sort_array(F.collect_list(zero))["share"].alias("empty"))
+    totals = filled.groupBy("lang_no").agg(ordered.alias("totals"), F.max("n_terms").alias("n_terms"))
+    compared = _compared(counts, totals, top_terms)
+
     named = known.select("lang_no", "place", *GROUP)
     others = known.select("lang_no", F.col("place").alias("other"), F.col("source").alias("item"))
-    apart = _differences(shares.select("lang_no", "term", "place", "share"), empty)
+    apart = (
+        compared.where(F.col("term").isNull())
+        .select("lang_no", "place", F.posexplode("sums").alias("other", "value"))
+        .groupBy("lang_no", "place", (F.col("other") + 1).alias("other"))
+        .agg(F.sum("value").alias("value"))
+    )
     bare = known.where(F.col("n_terms") == 0).select("lang_no", "place")
     alike = bare.join(others.select("lang_no", "other"), "lang_no").withColumn("value", F.lit(0).cast("long"))
     pairs = apart.unionByName(alike).where(F.col("place") != F.col("other")).join(others, ["lang_no", "other"])
-    pairs = pairs.join(named, ["lang_no", "place"]).select(*GROUP, "item", "value")
-
-    overall = _share(F.col("in_lang"), F.col("lang_total"), F.col("n_terms"))
-    rises = (
-        shares.join(by_lang, ["lang_no", "term"])
-        .withColumn("value", F.col("share") - overall)
-        .where(F.col("value") > 0)
-        .select(*GROUP, F.col("term").alias("item"), "value")
+    ranked = F.row_number().over(Window.partitionBy("part", *GROUP).orderBy(F.desc("value"), "item")).alias("rank")
+    rises = compared.where(F.col("term").isNotNull()).withColumnRenamed("term", "item")
+    columns = ["lang_no", "place", "part", "item", "value"]
+    both = (
+        pairs.withColumn("part", F.lit("pair")).select(*columns)
+        .unionByName(rises.withColumn("part", F.lit("term")).select(*columns))
+        .join(named, ["lang_no", "place"])
+        .select(*GROUP, "part", "item", "value", ranked)
     )
-    ranked = F.row_number().over(Window.partitionBy(*GROUP).orderBy(F.desc("value"), "item")).alias("rank")
-    columns = [*GROUP, "part", "item", "value", "rank"]
-    pair_rows = pairs.select(*GROUP, F.lit("pair").alias("part"), "item", "value", ranked)
-    term_rows = rises.select(*GROUP, F.lit("term").alias("part"), "item", "value", ranked).where(F.col("rank") <= top_terms)
-    return pair_rows.select(*columns).unionByName(term_rows.select(*columns))
+    return both.where((F.col("part") == "pair") | (F.col("rank") <= top_terms))

@@ -277,4 +277,64 @@ ORACLES: dict[str, str] = {
             ORDER BY value DESC, item COLLATE "C")::INT AS rank
           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM rises))
         SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op12_secret_scans": r"""
+        WITH patterns(kind, place, pattern) AS (VALUES
+          ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+          ('access', 1, 'AKIA[A-Z0-9]+'),
+          ('hex', 2, '[0-9a-f]+'),
+          ('entropy_hex', 3, '[0-9A-Fa-f]{24,}'),
+          ('entropy_upper', 4, '[0-9A-Z]{24,}'),
+          ('entropy_base64', 5, '[0-9A-Za-z+/_-]{24,}'),
+          ('allowed', 6, '[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}'),
+          ('allowed', 7, 'https?://[0-9A-Za-z.:/_~%+@-]+'),
+          ('allowed', 8, '(sha1|sha256|sha384|sha512|md5)[:-][0-9A-Za-z+/=]+'),
+          ('allowed', 9, 'data:image/[a-z.+-]+;base64,[0-9A-Za-z+/=]+'),
+          ('allowed', 10, '[0-9A-Za-z+/_-]*(EXAMPLE|example|PLACEHOLDER|placeholder)[0-9A-Za-z+/_-]*')),
+        docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+        split AS (
+          SELECT r, kind, place, regexp_extract_all(t, pattern) AS hits, string_split_regex(t, pattern) AS gaps
+          FROM docs, patterns),
+        listed AS (
+          SELECT r, kind, place, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, unnest(range(len(hits))) AS i FROM split),
+        placed AS (
+          SELECT r, kind, place, hit, (sum(length(gap) + length(hit)) OVER so_far)::BIGINT AS stop
+          FROM listed WINDOW so_far AS (PARTITION BY r, place ORDER BY i ROWS UNBOUNDED PRECEDING)),
+        base AS (
+          SELECT r, kind, place, stop - length(hit) AS start, stop FROM placed
+          WHERE kind = 'assign' AND length(regexp_extract(hit, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6
+            OR kind = 'access' AND length(hit) >= 20 OR kind = 'hex' AND length(hit) >= 24),
+        windows AS (
+          SELECT r, kind, place, stop - length(hit) AS start, hit, unnest(range(length(hit) - 23)) AS w FROM placed
+          WHERE kind IN ('entropy_hex', 'entropy_upper', 'entropy_base64')),
+        chars AS (
+          SELECT r, kind, place, start, w, substr(hit, (w + j + 1)::INT, 1) AS c, count(*) AS n
+          FROM windows, range(24) AS steps(j) GROUP BY ALL),
+        random AS (
+          SELECT r, kind, place, start, w FROM chars GROUP BY ALL
+          HAVING sum(round(n * log2(n) * 1048576)) <= floor(24 * (log2(24) - CASE kind WHEN 'entropy_hex' THEN 3.0
+                WHEN 'entropy_upper' THEN 3.5 ELSE 4.0 END) * 1048576)
+            AND bool_or(regexp_matches(c, '[0-9]')) AND bool_or(regexp_matches(c, '[A-Za-z]'))),
+        marked AS (
+          SELECT *, CASE WHEN w <= lag(w) OVER (PARTITION BY r, place, start ORDER BY w) + 24 THEN 0 ELSE 1 END AS opens
+          FROM random),
+        islands AS (SELECT *, sum(opens) OVER (PARTITION BY r, place, start ORDER BY w) AS island FROM marked),
+        added AS (
+          SELECT r, kind, place, start + min(w) AS start, start + max(w) + 24 AS stop
+          FROM islands GROUP BY r, kind, place, islands.start, island),
+        covers AS (
+          SELECT r, start, stop FROM base
+          UNION ALL SELECT r, stop - length(hit), stop FROM placed WHERE kind = 'allowed'),
+        spans AS (
+          SELECT r, kind, place, start, stop FROM base
+          UNION ALL SELECT r, kind, place, start, stop FROM added a
+          WHERE NOT EXISTS (SELECT 1 FROM covers c WHERE c.r = a.r AND c.start <= a.start AND a.stop <= c.stop)),
+        joined AS (
+          SELECT r, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+            count(*) FILTER (place = 2) AS n_hex,
+            string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, place) FILTER (place < 3) AS base,
+            string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, place) AS spans
+          FROM spans GROUP BY r)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+          sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN joined USING (r)""",
 }
