@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portflow.llm.common import LOWER, binary_parts, flat_ranges, stored
+from portflow.llm.common import LOWER, binary_parts, flat_ranges, slices, stored
 
 MIN_DOCS = 30
 TOP_TERMS = 50
@@ -34,9 +34,11 @@ TERM_BYTE[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 CHUNK_BYTE = np.ones(256, bool)
 CHUNK_BYTE[[32, *range(9, 14)]] = False
 
-# Text a task combines at once, unless one document is longer; sources that one row block compares with all others; cells
-# of the matrices of differences a task holds.
-BATCH_BYTES = 32 << 20
+# Text that is split at once, unless one document is longer; different (document, chunk) pairs a task combines at once; rows
+# it hands over at once; sources that one row block compares with all others; cells of the matrices of differences a task holds.
+BATCH_BYTES = 2 << 20
+PAIRS = 1 << 21
+ROWS = 1 << 14
 SIDE = 512
 CELLS = 1 << 22
 
@@ -51,7 +53,7 @@ def byte_runs(raw: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[p
     before[1:] = inside
     before[bounds[:-1]] = False
     starts = np.flatnonzero(inside & ~before[:n])
-    place = np.cumsum(inside)
+    place = np.cumsum(inside, dtype=np.int32)
     data = raw[inside]
     offsets = np.append(place[starts] - 1, len(data)).astype(np.int32)
     runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
@@ -75,23 +77,33 @@ def _lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total))
 
 
-def _combined(raw: np.ndarray, bounds: np.ndarray, langs: np.ndarray, places: np.ndarray, min_docs: int) -> tuple[pa.Array, pa.Array]:
-    """The different chunks of some documents, and a payload of integers for each.
-
-    A payload holds the number of its groups, for each of them language, place, occurrences and documents, and then, group
-    after group, the numbers of the documents of every group with fewer than ``min_docs``.
-    """
+def _pairs(raw: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The different chunks of some documents; and for each (chunk, document) pair both, and how often it occurs."""
     chunks, per_doc = byte_runs(raw, bounds, CHUNK_BYTE)
     coded = chunks.dictionary_encode()
-    by_group = np.lexsort((places, langs))
-    rank = np.empty(len(by_group), np.int64)
-    rank[by_group] = np.arange(len(by_group))
-    key = coded.indices.to_numpy().astype(np.int64) * len(rank) + np.repeat(rank, per_doc)
+    key = coded.indices.to_numpy().astype(np.int64) * len(per_doc) + np.repeat(np.arange(len(per_doc)), per_doc)
     key.sort()
     first = _starts(key)
-    times = _lengths(first, len(key))
-    chunk, doc = np.divmod(key[first], max(len(rank), 1))
-    doc = by_group[doc]
+    chunk, doc = np.divmod(key[first], max(len(per_doc), 1))
+    return coded.dictionary, chunk.astype(np.int32), doc.astype(np.int32), _lengths(first, len(key)).astype(np.int32)
+
+
+def _combined(
+    pieces: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]], langs: np.ndarray, places: np.ndarray, min_docs: int
+) -> tuple[pa.Array, pa.Array]:
+    """The different chunks of some pieces of :func:`_pairs`, and a payload of integers for each.
+
+    A payload holds the number of its groups, for each of them language, place, occurrences and documents, and then, group
+    after group, the numbers of the documents of every group with fewer than ``min_docs``.
+    """
+    names = pa.concat_arrays([piece[0] for piece in pieces]).dictionary_encode()
+    codes = names.indices.to_numpy()
+    offsets = np.append(0, np.cumsum([len(piece[0]) for piece in pieces]))
+    chunk = np.concatenate([codes[piece[1] + offset] for piece, offset in zip(pieces, offsets)])
+    doc = np.concatenate([piece[2] for piece in pieces])
+    times = np.concatenate([piece[3] for piece in pieces])
+    order = np.lexsort((doc, places[doc], langs[doc], chunk))
+    chunk, doc, times = chunk[order], doc[order], times[order]
     lang, place = langs[doc], places[doc]
 
     segment = _starts(chunk, lang, place)
@@ -112,7 +124,7 @@ def _combined(raw: np.ndarray, bounds: np.ndarray, langs: np.ndarray, places: np
     payload[flat_ranges(np.repeat(starts + 1 + 4 * groups - so_far[of_chunk], groups) + so_far, listed)] = doc[flat_ranges(segment, listed)]
     ends = np.append(0, np.cumsum(sizes * 4)).astype(np.int32)
     packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(payload)])
-    return coded.dictionary, packed
+    return names.dictionary, packed
 
 
 def _chunk_rows(rows: DataFrame, min_docs: int) -> DataFrame:
@@ -120,26 +132,29 @@ def _chunk_rows(rows: DataFrame, min_docs: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
-        texts, sizes, langs, places = [], [], [], []
+        pieces, langs, places = [], [], []
 
-        def flushed() -> pa.RecordBatch:
-            bounds = np.append(0, np.cumsum(np.concatenate(sizes)))
-            chunks, payload = _combined(np.concatenate(texts), bounds, np.concatenate(langs), np.concatenate(places), min_docs)
+        def flushed() -> Iterator[pa.RecordBatch]:
+            chunks, payload = _combined(pieces, np.concatenate(langs), np.concatenate(places), min_docs)
             bases = pa.array(np.full(len(chunks), base), pa.int64())
-            return pa.RecordBatch.from_arrays([chunks, bases, payload], ["chunk", "base", "payload"])
+            whole = pa.RecordBatch.from_arrays([chunks, bases, payload], ["chunk", "base", "payload"])
+            for start in range(0, len(whole), ROWS):
+                yield whole.slice(start, ROWS)
 
         for batch in batches:
-            raw, bounds = binary_parts(batch["text"])
-            texts.append(raw)
-            sizes.append(np.diff(bounds))
-            langs.append(batch["lang_no"].to_numpy())
-            places.append(batch["place"].to_numpy())
-            if sum(map(len, texts)) >= BATCH_BYTES:
-                yield flushed()
-                base += sum(map(len, sizes))
-                texts, sizes, langs, places = [], [], [], []
-        if texts:
-            yield flushed()
+            _, bounds = binary_parts(batch["text"])
+            for start, stop in slices(np.diff(bounds), BATCH_BYTES):
+                part = batch.slice(start, stop - start)
+                names, chunk, doc, times = _pairs(*binary_parts(part["text"]))
+                pieces.append((names, chunk, doc + np.int32(sum(map(len, langs))), times))
+                langs.append(part["lang_no"].to_numpy())
+                places.append(part["place"].to_numpy())
+                if sum(len(piece[1]) for piece in pieces) >= PAIRS:
+                    yield from flushed()
+                    base += sum(map(len, langs))
+                    pieces, langs, places = [], [], []
+        if pieces:
+            yield from flushed()
 
     return rows.mapInArrow(scan, "chunk binary, base long, payload binary")
 

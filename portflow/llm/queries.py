@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -95,12 +95,12 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
 
 def op12_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.secret_spans(read_table(spark, folder, "documents"))
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in secret_scan.BASE_KINDS
-    ]
-    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
-    digest = F.sha2(secret_scan.span_text(base).cast("binary"), 256)
+
+    def of_kinds(*kinds: str) -> Column:
+        return F.filter("spans", lambda span: span["kind"].isin(*kinds))
+
+    counts = [F.size(of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS]
+    digest = F.sha2(secret_scan.span_text(of_kinds(*secret_scan.BASE_KINDS)).cast("binary"), 256)
     return found.select(
         "doc_id", *counts, digest.alias("base_sha256"), secret_scan.span_text(F.col("spans")).alias("spans")
     )

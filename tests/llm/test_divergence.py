@@ -62,7 +62,9 @@ def corpus(n=400):
 
 @pytest.mark.parametrize("min_docs", [1, 9])
 def test_equals_plain_counts(spark, monkeypatch, min_docs):
-    monkeypatch.setattr(divergence, "BATCH_BYTES", 2_000)
+    monkeypatch.setattr(divergence, "BATCH_BYTES", 900)
+    monkeypatch.setattr(divergence, "PAIRS", 300)
+    monkeypatch.setattr(divergence, "ROWS", 7)
     monkeypatch.setattr(divergence, "SIDE", 3)
     monkeypatch.setattr(divergence, "CELLS", 20)
     rows = corpus()
