@@ -118,7 +118,9 @@ def congestion_weights(settings: Settings) -> dict[str, float]:
 
 def latest_rejection_rate(report: DataFrame) -> Column:
     """Rejection rate of the newest report, null when there is none; a scalar, so it never drops rows."""
-    newest = report.agg(F.max_by("rejection_rate", "created_at").alias("rejection_rate"))
+    # Two reports of one time are told apart by the run that added them, then by their source.
+    order = F.struct("created_at", *[name for name in ("run", "source_file") if name in report.columns])
+    newest = report.agg(F.max_by("rejection_rate", order).alias("rejection_rate"))
     return newest.scalar()
 
 

@@ -48,10 +48,10 @@ def starts_episode(previous: Column, current: Column, max_gap_minutes: float) ->
     return previous.isNull() | (minutes_between(previous, current) > max_gap_minutes)
 
 
-def episodes(
+def episode_sums(
     df: DataFrame, keys: Sequence[str], ts: str, max_gap_minutes: int, average: str | None = None
 ) -> DataFrame:
-    """One row per key and episode: number, first and last time, row count and the mean of a column."""
+    """One row per key and episode: number, first and last time, row count, and the sum and count of a column's values."""
     measures = [F.count(F.lit(1)).alias("_rows")]
     if average:
         measures += [F.sum(average).alias("_sum"), F.count(average).alias("_known")]
@@ -62,10 +62,24 @@ def episodes(
         F.sum("_rows").alias("message_count"),
     ]
     if average:
-        totals.append(F.try_divide(F.sum("_sum"), F.sum("_known")).alias(f"avg_{average}"))
+        totals += [F.sum("_sum").alias("value_sum"), F.sum("_known").alias("value_count")]
     return numbered.groupBy(*keys, "episode").agg(*totals)
 
 
+def mean_of_sums() -> Column:
+    return F.try_divide("value_sum", "value_count")
+
+
+def episodes(
+    df: DataFrame, keys: Sequence[str], ts: str, max_gap_minutes: int, average: str | None = None
+) -> DataFrame:
+    """One row per key and episode: number, first and last time, row count and the mean of a column."""
+    found = episode_sums(df, keys, ts, max_gap_minutes, average)
+    if not average:
+        return found
+    return found.withColumn(f"avg_{average}", mean_of_sums()).drop("value_sum", "value_count")
+
+
 def sessionize(df: DataFrame, keys: Sequence[str], ts: str, max_gap_minutes: int) -> DataFrame:
     """Every row with its episode number.
 
@@ -155,6 +169,11 @@ def vessel_stops(proximity: DataFrame, settings: Settings, ports: Sequence[Port]
     """Stop episodes that last long enough, with ids, dwell time and date parts of their start."""
     candidates = stop_candidates(proximity, settings)
     found = episodes(candidates, STOP_KEYS, "event_timestamp", settings.max_gap_minutes, "speed_knots")
+    return stops_of_episodes(found, settings, ports)
+
+
+def stops_of_episodes(found: DataFrame, settings: Settings, ports: Sequence[Port]) -> DataFrame:
+    """The stops among episodes of slow messages, named and dated."""
     dwell = minutes_between(F.col("episode_start"), F.col("episode_end"))
     kept = found.withColumn("dwell_time_minutes", dwell).where(
         F.col("dwell_time_minutes") >= settings.min_dwell_minutes

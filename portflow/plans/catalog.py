@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -20,6 +21,7 @@ from portflow.session import scratch_dir
 from portflow.settings import Settings
 from portflow.sources import fixture, layers, raw as raw_files
 from portflow.sources.ports import DEFAULT_PORTS, load_ports, ports_frame, read_ports
+from portflow.sources.runs import register_lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -506,17 +508,18 @@ def nearest_port_from_file(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def catalog_stops_by_port(spark: SparkSession, folder: str) -> DataFrame:
-    """SQL over the lake's registered tables."""
-    database = "portflow_lake"
-    # The tables are external: dropping those of an earlier call touches no files.
-    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    """SQL over the lake's registered tables, in a database of its own."""
+    database = f"portflow_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database}")
-    layers.register_lake(spark, _run(spark, folder).root, database)
-    return spark.sql(
+    register_lake(spark, _run(spark, folder).root, database)
+    stops = spark.sql(
         f"""SELECT nearest_port_name, count(*) AS stops, count(DISTINCT mmsi) AS stopped_vessels,
           round(avg(dwell_time_minutes), 8) AS avg_dwell_minutes, round(max(dwell_time_minutes), 8) AS max_dwell_minutes
         FROM {database}.silver_stops GROUP BY nearest_port_name"""
     )
+    # The result is resolved by now; the views of the new database hold no files.
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return stops
 
 
 def congestion_csv(spark: SparkSession, folder: str) -> DataFrame:

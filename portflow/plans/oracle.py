@@ -94,7 +94,7 @@ silver AS (
 
 _KEEP_FIRST = "row_number() OVER (PARTITION BY message_id ORDER BY raw_payload_hash, event_id, copy) > 1"
 _FLAG_ALL = "count(*) OVER (PARTITION BY message_id) > 1"
-_SILVER = _silver(_KEEP_FIRST)
+SILVER = _silver(_KEEP_FIRST)
 
 _HAVERSINE = """2 * 6371.0 * atan2(
       sqrt(least(1.0, pow(sin(radians(p.port_latitude - s.latitude) / 2), 2)
@@ -103,7 +103,7 @@ _HAVERSINE = """2 * 6371.0 * atan2(
         + cos(radians(s.latitude)) * cos(radians(p.port_latitude)) * pow(sin(radians(p.port_longitude - s.longitude) / 2), 2)))))"""
 
 _RANKED = (
-    _SILVER
+    SILVER
     + f""",
 ranked AS (
   SELECT s.*, p.port_id, p.port_name, p.port_latitude, p.port_longitude, p.port_radius_km,
@@ -127,13 +127,14 @@ candidates AS (
 )
 
 
-def _stops(gap_minutes: int, dwell_minutes: int) -> str:
+def stops_ctes(gap_minutes: int, dwell_minutes: int, shift_days: int = 0) -> str:
     return (
         _PROXIMITY
         + f""",
+moved AS (SELECT * REPLACE (event_timestamp + INTERVAL {shift_days} DAY AS event_timestamp) FROM candidates),
 gaps AS (
   SELECT *, lag(event_timestamp) OVER (PARTITION BY mmsi, nearest_port_id ORDER BY event_timestamp) AS previous
-  FROM candidates),
+  FROM moved),
 marked AS (
   SELECT *, CASE WHEN previous IS NULL OR date_diff('microsecond', previous, event_timestamp) / 6e7 > {gap_minutes}
                  THEN 1 ELSE 0 END AS starts
@@ -156,8 +157,8 @@ stops AS (
     )
 
 
-_STOPS_DEFAULT = _stops(60, 30)
-_STOPS_WIDE = _stops(1440, 720)
+_STOPS_DEFAULT = stops_ctes(60, 30)
+_STOPS_WIDE = stops_ctes(1440, 720)
 
 _ANOMALY_CTES = """,
 located AS (
@@ -252,7 +253,7 @@ _CONGESTION_COLUMNS = """report_date, port_id, port_name, vessels_near_port, sto
   stopped_position_count, anomaly_count, round(data_quality_rejection_rate, 6) AS data_quality_rejection_rate,
   round(port_congestion_index, 4) AS port_congestion_index"""
 
-_STOP_SELECT = """
+STOP_SELECT = """
 SELECT sha256(concat_ws('|', mmsi, nearest_port_id, strftime(episode_start, '%Y%m%d%H%M%S'))) AS stop_id,
   concat_ws('_', mmsi, nearest_port_id, strftime(episode_start, '%Y%m%dT%H%M%S'), CAST(sequence AS VARCHAR)) AS stop_label,
   mmsi, nearest_port_id, nearest_port_name, episode_start AS stop_start_timestamp, episode_end AS stop_end_timestamp,
@@ -286,59 +287,59 @@ passed AS (
 )
 
 
-def _with(ctes: str, body: str) -> str:
+def with_ctes(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body.strip()}"
 
 
 ORACLES: dict[str, str] = {
-    "bronze_message_ids": _with(
+    "bronze_message_ids": with_ctes(
         _BRONZE,
         """SELECT message_id, event_timestamp, mmsi, latitude, longitude, speed_knots, course, heading,
           CAST(event_timestamp AS DATE) AS event_date, CAST(year(event_timestamp) AS INTEGER) AS year,
           CAST(month(event_timestamp) AS INTEGER) AS month FROM bronze""",
     ),
-    "bronze_payload_hash": _with(_BRONZE, "SELECT raw_payload_hash, source_file FROM bronze"),
-    "bronze_padded_dates": _with(
+    "bronze_payload_hash": with_ctes(_BRONZE, "SELECT raw_payload_hash, source_file FROM bronze"),
+    "bronze_padded_dates": with_ctes(
         _BRONZE,
         """SELECT strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
           strftime(event_timestamp, '%d') AS day, count(*) AS row_count FROM bronze GROUP BY ALL""",
     ),
-    "bronze_volume": _with(
+    "bronze_volume": with_ctes(
         _BRONZE,
         """SELECT count(*) AS row_count, min(event_timestamp) AS min_event_timestamp,
           max(event_timestamp) AS max_event_timestamp FROM bronze""",
     ),
-    "quality_flags": _with(
-        _SILVER,
+    "quality_flags": with_ctes(
+        SILVER,
         """SELECT message_id, heading, is_valid_coordinate, is_null_vessel_id, is_speed_unavailable,
           is_impossible_speed, is_valid_speed, is_future_timestamp, is_null_source_file,
           is_null_ingestion_timestamp, is_duplicate FROM silver""",
     ),
-    "quality_reasons": _with(_SILVER, "SELECT message_id, heading, rejection_reason, quality_status FROM silver"),
-    "duplicates_keep_first": _with(
+    "quality_reasons": with_ctes(SILVER, "SELECT message_id, heading, rejection_reason, quality_status FROM silver"),
+    "duplicates_keep_first": with_ctes(
         _BRONZE, f"SELECT message_id, raw_payload_hash, {_KEEP_FIRST} AS is_duplicate FROM bronze"
     ),
-    "duplicates_flag_all": _with(
+    "duplicates_flag_all": with_ctes(
         _BRONZE, f"SELECT message_id, raw_payload_hash, {_FLAG_ALL} AS is_duplicate FROM bronze"
     ),
     "lineitem_duplicates": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
       row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                          ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) > 1 AS is_duplicate
       FROM lineitem""",
-    "quality_status_counts": _with(
-        _SILVER, "SELECT quality_status, count(*) AS row_count FROM silver GROUP BY ALL ORDER BY quality_status"
+    "quality_status_counts": with_ctes(
+        SILVER, "SELECT quality_status, count(*) AS row_count FROM silver GROUP BY ALL ORDER BY quality_status"
     ),
-    "quality_status_counts_flag_all": _with(
+    "quality_status_counts_flag_all": with_ctes(
         _silver(_FLAG_ALL),
         "SELECT quality_status, count(*) AS row_count FROM silver GROUP BY ALL ORDER BY quality_status",
     ),
-    "rejection_reason_counts": _with(
-        _SILVER,
+    "rejection_reason_counts": with_ctes(
+        SILVER,
         """SELECT rejection_reason, count(*) AS row_count FROM silver WHERE quality_status = 'rejected'
           GROUP BY ALL ORDER BY row_count DESC, rejection_reason""",
     ),
-    "quality_report": _with(
-        _SILVER,
+    "quality_report": with_ctes(
+        SILVER,
         """SELECT DATE '2026-01-01' AS processing_date, 'events.parquet' AS source_file, count(*) AS total_records,
           count(*) FILTER (quality_status = 'valid') AS valid_records,
           count(*) FILTER (quality_status = 'rejected') AS rejected_records,
@@ -352,7 +353,7 @@ ORACLES: dict[str, str] = {
           count(*) FILTER (is_null_ingestion_timestamp) AS null_ingestion_timestamp_count,
           round(count(*) FILTER (quality_status = 'rejected') / count(*), 6) AS rejection_rate FROM silver""",
     ),
-    "source_profile": _with(
+    "source_profile": with_ctes(
         _PROFILE,
         """SELECT 'events.parquet' AS source_file, count(*) AS total_records,
           count(*) FILTER (quality_reasons = '') AS valid_records,
@@ -366,44 +367,44 @@ ORACLES: dict[str, str] = {
           (SELECT count(*) FROM caught) + (SELECT count(*) FROM passed) AS quality_sample_rows,
           (SELECT count(*) FROM caught) AS anomaly_rows_captured FROM reasoned""",
     ),
-    "sample_exact": _with(
+    "sample_exact": with_ctes(
         _RAW,
         f"""SELECT {_RAW_FIELDS} FROM raw
           ORDER BY sha256(concat_ws('|', CAST(event_id AS VARCHAR), Heading, '42')) LIMIT 2000""",
     ),
-    "sample_by_class": _with(
+    "sample_by_class": with_ctes(
         _PROFILE, f"SELECT {_RAW_FIELDS} FROM caught UNION ALL SELECT {_RAW_FIELDS} FROM passed"
     ),
-    "rejected_capture": _with(_PROFILE, f"SELECT {_RAW_FIELDS}, quality_reasons FROM caught"),
-    "nearest_port": _with(
+    "rejected_capture": with_ctes(_PROFILE, f"SELECT {_RAW_FIELDS}, quality_reasons FROM caught"),
+    "nearest_port": with_ctes(
         _PROXIMITY,
         """SELECT message_id, nearest_port_id, nearest_port_name, port_latitude, port_longitude, port_radius_km,
           round(distance_to_port_km, 3) AS distance_to_port_km, is_within_port_radius FROM proximity""",
     ),
-    "nearest_port_ranked": _with(
+    "nearest_port_ranked": with_ctes(
         _RANKED,
         """SELECT message_id, CAST(port_rank AS INTEGER) AS port_rank, port_id, round(km, 3) AS distance_to_port_km,
           km <= port_radius_km AS is_within_port_radius FROM ranked WHERE quality_status = 'valid' AND port_rank <= 2""",
     ),
-    "port_positions": _with(
+    "port_positions": with_ctes(
         _PROXIMITY,
         """SELECT nearest_port_name, count(*) AS total_positions,
           count(*) FILTER (is_within_port_radius) AS positions_within_radius, count(DISTINCT mmsi) AS distinct_vessels
           FROM proximity GROUP BY ALL ORDER BY positions_within_radius DESC, nearest_port_name""",
     ),
-    "ports_near": _with(
+    "ports_near": with_ctes(
         _PROXIMITY,
         """SELECT nearest_port_name, count(DISTINCT mmsi) AS distinct_vessels, count(*) AS positions
           FROM proximity WHERE is_within_port_radius GROUP BY ALL ORDER BY nearest_port_name""",
     ),
-    "min_port_distance": _with(
+    "min_port_distance": with_ctes(
         _PROXIMITY, "SELECT count(*) AS row_count, round(min(distance_to_port_km), 3) AS min_distance_km FROM proximity"
     ),
-    "stop_candidates": _with(
+    "stop_candidates": with_ctes(
         _PROXIMITY,
         """SELECT count(*) AS candidate_stopped_positions, count(DISTINCT mmsi) AS distinct_vessels FROM candidates""",
     ),
-    "temporal_density_top": _with(
+    "temporal_density_top": with_ctes(
         _PROXIMITY,
         """SELECT mmsi, nearest_port_name, count(*) AS stopped_messages, min(event_timestamp) AS first_timestamp,
           max(event_timestamp) AS last_timestamp,
@@ -411,7 +412,7 @@ ORACLES: dict[str, str] = {
           FROM candidates GROUP BY ALL
           ORDER BY stopped_messages DESC, raw_time_span_minutes DESC, mmsi, nearest_port_name LIMIT 20""",
     ),
-    "stop_gaps": _with(
+    "stop_gaps": with_ctes(
         _STOPS_WIDE,
         """SELECT mmsi, nearest_port_id, event_timestamp, message_count, previous_timestamp,
           round(date_diff('microsecond', previous_timestamp, event_timestamp) / 6e7, 6) AS gap_minutes,
@@ -421,73 +422,73 @@ ORACLES: dict[str, str] = {
                   CAST(max(episode) AS BIGINT) AS episode
                 FROM numbered GROUP BY mmsi, nearest_port_id, event_timestamp)""",
     ),
-    "stop_episodes": _with(
+    "stop_episodes": with_ctes(
         _STOPS_WIDE,
         """SELECT mmsi, nearest_port_id, CAST(episode AS BIGINT) AS episode, episode_start, episode_end, message_count,
           round(avg_speed_knots, 9) AS avg_speed_knots FROM episodes""",
     ),
-    "stop_messages": _with(
+    "stop_messages": with_ctes(
         _STOPS_WIDE,
         "SELECT message_id, mmsi, nearest_port_id, event_timestamp, CAST(episode AS BIGINT) AS episode FROM numbered",
     ),
-    "vessel_stops_default": _with(_STOPS_DEFAULT, _STOP_SELECT),
-    "vessel_stops_wide": _with(_STOPS_WIDE, _STOP_SELECT),
-    "vessel_stops_session_window": _with(
+    "vessel_stops_default": with_ctes(_STOPS_DEFAULT, STOP_SELECT),
+    "vessel_stops_wide": with_ctes(_STOPS_WIDE, STOP_SELECT),
+    "vessel_stops_session_window": with_ctes(
         _STOPS_WIDE, "SELECT mmsi, nearest_port_id, episode_start, episode_end, message_count FROM episodes"
     ),
-    "stops_by_port": _with(
+    "stops_by_port": with_ctes(
         _STOPS_WIDE,
         """SELECT nearest_port_name, count(*) AS stops, count(DISTINCT mmsi) AS stopped_vessels,
           round(avg(dwell_time_minutes), 8) AS avg_dwell_minutes, round(max(dwell_time_minutes), 8) AS max_dwell_minutes
           FROM stops GROUP BY ALL ORDER BY stops DESC, nearest_port_name""",
     ),
-    "stop_count": _with(_STOPS_DEFAULT, "SELECT count(*) AS stop_count FROM stops"),
-    "vessel_anomalies": _with(
+    "stop_count": with_ctes(_STOPS_DEFAULT, "SELECT count(*) AS stop_count FROM stops"),
+    "vessel_anomalies": with_ctes(
         _ANOMALIES,
         """SELECT anomaly_id, event_timestamp, mmsi, nearest_port_id, nearest_port_name,
           round(distance_to_port_km, 3) AS distance_to_port_km, is_within_port_radius, port_radius_km, anomaly_type,
           severity, description, message_id AS source_message_id FROM anomalies""",
     ),
-    "anomalies_by_type": _with(
+    "anomalies_by_type": with_ctes(
         _ANOMALIES,
         """SELECT anomaly_type, severity, count(*) AS anomaly_count FROM anomalies GROUP BY ALL
           ORDER BY anomaly_count DESC, anomaly_type""",
     ),
-    "anomalies_by_severity": _with(
+    "anomalies_by_severity": with_ctes(
         _ANOMALIES, "SELECT severity, count(*) AS anomaly_count FROM anomalies GROUP BY ALL ORDER BY severity"
     ),
-    "anomalies_by_port": _with(
+    "anomalies_by_port": with_ctes(
         _ANOMALIES,
         """SELECT nearest_port_name, count(*) AS anomaly_count FROM anomalies WHERE is_within_port_radius
           GROUP BY ALL ORDER BY anomaly_count DESC, nearest_port_name""",
     ),
-    "proximity_metrics": _with(
+    "proximity_metrics": with_ctes(
         _METRICS, "SELECT report_date, port_id, vessels_near_port, stopped_position_count FROM near_ports"
     ),
-    "stop_metrics": _with(
+    "stop_metrics": with_ctes(
         _METRICS,
         """SELECT report_date, port_id, stops, stopped_vessels,
           round(avg_dwell_time_minutes, 8) AS avg_dwell_time_minutes,
           round(p90_dwell_time_minutes, 8) AS p90_dwell_time_minutes FROM stopped""",
     ),
-    "minmax_normalized": _with(
+    "minmax_normalized": with_ctes(
         _merged("FULL"),
         f"""SELECT report_date, port_id, round({_scaled('stopped_vessels', '')}, 6) AS normalized_stopped_vessels,
           round({_scaled('avg_dwell_time_minutes', '')}, 6) AS normalized_avg_dwell_time_minutes,
           round({_scaled('stopped_position_count', '')}, 6) AS normalized_stopped_position_count FROM named""",
     ),
-    "port_congestion_daily": _with(
+    "port_congestion_daily": with_ctes(
         _congestion("FULL"), f"SELECT {_CONGESTION_COLUMNS} FROM congestion ORDER BY report_date, port_id"
     ),
-    "port_congestion_left": _with(
+    "port_congestion_left": with_ctes(
         _congestion("LEFT", with_anomalies=False),
         f"SELECT {_CONGESTION_COLUMNS} FROM congestion ORDER BY report_date, port_id",
     ),
-    "port_congestion_within_day": _with(
+    "port_congestion_within_day": with_ctes(
         _congestion("LEFT", over="PARTITION BY report_date"),
         f"SELECT {_CONGESTION_COLUMNS} FROM congestion ORDER BY report_date, port_id",
     ),
-    "congestion_ranking": _with(
+    "congestion_ranking": with_ctes(
         _congestion("FULL"),
         """SELECT report_date, port_id, port_name, round(port_congestion_index, 4) AS port_congestion_index
           FROM congestion ORDER BY congestion.port_congestion_index DESC, report_date, port_id LIMIT 20""",
@@ -499,24 +500,24 @@ ORACLES: dict[str, str] = {
         + 0.4 * coalesce((top_balance - min(top_balance) OVER ()) / nullif(max(top_balance) OVER () - min(top_balance) OVER (), 0), 0),
         6) AS supplier_index
       FROM measured JOIN nation USING (n_nationkey)""",
-    "roundtrip_partitioned": _with(
-        _SILVER,
+    "roundtrip_partitioned": with_ctes(
+        SILVER,
         """SELECT message_id, heading, quality_status, CAST(event_timestamp AS DATE) AS event_date,
           CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month FROM silver""",
     ),
-    "roundtrip_csv": _with(
+    "roundtrip_csv": with_ctes(
         _RAW,
         """SELECT nullif(MMSI, '') AS MMSI, BaseDateTime, LAT, nullif(LON, '') AS LON, nullif(SOG, '') AS SOG, COG, Heading
           FROM raw""",
     ),
-    "zip_scan": _with(_RAW, "SELECT MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading FROM raw"),
-    "pruned_months": _with(
+    "zip_scan": with_ctes(_RAW, "SELECT MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading FROM raw"),
+    "pruned_months": with_ctes(
         _BRONZE,
         """SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,
           count(*) AS row_count FROM bronze
           WHERE event_timestamp >= TIMESTAMP '2023-12-01' AND event_timestamp < TIMESTAMP '2024-02-01' GROUP BY ALL""",
     ),
-    "table_row_counts": _with(
+    "table_row_counts": with_ctes(
         _STOPS_WIDE,
         """SELECT 'silver_positions' AS table_name, count(*) AS row_count FROM silver
           UNION ALL SELECT 'silver_proximity', count(*) FROM proximity
@@ -529,13 +530,13 @@ ORACLES: dict[str, str] = {
 ORACLES |= {
     "pipeline_congestion": ORACLES["port_congestion_daily"],
     "pipeline_stops": ORACLES["vessel_stops_wide"],
-    "pipeline_silver_counts": _with(
-        _SILVER,
+    "pipeline_silver_counts": with_ctes(
+        SILVER,
         """SELECT count(*) AS row_count, count(*) FILTER (quality_status = 'valid') AS valid,
           count(*) FILTER (quality_status = 'rejected') AS rejected FROM silver""",
     ),
     "rerun_changed_settings": ORACLES["vessel_stops_default"],
-    "months_in_two_runs": _with(
+    "months_in_two_runs": with_ctes(
         _RAW,
         """SELECT CAST(year(seen) AS INTEGER) AS year, CAST(month(seen) AS INTEGER) AS month, count(*) AS row_count
           FROM (SELECT CASE WHEN event_id % 13 = 0 THEN NULL ELSE TRY_CAST(BaseDateTime AS TIMESTAMP) END AS seen FROM raw)
@@ -545,15 +546,15 @@ ORACLES |= {
     "catalog_stops_by_port": ORACLES["stops_by_port"],
     "congestion_csv": ORACLES["port_congestion_daily"],
     "anomalies_csv": ORACLES["anomalies_by_type"],
-    "reports_appended": _with(
-        _SILVER,
+    "reports_appended": with_ctes(
+        SILVER,
         """SELECT 'events.parquet' AS source_file, count(*) * 2 AS total_records, 2::BIGINT AS reports FROM silver""",
     ),
-    "csv_lineage": _with(_RAW, "SELECT true AS is_base_name, count(*) AS row_count FROM raw"),
-    "bronze_ingestion": _with(
+    "csv_lineage": with_ctes(_RAW, "SELECT true AS is_base_name, count(*) AS row_count FROM raw"),
+    "bronze_ingestion": with_ctes(
         _BRONZE, "SELECT message_id, source_file, '2026-01-01 00:00:00' AS ingestion_timestamp FROM bronze"
     ),
-    "stop_p90_rank_error": _with(
+    "stop_p90_rank_error": with_ctes(
         _STOPS_WIDE,
         """SELECT stop_date AS report_date, nearest_port_id AS port_id, count(*) AS stops, true AS is_near_rank
           FROM stops GROUP BY ALL""",

@@ -18,18 +18,9 @@ from portflow.operators.sessions import stop_candidates, vessel_stops
 from portflow.schemas import SILVER_COLUMNS
 from portflow.session import scratch_dir
 from portflow.settings import Settings
-from portflow.sources.layers import (
-    BY_MONTH,
-    LAYERS,
-    POSITION_COLUMNS,
-    append_rows,
-    batch_name,
-    layer_path,
-    read_layer,
-    store,
-    write_layer,
-)
+from portflow.sources.layers import BY_MONTH, LAYERS, POSITION_COLUMNS, batch_name, layer_path, store, with_position
 from portflow.sources.ports import DEFAULT_PORTS, Port
+from portflow.sources.runs import read_table_runs, retire_runs, subfolders, write_run
 
 # Decides which copy of a message counts as the first; the position tells exact copies apart.
 COPY_ORDER = ("source_file", "raw_payload_hash", *POSITION_COLUMNS)
@@ -56,11 +47,11 @@ class Pipeline:
     counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def table(self, name: str, position: bool = False) -> DataFrame:
-        return read_layer(self.spark, layer_path(self.root, name), position)
+        rows = read_table_runs(self.spark, self.root, name)
+        return with_position(rows) if position else rows
 
     def _write(self, name: str, rows: DataFrame, counts: dict | None = None) -> None:
-        path = layer_path(self.root, name)
-        self.counts[name] = write_layer(rows, path, LAYERS[name], counts=counts)
+        self.counts[name] = write_run(rows, layer_path(self.root, name), LAYERS[name], counts)
 
     def _scratch(self, rows: DataFrame) -> DataFrame:
         return store(rows, scratch_dir(self.spark))
@@ -68,7 +59,7 @@ class Pipeline:
     def bronze(self, raw: DataFrame, source: str) -> None:
         """Map-only: input files hold consecutive days, so every task writes to few partitions."""
         path = f"{layer_path(self.root, 'bronze_messages')}/batch={batch_name(source)}"
-        self.counts["bronze_messages"] = write_layer(to_bronze(raw, self.settings), path, BY_MONTH)
+        self.counts["bronze_messages"] = write_run(to_bronze(raw, self.settings), path, BY_MONTH)
 
     def silver(self) -> None:
         """Flag every message; wide rows are not shuffled unless very many ids repeat.
@@ -86,8 +77,9 @@ class Pipeline:
         )
 
     def report(self, source: str) -> None:
+        """A run of its own: the table is all of them, so a report that was cut off never shows."""
         report = quality_report(self.table("silver_positions"), self.settings, source)
-        self.counts["silver_quality_report"] = append_rows(report, layer_path(self.root, "silver_quality_report"))
+        self._write("silver_quality_report", report)
 
     def proximity(self) -> None:
         valid = keep_valid(self.table("silver_positions"))
@@ -132,3 +124,13 @@ class Pipeline:
         self.anomalies()
         self.congestion()
         return self.counts
+
+    def retire(self) -> None:
+        """Remove what earlier runs have left behind; not while a reader may still be on them."""
+        for name in LAYERS:
+            path = layer_path(self.root, name)
+            if name == "silver_quality_report":
+                continue
+            parts = [f"{path}/{part}" for part in subfolders(self.spark, path, "batch=")]
+            for folder in parts or [path]:
+                retire_runs(self.spark, folder)

@@ -40,8 +40,11 @@ def batch_name(source: str) -> str:
 def read_layer(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
     """A Parquet layer; ``position`` adds each row's file and index, which tell identical rows apart."""
     rows = spark.read.parquet(path)
-    if not position:
-        return rows
+    return with_position(rows) if position else rows
+
+
+def with_position(rows: DataFrame) -> DataFrame:
+    """Add file and index to the rows of a Parquet scan."""
     return rows.select(
         "*", F.col("_metadata.file_path").alias("_row_file"), F.col("_metadata.row_index").alias("_row_index")
     )
@@ -121,14 +124,23 @@ def read_anomalies_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv_by_position(spark, path, ANOMALIES_CSV_SCHEMA)
 
 
+def quoted(name: str) -> str:
+    """A table, column or path as SQL takes it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_layer(spark: SparkSession, table: str, path: str, partition_by: Sequence[str] = ()) -> None:
     """Create a catalog table over a Parquet folder and pick up its partitions."""
     rows = spark.read.parquet(path)
     if spark.catalog.tableExists(table):
         _check_table(spark, table, path, rows)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitions} LOCATION '{path}'")
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    partitions = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitions} LOCATION {sql_text(path)}")
     if partition_by:
         repair_partitions(spark, table)
 
@@ -146,9 +158,3 @@ def _check_table(spark: SparkSession, table: str, path: str, rows: DataFrame) ->
 def repair_partitions(spark: SparkSession, table: str) -> None:
     """Make partitions written since registration visible."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
-
-
-def register_lake(spark: SparkSession, root: str, database: str | None = None) -> None:
-    prefix = f"{database}." if database else ""
-    for table, partition_by in LAYERS.items():
-        register_layer(spark, prefix + table, layer_path(root, table), partition_by)
