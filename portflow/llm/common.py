@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +16,9 @@ from portflow.sources.layers import store
 
 # Tells rows apart even where ids repeat or are null.
 ROW = "_llm_row"
+# No file has that many rows.
+FILE_ROWS = 1 << 40
+_SCHEME = "^([A-Za-z][A-Za-z0-9+.-]*):/+"
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -25,12 +30,24 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """Add a row number that is the same in every scan of the same stored table.
+    """Add a row number that is the same in every scan of the same stored table, however its files are split.
 
-    It depends on file splits alone, so ``docs`` must be a scan of stored files or local rows, not the result
-    of a shuffle.
+    It is made of the file's place in the table's list of files and the row's place in the file, so executors may come and go
+    between two scans. ``docs`` must be a scan of stored files, filtered or projected at most, or local rows. The plan
+    carries the list of files, one path each.
     """
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    # Spark writes the slashes behind the scheme in two ways.
+    files = sorted({re.sub(_SCHEME, r"\1:/", name) for name in docs.inputFiles()})
+    if not files:
+        return docs.withColumn(ROW, F.monotonically_increasing_id())
+    listed = F.posexplode(F.from_json(F.lit(json.dumps(files)), "array<string>"))
+    places = docs.sparkSession.range(1).select(listed.alias("_llm_place", "_llm_file"))
+    scanned = docs.metadataColumn("_metadata")
+    located = docs.withColumns({"_llm_file": F.regexp_replace(scanned["file_path"], _SCHEME, "$1:/"), "_llm_index": scanned["row_index"]})
+    numbered = located.join(places, "_llm_file", "left").withColumn(
+        ROW, F.coalesce(F.col("_llm_place"), F.raise_error(F.lit("a file is not in the table's list")).cast("int")).cast("long") * FILE_ROWS + F.col("_llm_index")
+    )
+    return numbered.drop("_llm_file", "_llm_index", "_llm_place")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
