@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portflow.functions.cleaning import piped_sha256
-from portflow.operators.nearest import nearest_port
+from portflow.operators.places import Ports, with_nearest
 from portflow.operators.quality import SILVER_RULES, Rule, keep_rejected
 from portflow.schemas import ANOMALY_COLUMNS
 from portflow.settings import Settings
-from portflow.sources.ports import Port
 
 _UNLISTED = Rule("", lambda: F.lit(False), "")
 
@@ -23,7 +20,7 @@ def _lookup(reason: Column, field: str) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), reason), F.lit(getattr(_UNLISTED, field)))
 
 
-def vessel_anomalies(silver: DataFrame, ports: Sequence[Port], settings: Settings) -> DataFrame:
+def vessel_anomalies(silver: DataFrame, ports: Ports, settings: Settings) -> DataFrame:
     """One row per rejected message and reason, with the nearest port where the position is known.
 
     The anomaly id repeats when several copies of a message carry the same reason.
@@ -31,7 +28,7 @@ def vessel_anomalies(silver: DataFrame, ports: Sequence[Port], settings: Setting
     rejected = keep_rejected(silver).select(
         "message_id", "event_timestamp", "mmsi", "latitude", "longitude", "rejection_reason"
     )
-    placed = nearest_port(rejected, ports)
+    placed = with_nearest(rejected, ports)
     names = F.filter(F.split("rejection_reason", r"\|"), lambda name: name != "")
     exploded = placed.withColumn("anomaly_type", F.explode(names))
     return exploded.select(

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portflow.operators.percentiles import exact_percentile
+from portflow.operators.places import Ports, with_name
 from portflow.schemas import CONGESTION_COLUMNS
 from portflow.settings import Settings
-from portflow.sources.ports import Port, port_name
 
 PORT_DAY = ("report_date", "port_id")
 
@@ -130,7 +130,7 @@ def congestion_base(
     anomalies: DataFrame | None,
     report: DataFrame,
     settings: Settings,
-    ports: Sequence[Port],
+    ports: Ports,
     join: str = "full",
     approx: bool = False,
 ) -> DataFrame:
@@ -157,9 +157,8 @@ def congestion_base(
             "anomaly_count",
         ],
     )
-    return filled.withColumn("port_name", port_name(F.col("port_id"), ports)).withColumn(
-        "data_quality_rejection_rate", latest_rejection_rate(report)
-    )
+    named = with_name(filled, "port_id", "port_name", ports)
+    return named.withColumn("data_quality_rejection_rate", latest_rejection_rate(report))
 
 
 def congestion_index(base: DataFrame, settings: Settings, partition: Sequence[str] = ()) -> DataFrame:

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from portflow.functions.cleaning import is_blank, piped_sha256
 from portflow.functions.timing import MICROS_PER_MINUTE, compact_time, micros_between, minutes_between, slot_start
 from portflow.operators.bronze import date_parts
+from portflow.operators.places import Ports, with_name
 from portflow.schemas import STOP_COLUMNS
 from portflow.settings import Settings
-from portflow.sources.ports import Port, port_name
 
 SLOT = "_slot"
 
@@ -165,14 +165,14 @@ def stop_candidates(proximity: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def vessel_stops(proximity: DataFrame, settings: Settings, ports: Sequence[Port]) -> DataFrame:
+def vessel_stops(proximity: DataFrame, settings: Settings, ports: Ports) -> DataFrame:
     """Stop episodes that last long enough, with ids, dwell time and date parts of their start."""
     candidates = stop_candidates(proximity, settings)
     found = episodes(candidates, STOP_KEYS, "event_timestamp", settings.max_gap_minutes, "speed_knots")
     return stops_of_episodes(found, settings, ports)
 
 
-def stops_of_episodes(found: DataFrame, settings: Settings, ports: Sequence[Port]) -> DataFrame:
+def stops_of_episodes(found: DataFrame, settings: Settings, ports: Ports) -> DataFrame:
     """The stops among episodes of slow messages, named and dated."""
     dwell = minutes_between(F.col("episode_start"), F.col("episode_end"))
     kept = found.withColumn("dwell_time_minutes", dwell).where(
@@ -182,11 +182,12 @@ def stops_of_episodes(found: DataFrame, settings: Settings, ports: Sequence[Port
     sequence = F.row_number().over(Window.partitionBy(*STOP_KEYS).orderBy("episode_start"))
     start = F.col("episode_start")
     label_time = F.concat(F.substring(compact_time(start), 1, 8), F.lit("T"), F.substring(compact_time(start), 9, 6))
-    labelled = kept.withColumn("_sequence", sequence).select(
+    named = with_name(kept.withColumn("_sequence", sequence), "nearest_port_id", "nearest_port_name", ports)
+    labelled = named.select(
         piped_sha256([F.col("mmsi"), F.col("nearest_port_id"), compact_time(start)]).alias("stop_id"),
         F.concat_ws("_", "mmsi", "nearest_port_id", label_time, F.col("_sequence").cast("string")).alias("stop_label"),
         *STOP_KEYS,
-        port_name(F.col("nearest_port_id"), ports).alias("nearest_port_name"),
+        "nearest_port_name",
         start.alias("stop_start_timestamp"),
         F.col("episode_end").alias("stop_end_timestamp"),
         "dwell_time_minutes",

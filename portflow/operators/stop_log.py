@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from portflow.functions.timing import MICROS_PER_MINUTE
+from portflow.operators.places import Ports
 from portflow.operators.sessions import STOP_KEYS, episode_sums, mean_of_sums, starts_episode, stops_of_episodes
 from portflow.session import scratch_dir
 from portflow.settings import Settings
 from portflow.sources.layers import store, write_layer
-from portflow.sources.ports import DEFAULT_PORTS, Port
+from portflow.sources.ports import DEFAULT_PORTS
 from portflow.sources.runs import RUN, begin_run, publish, published_runs, read_all_runs, run_info
 
 TIME = "event_timestamp"
@@ -101,6 +102,6 @@ class StopLog:
         means = self._current().withColumn("avg_speed_knots", mean_of_sums())
         return means.drop("value_sum", "value_count")
 
-    def stops(self, ports: Sequence[Port] = DEFAULT_PORTS) -> DataFrame:
+    def stops(self, ports: Ports = DEFAULT_PORTS) -> DataFrame:
         """The stops among them, as one run over all batches would give."""
         return stops_of_episodes(self.episodes(), self.settings, ports)

@@ -338,7 +338,7 @@ def minmax_normalized(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scaled, **{name: 6 for name in names.values()})
 
 
-def _shown(scores: DataFrame) -> DataFrame:
+def shown_congestion(scores: DataFrame) -> DataFrame:
     return rounded(
         scores.drop("created_at"), avg_dwell_time_minutes=8, p90_dwell_time_minutes=8,
         data_quality_rejection_rate=6, port_congestion_index=4,
@@ -346,15 +346,15 @@ def _shown(scores: DataFrame) -> DataFrame:
 
 
 def port_congestion_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(Lake(spark, folder, stored=True).congestion()).orderBy("report_date", "port_id")
+    return shown_congestion(Lake(spark, folder, stored=True).congestion()).orderBy("report_date", "port_id")
 
 
 def port_congestion_left(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(Lake(spark, folder, stored=True).congestion("left", with_anomalies=False)).orderBy("report_date", "port_id")
+    return shown_congestion(Lake(spark, folder, stored=True).congestion("left", with_anomalies=False)).orderBy("report_date", "port_id")
 
 
 def port_congestion_within_day(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(Lake(spark, folder, stored=True).congestion("left", partition=["report_date"])).orderBy("report_date", "port_id")
+    return shown_congestion(Lake(spark, folder, stored=True).congestion("left", partition=["report_date"])).orderBy("report_date", "port_id")
 
 
 def congestion_ranking(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,7 +463,7 @@ def _run(spark: SparkSession, folder: str, settings: Settings = WIDE) -> Pipelin
 
 
 def pipeline_congestion(spark: SparkSession, folder: str) -> DataFrame:
-    return _shown(_run(spark, folder).table("gold_congestion")).orderBy("report_date", "port_id")
+    return shown_congestion(_run(spark, folder).table("gold_congestion")).orderBy("report_date", "port_id")
 
 
 def pipeline_stops(spark: SparkSession, folder: str) -> DataFrame:

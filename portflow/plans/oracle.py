@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_RAW = """
+RAW = """
 ports AS (SELECT * FROM (VALUES
   (0, 'los_angeles_long_beach', 'Los Angeles / Long Beach', 33.7542::DOUBLE, -118.2165::DOUBLE, 20.0::DOUBLE, 337542, '-118.2165'),
   (1, 'new_york_new_jersey', 'New York / New Jersey', 40.6681, -74.0451, 20.0, 406681, '-74.0451'),
@@ -42,7 +42,7 @@ raw AS (
 """
 
 _BRONZE = (
-    _RAW
+    RAW
     + """,
 bronze AS (
   SELECT event_id, copy,
@@ -264,7 +264,7 @@ FROM stops"""
 _RAW_FIELDS = "event_id, MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading"
 
 _PROFILE = (
-    _RAW
+    RAW
     + """,
 checked AS (
   SELECT *, row_number() OVER (PARTITION BY message_id ORDER BY event_id, Heading, copy) > 1 AS is_duplicate
@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
           (SELECT count(*) FROM caught) AS anomaly_rows_captured FROM reasoned""",
     ),
     "sample_exact": with_ctes(
-        _RAW,
+        RAW,
         f"""SELECT {_RAW_FIELDS} FROM raw
           ORDER BY sha256(concat_ws('|', CAST(event_id AS VARCHAR), Heading, '42')) LIMIT 2000""",
     ),
@@ -506,11 +506,11 @@ ORACLES: dict[str, str] = {
           CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month FROM silver""",
     ),
     "roundtrip_csv": with_ctes(
-        _RAW,
+        RAW,
         """SELECT nullif(MMSI, '') AS MMSI, BaseDateTime, LAT, nullif(LON, '') AS LON, nullif(SOG, '') AS SOG, COG, Heading
           FROM raw""",
     ),
-    "zip_scan": with_ctes(_RAW, "SELECT MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading FROM raw"),
+    "zip_scan": with_ctes(RAW, "SELECT MMSI, BaseDateTime, LAT, LON, SOG, COG, Heading FROM raw"),
     "pruned_months": with_ctes(
         _BRONZE,
         """SELECT CAST(year(event_timestamp) AS INTEGER) AS year, CAST(month(event_timestamp) AS INTEGER) AS month,
@@ -537,7 +537,7 @@ ORACLES |= {
     ),
     "rerun_changed_settings": ORACLES["vessel_stops_default"],
     "months_in_two_runs": with_ctes(
-        _RAW,
+        RAW,
         """SELECT CAST(year(seen) AS INTEGER) AS year, CAST(month(seen) AS INTEGER) AS month, count(*) AS row_count
           FROM (SELECT CASE WHEN event_id % 13 = 0 THEN NULL ELSE TRY_CAST(BaseDateTime AS TIMESTAMP) END AS seen FROM raw)
           GROUP BY ALL""",
@@ -550,7 +550,7 @@ ORACLES |= {
         SILVER,
         """SELECT 'events.parquet' AS source_file, count(*) * 2 AS total_records, 2::BIGINT AS reports FROM silver""",
     ),
-    "csv_lineage": with_ctes(_RAW, "SELECT true AS is_base_name, count(*) AS row_count FROM raw"),
+    "csv_lineage": with_ctes(RAW, "SELECT true AS is_base_name, count(*) AS row_count FROM raw"),
     "bronze_ingestion": with_ctes(
         _BRONZE, "SELECT message_id, source_file, '2026-01-01 00:00:00' AS ingestion_timestamp FROM bronze"
     ),

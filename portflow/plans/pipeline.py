@@ -12,15 +12,18 @@ from portflow.operators.anomalies import vessel_anomalies
 from portflow.operators.bronze import to_bronze
 from portflow.operators.congestion import congestion_base, congestion_index
 from portflow.operators.duplicates import KEEP_FIRST, find_groups
-from portflow.operators.nearest import nearest_port
+from portflow.operators.places import Ports, with_nearest
 from portflow.operators.quality import classify, keep_valid, quality_report
 from portflow.operators.sessions import stop_candidates, vessel_stops
 from portflow.schemas import SILVER_COLUMNS
 from portflow.session import scratch_dir
 from portflow.settings import Settings
 from portflow.sources.layers import BY_MONTH, LAYERS, POSITION_COLUMNS, batch_name, layer_path, store, with_position
-from portflow.sources.ports import DEFAULT_PORTS, Port
-from portflow.sources.runs import read_table_runs, retire_runs, subfolders, write_run
+from portflow.sources.ports import DEFAULT_PORTS
+from portflow.sources.raw import BROKEN, broken_lines, without_broken_lines
+from portflow.sources.runs import read_newest_parts, read_table_runs, retire_runs, subfolders, write_run
+
+BROKEN_LINES = "bronze_broken_lines"
 
 # Decides which copy of a message counts as the first; the position tells exact copies apart.
 COPY_ORDER = ("source_file", "raw_payload_hash", *POSITION_COLUMNS)
@@ -39,7 +42,7 @@ class Pipeline:
     spark: SparkSession
     root: str
     settings: Settings
-    ports: Sequence[Port] = DEFAULT_PORTS
+    ports: Ports = DEFAULT_PORTS
     duplicate_policy: str = KEEP_FIRST
     congestion_join: str = "full"
     approx_percentile: bool = False
@@ -57,10 +60,22 @@ class Pipeline:
         return store(rows, scratch_dir(self.spark))
 
     def bronze(self, raw: DataFrame, source: str) -> None:
-        """Map-only: input files hold consecutive days, so every task writes to few partitions."""
-        path = f"{layer_path(self.root, 'bronze_messages')}/batch={batch_name(source)}"
+        """Map-only: input files hold consecutive days, so every task writes to few partitions.
+
+        Lines that the reader has set apart (``quarantine``) go to a table of their own, so lines read are rows plus broken lines.
+        """
+        batch = f"batch={batch_name(source)}"
+        if BROKEN in raw.columns:
+            path = f"{layer_path(self.root, BROKEN_LINES)}/{batch}"
+            self.counts[BROKEN_LINES] = write_run(broken_lines(raw), path)
+            raw = without_broken_lines(raw)
+        path = f"{layer_path(self.root, 'bronze_messages')}/{batch}"
         self.counts["bronze_messages"] = write_run(to_bronze(raw, self.settings), path, BY_MONTH)
 
+    def broken_lines(self) -> DataFrame:
+        """The broken lines of all sources that were read with ``quarantine``."""
+        return read_newest_parts(self.spark, layer_path(self.root, BROKEN_LINES), "batch")
+
     def silver(self) -> None:
         """Flag every message; wide rows are not shuffled unless very many ids repeat.
 
@@ -84,7 +99,7 @@ class Pipeline:
     def proximity(self) -> None:
         valid = keep_valid(self.table("silver_positions"))
         self._write(
-            "silver_proximity", nearest_port(valid, self.ports), {"within_radius": F.col("is_within_port_radius")}
+            "silver_proximity", with_nearest(valid, self.ports), {"within_radius": F.col("is_within_port_radius")}
         )
 
     def stops(self) -> None:

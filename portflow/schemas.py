@@ -32,6 +32,7 @@ MESSAGE_ID_FIELDS = ("MMSI", "BaseDateTime", "LAT", "LON", "SOG", "COG")
 
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
+# Columns of a table, in its order.
 PORTS_SCHEMA = T.StructType(
     [
         T.StructField("port_id", T.StringType()),
@@ -42,6 +43,7 @@ PORTS_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of a table, in its order.
 BRONZE_COLUMNS = (
     "message_id",
     "source_file",
@@ -55,6 +57,7 @@ BRONZE_COLUMNS = (
     "month",
 )
 
+# Columns of a table, in its order.
 QUALITY_COLUMNS = (
     "is_valid_coordinate",
     "is_null_vessel_id",
@@ -69,6 +72,7 @@ QUALITY_COLUMNS = (
 
 SILVER_COLUMNS = (*BRONZE_COLUMNS[:-2], *QUALITY_COLUMNS, "year", "month")
 
+# Columns of a table, in its order.
 STOP_COLUMNS = (
     "stop_id",
     "stop_label",
@@ -85,6 +89,7 @@ STOP_COLUMNS = (
     "month",
 )
 
+# Columns of a table, in its order.
 ANOMALY_COLUMNS = (
     "anomaly_id",
     "event_timestamp",
@@ -101,6 +106,7 @@ ANOMALY_COLUMNS = (
     "created_at",
 )
 
+# Columns of a table, in its order.
 CONGESTION_COLUMNS = (
     "report_date",
     "port_id",
@@ -123,6 +129,7 @@ CONGESTION_CSV_SCHEMA = (
     " anomaly_count bigint, data_quality_rejection_rate double, port_congestion_index double"
 )
 
+# Columns of a table, in its order.
 ANOMALIES_CSV_SCHEMA = (
     "anomaly_id string, event_timestamp string, mmsi string, nearest_port_id string, nearest_port_name string,"
     " distance_to_port_km double, is_within_port_radius string, port_radius_km double, anomaly_type string,"

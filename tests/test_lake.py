@@ -19,7 +19,7 @@ from portflow.sources.layers import (
     read_anomalies_csv,
     read_congestion_csv,
     read_layer,
-    register_lake,
+    register_layer,
     repair_partitions,
     write_anomalies_csv,
     write_congestion_csv,
@@ -27,6 +27,7 @@ from portflow.sources.layers import (
 )
 from portflow.sources.ports import DEFAULT_PORTS, load_ports, read_ports
 from portflow.sources.raw import read_raw_csv, read_raw_zip
+from portflow.sources.runs import register_lake
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -239,20 +240,51 @@ def test_counts_come_with_the_write(spark, tmp_path):
 def test_catalog_tables(spark, tmp_path, settings):
     pipeline = run_pipeline(spark, tmp_path, settings)
     spark.sql("CREATE DATABASE IF NOT EXISTS lake_check")
-    spark.sql("USE lake_check")
     try:
-        register_lake(spark, pipeline.root)
-        assert spark.sql("SELECT count(*) FROM silver_positions").first()[0] == 9
-        assert spark.sql("SELECT count(*) FROM silver_stops WHERE year = 2024 AND month = 2").first()[0] == 1
-        extra = pipeline.table("silver_stops").limit(1).withColumn("year", F.lit(2031))
-        write_layer(extra, f"{pipeline.root}/silver_stops", ("year", "month"), mode="append")
-        repair_partitions(spark, "silver_stops")
-        assert spark.sql("SELECT count(*) FROM silver_stops WHERE year = 2031").first()[0] == 1
+        register_lake(spark, pipeline.root, "lake_check")
+        assert spark.sql("SELECT count(*) FROM lake_check.silver_positions").first()[0] == 9
+        assert spark.sql("SELECT count(*) FROM lake_check.silver_stops WHERE year = 2024 AND month = 2").first()[0] == 1
+        bronze = spark.table("lake_check.bronze_messages")
+        assert set(bronze.columns) == {*BRONZE_COLUMNS, "batch"} and bronze.count() == 9
+        # A second run shows once the views are switched to it.
+        run_pipeline(spark, tmp_path, replace(settings, min_dwell_minutes=600.0))
+        assert spark.sql("SELECT count(*) FROM lake_check.silver_stops").first()[0] == 2
+        register_lake(spark, pipeline.root, "lake_check")
+        assert spark.sql("SELECT count(*) FROM lake_check.silver_stops").first()[0] == 0
+        assert spark.sql("SELECT count(*) FROM lake_check.silver_quality_report").first()[0] == 2
     finally:
-        spark.sql("USE default")
         spark.sql("DROP DATABASE lake_check CASCADE")
 
 
+def test_layer_table_picks_up_new_partitions(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "id int, year int, month int")
+    path = str(tmp_path / "it's `t`")
+    write_layer(rows, path, ("year", "month"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS layer_check")
+    try:
+        register_layer(spark, "layer_check.t", path, ("year", "month"))
+        write_layer(rows.withColumn("year", F.lit(2031)), path, ("year", "month"), mode="append")
+        repair_partitions(spark, "layer_check.t")
+        assert spark.sql("SELECT count(*) FROM layer_check.t WHERE year = 2031").first()[0] == 2
+    finally:
+        spark.sql("DROP DATABASE layer_check CASCADE")
+
+
+def test_catalog_query_leaves_other_databases_alone(spark, sf_dir):
+    """A user's managed table survives, whatever its database is called."""
+    from portflow.plans.catalog import catalog_stops_by_port
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS portflow_lake")
+    try:
+        spark.sql("CREATE TABLE IF NOT EXISTS portflow_lake.kept USING parquet AS SELECT 1 AS one")
+        before = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+        assert catalog_stops_by_port(spark, sf_dir).count() > 0
+        assert spark.table("portflow_lake.kept").count() == 1
+        assert {r.namespace for r in spark.sql("SHOW DATABASES").collect()} == before
+    finally:
+        spark.sql("DROP DATABASE portflow_lake CASCADE")
+
+
 def test_csv_tables_take_columns_by_position(spark, tmp_path, settings):
     pipeline = run_pipeline(spark, tmp_path, settings)
     write_congestion_csv(pipeline.table("gold_congestion"), str(tmp_path / "gold"))
