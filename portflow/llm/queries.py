@@ -159,14 +159,14 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op2_exact_topk": """
         WITH scaled AS (
-          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+          SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scores AS (
-          SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
-          FROM scaled q JOIN scaled x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id),
+          SELECT q.r, q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+          FROM scaled q JOIN scaled x ON q.vec_id % 100 = 0 AND q.r <> x.r),
         ranked AS (
-          SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+          SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
           FROM scores)
         SELECT * FROM ranked WHERE rank <= 10""",
     "op6_line_dedup": r"""
@@ -235,7 +235,7 @@ ORACLES: dict[str, str] = {
         FROM laid""",
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-          doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+          row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op11_source_divergence": r"""
         WITH texts AS (
