@@ -63,7 +63,7 @@ def main() -> None:
     pipeline = Pipeline(spark, layer_path(root, "lake"), Settings(as_of=datetime(2026, 1, 1)))
     raw = read_raw_csv(spark, layer_path(root, "raw"))
     stages = {
-        "bronze": lambda: pipeline.bronze(raw),
+        "bronze": lambda: pipeline.bronze(raw, "raw"),
         "silver": pipeline.silver,
         "report": lambda: pipeline.report("raw"),
         "proximity": pipeline.proximity,
