@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from portflow.llm.common import ROW, stored, text_or_empty, with_row
 
 MIN_SITES = 8
-MIN_CHARS = 20
+# Only empty lines are nobody's.
+MIN_CHARS = 1
 SKETCH_BITS = 12
 # Relative standard error of such a sketch, and how many of them count as near.
 SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
@@ -45,16 +46,20 @@ def _narrowed(df: DataFrame, few: DataFrame, key: list[str]) -> DataFrame:
     return df.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, key, "left_semi")
 
 
-def boilerplate(occurrences: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """The hashes of the lines on ``min_sites`` distinct sites or more."""
+def frequent_lines(occurrences: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """The occurrences of lines that occur often enough to be on ``min_sites`` sites, stored: the texts are split no more."""
     counts = occurrences.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
     frequent = stored(counts.where(F.col("n") >= min_sites).select(*KEY))
-    candidates = _narrowed(occurrences.select(*KEY, "site"), frequent, KEY)
+    return stored(_narrowed(occurrences, frequent, KEY))
+
+
+def boilerplate(candidates: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """The hashes of the lines on ``min_sites`` distinct sites or more."""
     sketches = candidates.groupBy(*KEY).agg(F.hll_sketch_agg("site", SKETCH_BITS).alias("sites"))
     estimated = stored(sketches.select(*KEY, F.hll_sketch_estimate("sites").alias("sites")))
     margin = max(1.0, NEAR_ERRORS * SKETCH_ERROR * min_sites)
     near = stored(estimated.where(F.abs(F.col("sites") - min_sites) <= margin).select(*KEY))
-    exact = _narrowed(candidates, near, KEY).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("sites"))
+    exact = _narrowed(candidates.select(*KEY, "site"), near, KEY).distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("sites"))
     sure = estimated.where(F.col("sites") > min_sites + margin).select(*KEY)
     return stored(sure.unionByName(exact.where(F.col("sites") >= min_sites).select(*KEY)))
 
@@ -69,12 +74,13 @@ def without_boilerplate(
 ) -> DataFrame:
     """(row, doc_id, n_lines, n_removed, kept) per row: the text without its boilerplate lines.
 
-    Lines end at line feeds. Null counts as the empty text, which is one empty line. Lines shorter than ``min_chars`` always stay. Rows with
+    Lines end at line feeds. Null counts as the empty text, which is one empty line. Empty lines, and
+    those shorter than ``min_chars``, always stay. A line is told by two 64-bit hashes. Rows with
     equal or null ids are documents of their own. An empty table gives no rows.
     """
-    occurrences = line_occurrences(docs, text, source, min_chars)
-    found = boilerplate(occurrences, min_sites)
-    hits = _narrowed(occurrences.select(ROW, "pos", *KEY), found, KEY)
+    candidates = frequent_lines(line_occurrences(docs, text, source, min_chars), min_sites)
+    found = boilerplate(candidates, min_sites)
+    hits = _narrowed(candidates.select(ROW, "pos", *KEY), found, KEY)
     removed = hits.groupBy(ROW).agg(F.collect_list("pos").alias("removed"))
     rows = with_row(docs).select(ROW, F.col(doc_id).alias("doc_id"), _lines(text_or_empty(text)).alias("lines"))
     joined = rows.join(removed, ROW, "left")

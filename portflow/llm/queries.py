@@ -178,7 +178,7 @@ ORACLES: dict[str, str] = {
         keyed AS (
           SELECT r, source, pos, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS core FROM lines),
         sites AS (
-          SELECT core FROM keyed WHERE length(core) >= 20 GROUP BY core
+          SELECT core FROM keyed WHERE length(core) >= 1 GROUP BY core
           HAVING count(DISTINCT coalesce('=' || source, '?')) >= 8),
         judged AS (
           SELECT r, pos, line, core IN (SELECT core FROM sites) AS boilerplate FROM keyed),

@@ -8,7 +8,7 @@ from portflow.llm import line_dedup as ld
 SCHEMA = "doc_id long, text string, source string, pos int, site string, removed int"
 
 
-def brute(rows, min_sites=8, min_chars=20):
+def brute(rows, min_sites=8, min_chars=1):
     sites = defaultdict(set)
     strip = " \t\n\x0b\x0c\r"
     for _, text, source in rows:
@@ -36,6 +36,9 @@ def corpus():
         lines = [rng.choice(common) if rng.random() < 0.4 else "own line %d of the document %d" % (j, i) for j in range(rng.randint(1, 9))]
         # Line i stands on i sites or fewer, so counts around every threshold occur.
         lines += ["spread of line %02d over sites" % k for k in range(20) if i % 20 < k]
+        # Lines of 1 to 19 characters, on all sites or on few.
+        if i % 3:
+            lines += ["x" * rng.randint(1, 19), "y" * (i % 20)]
         rows.append((i, "\n".join(lines), "site%d" % (i % 20) if i % 21 else None))
     return rows
 
@@ -48,6 +51,11 @@ def test_equals_exact_site_counts(spark, min_sites):
     assert any(r[2] for r in found) and any(not r[2] for r in found)
 
 
+def test_longer_lines_only(spark):
+    rows = corpus()
+    assert ours(spark, rows, min_chars=20) == brute(rows, min_chars=20) != brute(rows)
+
+
 def test_odd_rows(spark):
     line = "a line that is long enough"
     rows = [(1, None, "a"), (2, "", None), (None, line, None), (3, line + "\n\n " + line + " \n", "b"), (3, line, "b"), (4, "short\n" * 400 + line, "c")]
