@@ -40,6 +40,7 @@ def corpus():
         if i % 3:
             lines += ["x" * rng.randint(1, 19), "y" * (i % 20)]
         rows.append((i, "\n".join(lines), "site%d" % (i % 20) if i % 21 else None))
+    rows.append((900, "one line of its own", "site3"))
     return rows
 
 
