@@ -1,6 +1,7 @@
 """Broken lines set apart, archives planned from their listing, sketches merged, ports as a table."""
 
 import builtins
+import json
 import random
 import zipfile
 from datetime import datetime, timedelta
@@ -8,6 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from portflow.__main__ import main
 from portflow.operators import places, sessions, sketches
 from portflow.operators.duplicates import duplicate_groups
 from portflow.plans.pipeline import Pipeline
@@ -15,6 +17,7 @@ from portflow.schemas import RAW_COLUMNS
 from portflow.sources import raw
 from portflow.sources.buckets import bucketed
 from portflow.sources.ports import DEFAULT_PORTS, ports_frame
+from portflow.sources.runs import subfolders
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -140,3 +143,18 @@ def test_ports_table_gives_the_tables_of_listed_ports(spark, tmp_path, settings)
         pipeline.retire()
         assert pipeline.table("silver_stops").count() == 1
     assert seen[0] == seen[1]
+
+
+def test_command_runs_raw_to_gold(spark, tmp_path, capsys):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [line("1", f"2024-01-01T00:{m:02d}:00") for m in (0, 20, 45)] + ["short,line"]
+    (folder / "day.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    arguments = [str(tmp_path / "lake"), str(folder), "--source", "day", "--as-of", "2026-01-01", "--retire"]
+    for _ in range(2):
+        counts = main(arguments)
+    assert counts == json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert {name: counts[name]["rows"] for name in ("bronze_messages", "bronze_broken_lines", "silver_stops", "gold_congestion")} == {
+        "bronze_messages": 3, "bronze_broken_lines": 1, "silver_stops": 1, "gold_congestion": 1,
+    }
+    assert len(subfolders(spark, str(tmp_path / "lake" / "silver_stops"), "run=")) == 1
