@@ -83,7 +83,8 @@ def without_boilerplate(
     hits = _narrowed(candidates.select(ROW, "pos", *KEY), found, KEY)
     removed = hits.groupBy(ROW).agg(F.collect_list("pos").alias("removed"))
     rows = with_row(docs).select(ROW, F.col(doc_id).alias("doc_id"), _lines(text_or_empty(text)).alias("lines"))
-    joined = rows.join(removed, ROW, "left")
+    # The lists grow with the texts: the join is of one kind at every size.
+    joined = rows.join(removed.hint("merge"), ROW, "left")
     places = F.sequence(F.lit(0), F.size("lines") - 1)
     kept = F.transform(F.array_except(places, "removed"), lambda i: F.get("lines", i))
     kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(kept)
