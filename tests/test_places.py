@@ -71,6 +71,18 @@ def test_nearest_places_equal_all_pairs(data, k):
         places.nearest_places(positions, index, k + 1)
 
 
+def test_an_index_for_few_positions_has_few_cells(spark, data):
+    ports, positions, _ = data
+    few = positions.where("id % 40 = 3 OR id < 0")
+    whole, part = places.build_index(ports, 3), places.build_index(ports, 3, near=few)
+    assert part.cells.count() <= few.count() < whole.cells.count()
+    ours, theirs = (sorted(map(tuple, places.nearest_places(few, index, 3).collect())) for index in (part, whole))
+    assert ours == theirs and len(ours) == 3 * few.where("id >= 0").count()
+    nowhere = positions.where("id < 0")
+    index = places.build_index(ports, near=nowhere)
+    assert places.nearest_places(nowhere, index).count() == 0 and places.nearest_place(nowhere, index).count() == 2
+
+
 def test_nearest_place_keeps_every_row(spark, data):
     _, positions, _ = data
     index = places.build_index(ports_frame(spark).withColumnsRenamed({"latitude": "port_latitude", "longitude": "port_longitude"}))
