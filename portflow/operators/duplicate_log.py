@@ -18,7 +18,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portflow.operators.duplicates import FLAG_ALL, KEEP_FIRST
+from portflow.operators.duplicates import FLAG_ALL, KEEP_FIRST, broadcast_if_few, hashes_of, with_hash_in
 from portflow.session import scratch_dir
 from portflow.sources.layers import store, write_layer
 from portflow.sources.runs import RUN, begin_run, publish, published_runs, read_all_runs, run_info
@@ -84,29 +84,45 @@ class DuplicateLog:
     def add(self, rows: DataFrame, batch: str) -> dict[str, int]:
         """Flag a batch's rows, and change the flags of others where it makes a difference; returns counts of what was written."""
         located = self._scratch(self._located(rows))
-        new = self._scratch(
-            located.groupBy(*self.keys, *self.places).agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))
-        ).withColumn("batch", F.lit(batch))
-        sources = [new.withColumn("part", F.lit("new"))]
-        known = self._batches()
+        keys = list(self.keys)
+
+        def hashed(rows: DataFrame, part: str) -> DataFrame:
+            return rows.select(F.xxhash64(*keys).alias("_hash"), F.lit(part).alias("part"))
+
+        seen, known = hashed(located, "new"), self._batches()
         if known:
             index = self._index(known)
-            replaced = self._scratch(index.where(F.col("batch") == batch)) if batch in known else new.limit(0)
-            others = index.where((F.col("batch") != batch) & self._touched(new, replaced))
-            affected = new.select(*self.keys).unionByName(replaced.select(*self.keys)).distinct()
-            met = others.join(affected, list(self.keys), "left_semi")
-            sources += [replaced.withColumn("part", F.lit("old")), met.withColumn("part", F.lit("other"))]
+            replaced = index.where(F.col("batch") == batch) if batch in known else index.limit(0)
+            others = index.where((F.col("batch") != batch) & self._touched(located, replaced))
+            seen = seen.unionAll(hashed(replaced, "old")).unionAll(hashed(others, "other"))
+        # All that follows is about keys that occur twice in the batch, or in it, before or now, and in another one. The 64-bit
+        # hashes of the keys tell the few rows that may have one; the others are not shuffled for them.
+        counts = [F.count_if(F.col("part") == part).alias(part) for part in ("new", "old", "other")]
+        met = seen.groupBy("_hash").agg(*counts).where("new > 1 OR (new + old > 0 AND other > 0)")
+        hashes = broadcast_if_few(self._scratch(met.select("_hash")))
+        located_few = with_hash_in(located, keys, hashes)
+        several = self._scratch(
+            located_few.groupBy(*keys, *self.places).agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))
+        )
+        alone = with_hash_in(located, keys, hashes, "left_anti")
+        alone = alone.select(*keys, *self.places, F.lit(1).cast("long").alias("copies"), "row")
+        new = several.unionAll(alone).withColumn("batch", F.lit(batch))
+        sources = [several.withColumn("batch", F.lit(batch)).withColumn("part", F.lit("new"))]
+        if known:
+            sources += [with_hash_in(replaced, keys, hashes).withColumn("part", F.lit("old"))]
+            sources += [with_hash_in(others, keys, hashes).withColumn("part", F.lit("other"))]
         measures = []
         for part in ("new", "old", "other"):
             mine = F.col("part") == part
             measures.append(F.sum(F.when(mine, F.col("copies")).otherwise(0)).alias(f"{part}_copies"))
             measures.append(F.min(F.when(mine, F.struct("row", "batch"))).alias(f"{part}_first"))
         keyed = reduce(DataFrame.unionByName, sources).groupBy(*self.keys, *self.places).agg(*measures)
-        keyed = self._scratch(keyed)
+        # An index row of another batch whose hash, but not whose key, is met changes nothing.
+        keyed = self._scratch(keyed.where("new_copies + old_copies > 0"))
 
         written = [
             new.select(F.lit("index").alias("kind"), *self.places, *self.keys, "copies", "row", "batch", F.lit(None).cast("boolean").alias("is_duplicate")),
-            self._flags(self._flagged(located, keyed), batch=F.lit(batch), flag=F.lit(True)),
+            self._flags(self._flagged(located_few, keyed), batch=F.lit(batch), flag=F.lit(True)),
             self._flags(self._changed(keyed), batch=F.col("of_batch"), flag=F.col("flag")),
         ]
         target = begin_run(self.spark, self.path)
@@ -158,7 +174,10 @@ class DuplicateLog:
 
     def flagged(self, rows: DataFrame, flag: str = "is_duplicate") -> DataFrame:
         """Rows of any batches with their flag."""
-        found = self.duplicates().select(*[F.col(name).alias(f"_dup_{name}") for name in self.order], F.lit(True).alias("_dup"))
+        renamed = [F.col(name).alias(f"_dup_{name}") for name in self.order]
+        found = self._scratch(self.duplicates().select(*renamed, F.lit(True).alias("_dup")))
+        hashes = hashes_of(found, [f"_dup_{name}" for name in self.order])
         same = reduce(and_, [rows[name].eqNullSafe(found[f"_dup_{name}"]) for name in self.order])
-        joined = rows.join(found, same, "left")
-        return joined.select(*[rows[name] for name in rows.columns], F.col("_dup").isNotNull().alias(flag))
+        joined = with_hash_in(rows, self.order, hashes).join(found, same, "left")
+        alone = with_hash_in(rows, self.order, hashes, "left_anti").select("*", F.lit(False).alias(flag))
+        return joined.select(*[rows[name] for name in rows.columns], F.col("_dup").isNotNull().alias(flag)).unionAll(alone)

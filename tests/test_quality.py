@@ -222,3 +222,22 @@ def test_profile_agrees_with_the_flagged_rows(spark, sf_dir, settings):
     assert row.duplicate_records_count == counts["duplicate_message_id"]
     assert row.impossible_speed_count == counts["invalid_speed"]
     assert row.invalid_coordinates_count == counts["invalid_coordinate"]
+
+
+def test_rows_without_copies_are_not_shuffled_with_the_groups(spark, monkeypatch):
+    rows = spark.range(4_000).select(
+        F.when(F.col("id") % 100 == 0, F.lit(None)).when(F.col("id") < 100, F.col("id") % 30).otherwise(F.col("id")).cast("string").alias("key"),
+        F.col("id").alias("rank"),
+    )
+    plain = sorted(flag_duplicates(rows, ["key"], ["rank"]).collect(), key=lambda r: r.rank)
+    assert sum(r.is_duplicate for r in plain) == 69
+    monkeypatch.setattr("portflow.operators.duplicates.MANY_GROUPS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = flag_duplicates(rows, ["key"], ["rank"])
+        assert sorted(flagged.collect(), key=lambda r: r.rank) == plain
+        text = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti, BuildRight" in text and "LeftSemi, BuildRight" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -219,3 +219,20 @@ def test_stop_log_touches_only_keys_of_the_batch(spark, tmp_path, settings):
     found = {(r.mmsi, r.episode_start, r.message_count): r.avg_speed_knots for r in log.episodes().collect()}
     assert found == {("a", at, 2): 0.2, ("b", at, 1): 0.2, ("b", at - timedelta(days=9), 1): 0.2}
     assert log.batches == ["january", "february", "march"]
+
+
+@pytest.mark.parametrize("policy", [KEEP_FIRST, FLAG_ALL])
+def test_the_log_joins_only_rows_that_may_be_flagged(spark, tmp_path, policy):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = DuplicateLog(spark, str(tmp_path / "log"), ["key"], ["n"], policy, prefixes=2)
+        rows = spark.range(600).select(F.when(F.col("id") < 40, F.col("id") % 15).otherwise(F.col("id")).alias("key"), F.col("id").alias("n"))
+        for batch in (1, 0, 1):
+            log.add(rows.where(F.col("n") % 2 == batch), f"b{batch}")
+        flagged = log.flagged(rows)
+        found = {r.n for r in flagged.where("is_duplicate").collect()}
+        assert found == set(range(15 if policy == KEEP_FIRST else 0, 40)) and flagged.count() == 600
+        assert "LeftAnti, BuildRight" in flagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
