@@ -138,3 +138,47 @@ def test_components(spark):
     assert all(found[i] == 0 for i in range(41)) and all(found[200 + i] == 100 for i in range(30))
     assert len(set(found[a] for a, _ in links[70:])) == 1
     assert nd.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def crowd(seed):
+    """Many edits of one text: few edits link them, more leave them alone, and some differ from another one by little."""
+    rng = random.Random(seed)
+    base = ["w%d" % rng.randrange(3000) for _ in range(120)]
+    texts = [edited(rng, base, rng.choice((0, 1, 2, 3, 4, 6, 9))) for _ in range(220)]
+    texts += [edited(rng, rng.choice(texts), 1) for _ in range(40)]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_large_bucket_compares_few_pairs(spark, monkeypatch):
+    sizes = []
+    plain = nd.similarities
+
+    def counted(pairs, table):
+        pairs = nd.stored(pairs)
+        sizes.append(pairs.count())
+        return plain(pairs, table)
+
+    # One band for all, so that every link is a candidate and all texts are in one bucket.
+    one = F.array(F.lit(7).cast("long"))
+    signatures = nd.signatures
+    monkeypatch.setattr(nd, "signatures", lambda texts, weights: signatures(texts, weights).withColumn("bands", one))
+    monkeypatch.setattr(nd, "similarities", counted)
+    rows = crowd(5)
+    assert ours(spark, rows) == brute(rows)
+    # All pairs are 33,670; a round of random pivots after another compared most of them.
+    assert sum(sizes) < 16 * len(rows)
+
+
+def test_pairs_that_the_prefixes_leave_out_are_no_links(spark):
+    rows = crowd(6)
+    texts = spark.createDataFrame(rows, "_llm_row long, data string").withColumn("data", F.col("data").cast("binary"))
+    weights = nd.shingle_weights(texts)
+    overlaps = nd.Overlaps(nd.stored(nd.vectors(texts, weights)))
+    found = {frozenset(p) for p in overlaps.rare_pairs().collect()}
+    based = nd.stored(overlaps.profiles().withColumns({"key": F.lit(1), "class": F.col("id")}))
+    found |= {frozenset(p) for p in nd._common_pairs(based, based).collect()}
+    table = {r.id: nd._unpacked(bytes(r.vector), "<f4") for r in overlaps.table.collect()}
+    links = {
+        frozenset((i, j)) for i in table for j in table if i < j and nd.weighted_jaccard(table[i], table[j]) >= nd.SIMILARITY
+    }
+    assert links <= found and len(links) > 100
