@@ -7,7 +7,7 @@ the order of their ids, in batches. Each batch sorts its windows' fingerprints a
 in the sorted arrays of the levels that exist already, in the task's memory. Then it becomes a level itself, and while the last level
 is no larger than the one after it, the two merge. So a window is merged a logarithmic number of times.
 
-Windows are sorted by a 64-bit fingerprint of their bytes instead of lexicographically; for matches of the whole window any
+Windows are sorted by a 46-bit fingerprint of their bytes instead of lexicographically; for matches of the whole window any
 order serves. Every match is checked byte by byte, and fingerprints that two different windows share are settled by content.
 
 A string that occurs again in the same map task's chunk, in a later document, is known to be covered without asking; only
@@ -34,7 +34,10 @@ GRAM = 8
 RANGE_BYTES = 2 << 20
 FLUSH_BYTES = 16 << 20
 CHUNK_BYTES = 1 << 20
-BATCH_WINDOWS = 1 << 18
+# Fingerprints leave room for a window's place in its batch.
+PLACE_BITS = 18
+PRINT_BITS = 64 - PLACE_BITS
+BATCH_WINDOWS = 1 << PLACE_BITS
 BUNDLE_ROWS = 32
 ZSTD_LEVEL = 6
 NO_ID = np.iinfo(np.int64).max
@@ -49,18 +52,23 @@ def _words(raw: np.ndarray) -> np.ndarray:
 
 def _hashes(raw: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit hash of each string of ``length`` (8 or more) bytes."""
-    words, n = _words(raw), len(raw) - length + 1
-    steps = [*range(0, length - 7, 8)]
-    if steps[-1] != length - 8:
-        steps.append(length - 8)
-    total = np.zeros(n, np.uint64)
-    for k, step in enumerate(steps):
-        total ^= words[step : step + n]
-        total *= _MULTIPLIERS[k]
-        total ^= total >> np.uint64(32)
+    total = _words(raw) * _MULTIPLIERS[0]
+    total ^= total >> np.uint64(32)
+    reach, k = GRAM, 1
+    while reach < length:
+        step = min(reach, length - reach)
+        joined = total[: len(total) - step] * _MULTIPLIERS[k]
+        joined ^= total[step:]
+        joined ^= joined >> np.uint64(32)
+        total, reach, k = joined, reach + step, k + 1
     return mix64(total)
 
 
+def _prints(raw: np.ndarray, length: int, bits: int) -> np.ndarray:
+    """Fingerprints of ``bits`` bits; their last ``PLACE_BITS`` bits are free."""
+    return (_hashes(raw, length) & np.uint64((1 << bits) - 1)) << np.uint64(PLACE_BITS)
+
+
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     reach = 1
     while reach * 2 <= width:
@@ -80,12 +88,14 @@ class _Runs:
         """The runs of one document; a long one is read in overlapping chunks."""
         for begin in range(0, max(0, len(text) - length + 1), CHUNK_BYTES):
             raw = text[begin : begin + CHUNK_BYTES + length - 1]
-            keys = _sliding_min(_hashes(raw, GRAM), length - GRAM + 1)
+            grams = _hashes(raw, GRAM)
+            keys = _sliding_min(grams, length - GRAM + 1)
             starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             sizes = np.diff(starts, append=len(keys)) + length - 1
-            marks = _hashes(raw, length)
-            index = np.arange(len(marks)) - np.repeat(starts, sizes - length + 1)
-            print_ = np.add.reduceat(marks * mix64(index.astype(np.uint64)), starts)
+            # The sum of a run's 8-byte strings tells it well enough, as equal prints are checked.
+            sums = np.zeros(len(grams) + 1, np.uint64)
+            np.cumsum(grams, out=sums[1:])
+            print_ = sums[starts + sizes - GRAM + 1] - sums[starts]
             same = np.full(len(starts), row, np.int64), np.full(len(starts), doc, np.int64)
             body = raw[flat_ranges(starts, sizes)]
             self.parts.append((keys[starts], print_, *same, starts + begin, sizes, body))
@@ -215,10 +225,10 @@ class _Levels:
 
 
 def covered_windows(
-    docs: np.ndarray, sizes: np.ndarray, body: np.ndarray, length: int, bits: int = 64
+    docs: np.ndarray, sizes: np.ndarray, body: np.ndarray, length: int, bits: int = PRINT_BITS
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For runs in order of their documents: each window's run, its place in the run, and whether a smaller
-    document has it. ``bits`` below 64 shortens the fingerprints, for tests."""
+    document has it. Fewer ``bits`` make shorter fingerprints, for tests."""
     begins = np.cumsum(sizes) - sizes
     counts = sizes - length + 1
     levels = _Levels()
@@ -231,16 +241,22 @@ def covered_windows(
         past = max(run + 1, int(np.searchsorted(edges, edges[run] + BATCH_WINDOWS, "right")) - 1)
         region = body[begins[run] : begins[past - 1] + sizes[past - 1]]
         starts = flat_ranges(begins[run:past], counts[run:past])
-        prints = _hashes(region, length)[starts - begins[run]]
-        if bits < 64:
-            prints = prints & np.uint64((1 << bits) - 1)
+        prints = _prints(region, length, bits)[starts - begins[run]]
         owner = np.repeat(docs[run:past], counts[run:past])
-        order = np.argsort(prints, kind="stable")
+        if len(prints) <= 1 << PLACE_BITS:
+            # Each with its place in one integer: sorting these is faster than sorting places by fingerprint.
+            prints |= np.arange(len(prints), dtype=np.uint64)
+            prints.sort()
+            order = (prints & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+            ordered = prints ^ order.astype(np.uint64)
+        else:
+            order = np.argsort(prints, kind="stable")
+            ordered = prints[order]
         new = np.empty(len(order), bool)
         new[:1] = True
-        new[1:] = prints[order][1:] != prints[order][:-1]
+        new[1:] = ordered[1:] != ordered[:-1]
         heads = order[new]
-        known, place = levels.find(prints[heads])
+        known, place = levels.find(ordered[new])
         old = place >= 0
         known[~old], place[~old] = owner[heads[~old]], starts[heads[~old]]
         group = np.cumsum(new) - 1
@@ -251,10 +267,10 @@ def covered_windows(
             part = check[lo : lo + (1 << 16)]
             differ[part] = (views[mine[part]] != views[first[part]]).any(axis=1)
         if differ.any():
-            shared.append(np.unique(prints[order[differ]]))
+            shared.append(np.unique(ordered[differ]))
         covered[edges[run] + order] = owner[order] > known[group]
         if not old.all():
-            levels.add((prints[heads[~old]], known[~old], place[~old]))
+            levels.add((ordered[new][~old], known[~old], place[~old]))
         run = past
     index = np.repeat(np.arange(len(docs)), counts)
     offset = np.arange(int(edges[-1])) - np.repeat(edges[:-1], counts)
@@ -266,9 +282,7 @@ def covered_windows(
 def _settle(shared, docs, begins, index, offset, views, body, length, bits, covered) -> None:
     """Decide windows whose fingerprint stands for several contents by the contents."""
     starts = begins[index] + offset
-    prints = _hashes(body, length)[starts]
-    if bits < 64:
-        prints = prints & np.uint64((1 << bits) - 1)
+    prints = _prints(body, length, bits)[starts]
     unsure = np.flatnonzero(np.isin(prints, shared))
     smallest: dict[bytes, int] = {}
     for i in unsure.tolist():

@@ -102,3 +102,17 @@ def test_level_sizes_grow_geometrically():
     sizes = [len(level[0]) for level in levels.levels]
     assert sum(sizes) == 1000 and len(sizes) <= 7 and all(a > b for a, b in zip(sizes, sizes[1:]))
     assert all((np.diff(level[0].astype(np.int64)) > 0).all() for level in levels.levels)
+
+
+def test_batches_of_either_size_are_sorted_alike():
+    rng = np.random.default_rng(8)
+    # The first run is one batch by itself, too large for places within fingerprints; it repeats the later ones' strings.
+    long = rng.integers(97, 123, (1 << sd.PLACE_BITS) + 500).astype(np.uint8)
+    runs = [long, long[1000:1400], rng.integers(97, 123, 300).astype(np.uint8), long[-700:]]
+    docs, sizes = np.array([1, 2, 3, 4]), np.array([len(run) for run in runs])
+    with np.errstate(over="ignore"):
+        index, offset, covered = sd.covered_windows(docs, sizes, np.concatenate(runs), 50)
+        again = sd.covered_windows(docs[1:], sizes[1:], np.concatenate(runs[1:]), 50)[2]
+    assert [covered[index == k].all() for k in range(4)] == [False, True, False, True]
+    assert [covered[index == k].any() for k in range(4)] == [False, True, False, True] and not again.any()
+    assert len(offset) == (sizes - 49).sum()
