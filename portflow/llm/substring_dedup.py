@@ -38,6 +38,7 @@ CHUNK_BYTES = 1 << 20
 PLACE_BITS = 18
 PRINT_BITS = 64 - PLACE_BITS
 BATCH_WINDOWS = 1 << PLACE_BITS
+SEEN_BITS = 24
 BUNDLE_ROWS = 32
 ZSTD_LEVEL = 6
 NO_ID = np.iinfo(np.int64).max
@@ -177,7 +178,8 @@ def _ship(runs: _Runs, buckets: int, length: int) -> Iterator[pa.RecordBatch]:
         data = _packed([known[0]], [*known[1:]], np.zeros(0, np.uint8))
         out.append((int(mix64(rows[:1].astype(np.uint64))[0] % np.uint64(buckets)), 1, len(known[0]), data))
     owner = (mix64(keys) % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((places, rows, owner))
+    # Runs come by rows and places, which a stable sort keeps; it takes linear time for 16-bit integers.
+    order = np.argsort(owner.astype(np.uint16) if buckets <= 1 << 16 else owner, kind="stable")
     order = order[~repeated[order]]
     begins = np.cumsum(sizes) - sizes
     edges = np.flatnonzero(np.diff(owner[order], prepend=-1))
@@ -205,18 +207,23 @@ class _Levels:
 
     def __init__(self) -> None:
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        # Whether a fingerprint with these first bits is in some level; most are not and need no search.
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
 
     def find(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The document and place of each fingerprint, -1 where no level has it. ``prints`` are sorted."""
         place = np.full(len(prints), -1, np.int64)
         docs = np.zeros(len(prints), np.int64)
+        maybe = np.flatnonzero(self.seen[prints >> np.uint64(64 - SEEN_BITS)])
+        prints = prints[maybe]
         for known, owners, places in self.levels:
             at = np.minimum(np.searchsorted(known, prints), len(known) - 1)
             hit = known[at] == prints
-            place[hit], docs[hit] = places[at[hit]], owners[at[hit]]
+            place[maybe[hit]], docs[maybe[hit]] = places[at[hit]], owners[at[hit]]
         return docs, place
 
     def add(self, level: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.seen[level[0] >> np.uint64(64 - SEEN_BITS)] = True
         self.levels.append(level)
         while len(self.levels) > 1 and len(self.levels[-1][0]) >= len(self.levels[-2][0]):
             pair = [np.concatenate(column) for column in zip(self.levels[-2], self.levels[-1])]
@@ -259,21 +266,24 @@ def covered_windows(
         known, place = levels.find(ordered[new])
         old = place >= 0
         known[~old], place[~old] = owner[heads[~old]], starts[heads[~old]]
-        group = np.cumsum(new) - 1
-        mine, first = starts[order], place[group]
-        check = np.flatnonzero(mine != first)
-        differ = np.zeros(len(order), bool)
-        for lo in range(0, len(check), 1 << 16):
-            part = check[lo : lo + (1 << 16)]
+        # Most windows are the first with their fingerprint and need no more.
+        again = ~new
+        again[np.flatnonzero(new)[old]] = True
+        group = (np.cumsum(new) - 1)[again]
+        window, print_ = order[again], ordered[again]
+        mine, first = starts[window], place[group]
+        differ = np.zeros(len(window), bool)
+        for lo in range(0, len(window), 1 << 16):
+            part = slice(lo, lo + (1 << 16))
             differ[part] = (views[mine[part]] != views[first[part]]).any(axis=1)
         if differ.any():
-            shared.append(np.unique(ordered[differ]))
-        covered[edges[run] + order] = owner[order] > known[group]
+            shared.append(np.unique(print_[differ]))
+        covered[edges[run] + window] = owner[window] > known[group]
         if not old.all():
             levels.add((ordered[new][~old], known[~old], place[~old]))
         run = past
     index = np.repeat(np.arange(len(docs)), counts)
-    offset = np.arange(int(edges[-1])) - np.repeat(edges[:-1], counts)
+    offset = np.arange(int(edges[-1])) - edges[index]
     if shared:
         _settle(np.unique(np.concatenate(shared)), docs, begins, index, offset, views, body, length, bits, covered)
     return index, offset, covered
