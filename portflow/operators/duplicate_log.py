@@ -18,9 +18,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portflow.operators import duplicates
 from portflow.operators.duplicates import FLAG_ALL, KEEP_FIRST, broadcast_if_few, hashes_of, with_hash_in
 from portflow.session import scratch_dir
-from portflow.sources.layers import store, write_layer
+from portflow.sources.layers import CODEC, store, write_layer
 from portflow.sources.runs import RUN, begin_run, publish, published_runs, read_all_runs, run_info
 
 PREFIXES = 64
@@ -55,7 +56,7 @@ class DuplicateLog:
         return {run_info(self.spark, run)["batch"]: run.rsplit("=", 1)[1] for run in runs}
 
     def _scratch(self, rows: DataFrame) -> DataFrame:
-        return store(rows, scratch_dir(self.spark))
+        return store(rows, scratch_dir(self.spark), CODEC)
 
     def _located(self, rows: DataFrame) -> DataFrame:
         """Rows with a key, and the index partition of each."""
@@ -168,7 +169,8 @@ class DuplicateLog:
         rows = read_all_runs(self.spark, self.path).where("kind = 'flag'")
         runs = self.spark.createDataFrame(list(self._batches().items()), "batch string, since string")
         # What was said of a batch's rows before it was added again is void.
-        valid = rows.join(runs, "batch").where(F.col(RUN) >= F.col("since"))
+        # Spark does not know how few batches there are; by their names alone the flags would be dealt to as few tasks.
+        valid = rows.join(F.broadcast(runs), "batch").where(F.col(RUN) >= F.col("since"))
         latest = valid.groupBy("row").agg(F.max_by("is_duplicate", RUN).alias("is_duplicate"))
         return latest.where("is_duplicate").select("row.*")
 
@@ -176,8 +178,12 @@ class DuplicateLog:
         """Rows of any batches with their flag."""
         renamed = [F.col(name).alias(f"_dup_{name}") for name in self.order]
         found = self._scratch(self.duplicates().select(*renamed, F.lit(True).alias("_dup")))
-        hashes = hashes_of(found, [f"_dup_{name}" for name in self.order])
         same = reduce(and_, [rows[name].eqNullSafe(found[f"_dup_{name}"]) for name in self.order])
+        flagged = [*[rows[name] for name in rows.columns], F.col("_dup").isNotNull().alias(flag)]
+        if found.count() > duplicates.BROADCAST_HASHES:
+            # Telling the rows apart by hash would shuffle all of them, too, and those with a hash once more.
+            return rows.join(found, same, "left").select(*flagged)
+        hashes = hashes_of(found, [f"_dup_{name}" for name in self.order])
         joined = with_hash_in(rows, self.order, hashes).join(found, same, "left")
         alone = with_hash_in(rows, self.order, hashes, "left_anti").select("*", F.lit(False).alias(flag))
-        return joined.select(*[rows[name] for name in rows.columns], F.col("_dup").isNotNull().alias(flag)).unionAll(alone)
+        return joined.select(*flagged).unionAll(alone)

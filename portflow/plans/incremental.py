@@ -49,7 +49,7 @@ def _duplicates(policy: str) -> Query:
         """Copies of a message arrive in different batches; the middle batch arrives twice."""
         bronze = Lake(spark, folder).bronze.select("message_id", *COPY_ORDER)
         # Stored, as a bronze table is: the batches and the result read it.
-        rows = layers.store(bronze, scratch_dir(spark))
+        rows = layers.store(bronze, scratch_dir(spark), layers.CODEC)
         log = DuplicateLog(spark, scratch_dir(spark), ["message_id"], COPY_ORDER, policy)
         part = (F.col("event_id") + F.col("copy")) % 3
         for batch in (1, 0, 2, 0):

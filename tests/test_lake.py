@@ -14,6 +14,7 @@ from portflow.plans.pipeline import Pipeline
 from portflow.schemas import ANOMALY_COLUMNS, BRONZE_COLUMNS, CONGESTION_COLUMNS, RAW_COLUMNS, SILVER_COLUMNS, STOP_COLUMNS
 from portflow.session import scratch_dir
 from portflow.sources.layers import (
+    CODEC,
     LAYERS,
     between_months,
     read_anomalies_csv,
@@ -21,6 +22,7 @@ from portflow.sources.layers import (
     read_layer,
     register_layer,
     repair_partitions,
+    store,
     write_anomalies_csv,
     write_congestion_csv,
     write_layer,
@@ -340,3 +342,11 @@ def test_source_has_no_forbidden_calls():
     text = json.dumps([p.read_text() for p in package.rglob("*.py")])
     for call in ("localCheckpoint", "crossJoin", ".rdd", "toPandas", "F.udf(", "collect_set"):
         assert call not in text, call
+
+
+def test_tables_of_hashes_take_half_their_text(spark, tmp_path):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    write_layer(rows, str(tmp_path / "layer"))
+    assert store(rows, str(tmp_path / "stored"), CODEC).count() == 20_000
+    for table in ("layer", "stored"):
+        assert sum(f.stat().st_size for f in (tmp_path / table).glob("*.parquet")) < 0.65 * 64 * 20_000

@@ -241,3 +241,14 @@ def test_rows_without_copies_are_not_shuffled_with_the_groups(spark, monkeypatch
         assert "LeftAnti, BuildRight" in text and "LeftSemi, BuildRight" in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_are_joined_once_where_very_many_keys_repeat(spark, monkeypatch):
+    rows = spark.range(200).select((F.col("id") % 90).cast("string").alias("key"), F.col("id").alias("rank"))
+    monkeypatch.setattr("portflow.operators.duplicates.MANY_GROUPS", 0)
+    monkeypatch.setattr("portflow.operators.duplicates.BROADCAST_HASHES", 10)
+    groups = find_groups(rows, ["key"], ["rank"])
+    flagged = flag_duplicates(rows, ["key"], ["rank"], groups=groups)
+    assert sorted((r.rank, r.is_duplicate) for r in flagged.collect()) == [(n, n >= 90) for n in range(200)]
+    text = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in text and "LeftSemi" not in text

@@ -236,3 +236,29 @@ def test_the_log_joins_only_rows_that_may_be_flagged(spark, tmp_path, policy):
         assert "LeftAnti, BuildRight" in flagged._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_flags_are_not_dealt_to_tasks_by_batch(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = DuplicateLog(spark, str(tmp_path / "log"), ["key"], ["n"], prefixes=2)
+        for batch in ("one", "two"):
+            log.add(spark.range(20).select((F.col("id") % 5).alias("key"), F.concat_ws("-", F.lit(batch), "id").alias("n")), batch)
+        found = log.duplicates()
+        assert found.count() == 35
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_are_joined_once_where_very_many_are_flagged(spark, tmp_path, monkeypatch):
+    log = DuplicateLog(spark, str(tmp_path / "log"), ["key"], ["n"], prefixes=2)
+    rows = spark.range(60).select((F.col("id") % 20).alias("key"), F.when(F.col("id") > 0, F.col("id")).alias("n"))
+    log.add(rows, "all")
+    monkeypatch.setattr("portflow.operators.duplicates.BROADCAST_HASHES", 10)
+    flagged = log.flagged(rows)
+    assert sorted((r.n or 0, r.is_duplicate) for r in flagged.collect()) == [(n, n >= 20) for n in range(60)]
+    text = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in text and "LeftSemi" not in text
