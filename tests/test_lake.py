@@ -350,3 +350,19 @@ def test_tables_of_hashes_take_half_their_text(spark, tmp_path):
     assert store(rows, str(tmp_path / "stored"), CODEC).count() == 20_000
     for table in ("layer", "stored"):
         assert sum(f.stat().st_size for f in (tmp_path / table).glob("*.parquet")) < 0.65 * 64 * 20_000
+
+
+def test_anomalies_are_written_without_a_shuffle(spark, tmp_path, settings):
+    plans = {}
+
+    class Watched(Pipeline):
+        def _write(self, name, rows, counts=None):
+            plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+            super()._write(name, rows, counts)
+
+    write_day(tmp_path / "day.csv", DAY)
+    pipeline = Watched(spark, str(tmp_path / "lake"), settings)
+    pipeline.bronze(read_raw_csv(spark, str(tmp_path / "day.csv")), "day")
+    pipeline.silver()
+    pipeline.anomalies()
+    assert "Exchange" not in plans["gold_anomalies"] and pipeline.counts["gold_anomalies"]["rows"] == 6
