@@ -30,8 +30,9 @@ from portflow.llm.common import ROW, flat_ranges, id_hash_mod, mix64, stored, te
 CAPACITY = 1024
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-SEGMENT_CHARS = 1 << 20
-CACHED_PIECES = 1 << 19
+SEGMENT_CHARS = 1 << 18
+# Two halves of that many pieces below 32 characters: an executor's workers hold one such cache each.
+CACHED_PIECES = 1 << 17
 FILLERS = 8
 # Fixed: how this vocabulary's texts are cut into pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -105,16 +106,19 @@ class PieceTokenizer:
         ).encode_ordinary
         self.kinds = code_classes()
         self.powers = mix64(np.arange(1, 1 << 12, dtype=np.uint64)) | np.uint64(1)
+        # Pieces met again while they are in the older half are kept; the others go when the newer half is full.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, piece: str) -> bytes:
-        found = self.cache.get(piece)
+        """The ids of a piece that is not in the cache's newer half."""
+        found = self.older.get(piece)
         if found is None:
             found = array("I", self.encode_piece(piece)).tobytes()
+        if len(piece) < 32:
             if len(self.cache) >= CACHED_PIECES:
-                self.cache.clear()
-            if len(piece) < 64:
-                self.cache[piece] = found
+                self.older, self.cache = self.cache, {}
+            self.cache[piece] = found
         return found
 
     def encode(self, texts: list[str], last: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -123,18 +127,23 @@ class PieceTokenizer:
         raw = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(sizes + 1) - 1
-        codes = np.full(len(raw) + len(texts), END_CODE, np.int64)
+        codes = np.full(len(raw) + len(texts), END_CODE, np.int32)
         keep = np.ones(len(codes), bool)
         keep[ends] = False
         codes[keep] = raw
         starts = _piece_starts(codes, self.kinds[codes])
         lengths = np.diff(starts, append=len(codes))
         with np.errstate(over="ignore"):
-            place = np.minimum(np.arange(len(codes)) - np.repeat(starts, lengths), len(self.powers) - 1)
-            prints = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * self.powers[place], starts)
+            place = np.arange(len(codes), dtype=np.int32)
+            place -= np.repeat(starts.astype(np.int32), lengths)
+            values = self.powers[np.minimum(place, len(self.powers) - 1, out=place)]
+            values *= (codes + 1).astype(np.uint64)
+            prints = np.add.reduceat(values, starts)
+            del place, values
             prints = mix64(prints ^ (lengths.astype(np.uint64) << np.uint64(40)))
         _, first, group = np.unique(prints, return_index=True, return_inverse=True)
-        same = codes[flat_ranges(starts, lengths)] == codes[flat_ranges(starts[first][group], lengths)]
+        # The pieces follow one another without gaps.
+        same = codes == codes[flat_ranges(starts[first][group], lengths)]
         odd = np.flatnonzero((lengths != lengths[first][group]) | ~np.logical_and.reduceat(same, np.cumsum(lengths) - lengths))
         if len(odd):
             group[odd] = len(first) + np.arange(len(odd))
@@ -143,10 +152,10 @@ class PieceTokenizer:
         begin = starts[first]
         begin = begin - np.searchsorted(ends, begin)
         closing = codes[starts[first]] == END_CODE
+        pieces = (joined[a : a + size] for a, size in zip(begin.tolist(), lengths[first].tolist()))
         end_ids = END_ID.to_bytes(4, "little") if last else b""
         coded = [
-            end_ids if closes else self._ids(joined[a : a + size])
-            for a, size, closes in zip(begin.tolist(), lengths[first].tolist(), closing.tolist())
+            end_ids if closes else self.cache.get(piece) or self._ids(piece) for piece, closes in zip(pieces, closing.tolist())
         ]
         counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         begins = np.cumsum(counts) - counts

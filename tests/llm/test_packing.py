@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -103,6 +104,21 @@ def test_token_ids_equal_those_of_the_library(reference, monkeypatch):
     assert parts == expected
 
 
+def test_a_worker_stays_small_over_very_many_different_words(reference):
+    rng = random.Random(11)
+    letters = str.maketrans("0123456789abcdef", "abcdefghijklmnop")
+    texts = [" ".join("%x" % rng.getrandbits(40) for _ in range(5_000)).translate(letters) for _ in range(100)]
+    encoder = packing.PieceTokenizer(packing.tokenizer_path())
+    tracemalloc.start()
+    try:
+        found = [zlib.crc32(ids) for ids, _ in packing._encoded(encoder, iter(texts))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found[::25] == [zlib.crc32(np.array(reference(t), "<u4").tobytes()) for t in texts[::25]]
+    assert peak < 80e6
+
+
 @pytest.mark.parametrize("n", [1, 50, 5000])
 def test_plan_uses_every_remainder_once(n):
     rng = random.Random(n)
