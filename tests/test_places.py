@@ -118,3 +118,12 @@ def test_searches_are_equi_joins(spark, data):
     # Nothing but lists of cells is ordered in a search of the k nearest.
     text = places.nearest_places(positions, index, 2)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in text and "\nSort" not in text
+
+
+def test_within_radius_no_side_passes_the_driver(spark, data, tmp_path):
+    ports, positions, pairs = data
+    positions.write.parquet(f"{tmp_path}/positions")
+    found = places.places_within_radius(spark.read.parquet(f"{tmp_path}/positions"), ports)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert found.count() == sum(radius is not None and km <= radius for _, _, km, radius in pairs)
