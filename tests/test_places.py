@@ -83,6 +83,24 @@ def test_an_index_for_few_positions_has_few_cells(spark, data):
     assert places.nearest_places(nowhere, index).count() == 0 and places.nearest_place(nowhere, index).count() == 2
 
 
+def test_an_index_for_few_positions_stores_few_pairs(spark, monkeypatch):
+    rng = random.Random(5)
+    where = [(math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)) for _ in range(12_000)]
+    ports = spark.createDataFrame([("p%05d" % i, "n", lat, lon, 20.0) for i, (lat, lon) in enumerate(where)], SCHEMA).repartition(4)
+    few = [(i, lat + 0.001, lon) for i, (lat, lon) in enumerate(where[:200])] + [(200, 90.0, 0.0), (201, 0.0, 180.0), (202, 0.0, -180.0)]
+    few = spark.createDataFrame(few, "id int, latitude double, longitude double")
+    stored, store = [], places.store
+    monkeypatch.setattr(places, "store", lambda rows, *options: stored.append(store(rows, *options)) or stored[-1])
+    index = places.build_index(ports, near=few)
+    # Pairs of cells and cubes over all depths, and tables of places: the last ones leave out what no open cell has met.
+    assert sum(rows.count() for rows in stored if "cube" in rows.columns) < 40 * 203
+    kept = [rows.count() for rows in stored if set(places.PLACE) <= set(rows.columns)]
+    assert kept[0] == 12_000 and kept[-1] < 6_000
+    best = all_pairs(few, ports).groupBy("id").agg(F.min(F.struct(F.round("km", 6), "port_id")).alias("best"))
+    found = places.nearest_place(few, index).select("id", F.struct(F.round("distance_to_port_km", 6), "nearest_port_id").alias("best"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, best.collect()))
+
+
 def test_nearest_place_keeps_every_row(spark, data):
     _, positions, _ = data
     index = places.build_index(ports_frame(spark).withColumnsRenamed({"latitude": "port_latitude", "longitude": "port_longitude"}))
